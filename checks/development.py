@@ -139,20 +139,31 @@ def with_base(body):
     return ctes(**only(base_ctes(), body)) + body
 
 
+_CONTROLS: dict = {}
+
+
+def controls(spark):
+    """The catalogue, built once per session."""
+    key = spark.sparkContext.applicationId
+    if key not in _CONTROLS:
+        _CONTROLS.clear()
+        _CONTROLS[key] = dev.controls(AS_OF)
+    return _CONTROLS[key]
+
+
 def bases(spark, sf, names=None):
-    r = Registry(spark, sf)
+    r = Registry.of(spark, sf)
     made = dev.bases(r.current("model_ver"), r.current("valid"), r.current("sample_data"), r.current("metric"))
     return {k: made[k]() for k in made if names is None or k in names}
 
 
 def all_bases(spark, sf):
-    controls = dev.controls(AS_OF)
-    return controls, bases(spark, sf)
+    return controls(spark), bases(spark, sf)
 
 
 def one(i):
     def run(spark, sf):
-        c = [c for c in dev.controls(AS_OF) if c.id == i]
+        c = [c for c in controls(spark) if c.id == i]
         s = engine.summary(spark, bases(spark, sf, {c[0].base}), c, AS_OF)
         return s.select("query_id", "control_status", "dim_1_value", "dim_2_value",
                         F.round("metric_value", 6).alias("metric_value"), "numerator", "denominator")
@@ -167,13 +178,13 @@ def one_sql(i):
 
 
 def summary_all(spark, sf):
-    controls, b = all_bases(spark, sf)
-    return engine.summary(spark, b, controls, AS_OF)
+    rules_, b = all_bases(spark, sf)
+    return engine.summary(spark, b, rules_, AS_OF)
 
 
 def detail_all(spark, sf):
-    controls, b = all_bases(spark, sf)
-    return engine.detail(b, controls)
+    rules_, b = all_bases(spark, sf)
+    return engine.detail(b, rules_)
 
 
 def q_rollup(spark, sf):
@@ -210,17 +221,17 @@ def q_matrix(spark, sf):
 
 
 def q_invariants(spark, sf):
-    controls, b = all_bases(spark, sf)
-    return engine.invariant_report(engine.summary(spark, b, controls, AS_OF), engine.detail(b, controls),
+    rules_, b = all_bases(spark, sf)
+    return engine.invariant_report(engine.summary(spark, b, rules_, AS_OF), engine.detail(b, rules_),
                                    b["versions"], dev.ENTITIES, 31)
 
 
 def q_placeholder(spark, sf):
     """A catalogue over a base where some rules find nothing to assess."""
-    controls = [c for c in dev.controls(AS_OF) if c.base == "versions"]
+    chosen = [c for c in controls(spark) if c.base == "versions"]
     b = bases(spark, sf, {"versions"})
     b["versions"] = b["versions"].filter(F.upper("model_ver_stts_name").rlike("DECISION_MAKING"))
-    s = engine.summary(spark, b, controls, AS_OF)
+    s = engine.summary(spark, b, chosen, AS_OF)
     return s.select("query_id", "control_status", "dim_1_value", "dim_2_value", "numerator", "denominator",
                     F.round("metric_value", 6).alias("metric_value"))
 
@@ -250,7 +261,7 @@ def q_enriched(spark, sf):
 
 
 def q_schedule(spark, sf):
-    return dev.schedule_columns(Registry(spark, sf).current("model_ver"))
+    return dev.schedule_columns(Registry.of(spark, sf).current("model_ver"))
 
 
 def schedule_sql():

@@ -236,13 +236,25 @@ def rounded(df):
     return df.withColumn("metric_value", F.round("metric_value", 6))
 
 
+_QUERIES: dict = {}
+
+
+def queries(spark):
+    """The catalogue, built once per session."""
+    key = spark.sparkContext.applicationId
+    if key not in _QUERIES:
+        _QUERIES.clear()
+        _QUERIES[key] = pf.queries(AS_OF)
+    return _QUERIES[key]
+
+
 def context(spark, sf):
-    return pf.Context(Registry(spark, sf).current, AS_OF)
+    return pf.Context(Registry.of(spark, sf).current, AS_OF)
 
 
 def one(i):
     def run(spark, sf):
-        return rounded(pf.result(pf.queries(AS_OF)[i], context(spark, sf)))
+        return rounded(pf.result(queries(spark)[i], context(spark, sf)))
     return run
 
 
@@ -250,7 +262,7 @@ def q_details(spark, sf):
     from functools import reduce
 
     c = context(spark, sf)
-    qs = pf.queries(AS_OF)
+    qs = queries(spark)
     return reduce(lambda a, b: a.unionByName(b), [pf.details(qs[i], c) for i in (5, 6, 13, 18, 44)])
 
 
@@ -258,7 +270,7 @@ def q_shape(spark, sf):
     from functools import reduce
 
     c = context(spark, sf)
-    qs = pf.queries(AS_OF)
+    qs = queries(spark)
     parts = [pf.labelled(qs[i], pf.result(qs[i], c), AS_OF) for i in (1, 8, 39)]
     return rounded(reduce(lambda a, b: a.unionByName(b), parts)).drop("query_name").withColumn("as_of_dt", F.col("as_of_dt").cast("string"))
 

@@ -131,3 +131,19 @@ def bucket(expr):
 
 def ctes(**parts):
     return "with " + ",\n".join(f"{k} as ({v})" for k, v in parts.items()) + "\n"
+
+
+def ts(x):
+    return f"strftime({x}, '%Y-%m-%d %H:%M:%S')"
+
+
+def plain(df):
+    """Spark side: dates and timestamps as text, so that results compare without a time zone."""
+    from pyspark.sql import functions as F
+
+    kinds = dict(df.dtypes)
+    return df.select(*[
+        F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) if kinds[c].startswith("timestamp")
+        else F.col(c).cast("string").alias(c) if kinds[c] == "date" else F.col(c)
+        for c in df.columns
+    ])

@@ -476,14 +476,38 @@ def base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 class Registry:
     """Derived tables by name: ``raw`` history and ``current`` slices at the as-of day."""
 
+    _shared: dict = {}
+
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> Registry:
+        """One registry of lazy frames per session and folder."""
+        key = (spark.sparkContext.applicationId, sf_dir, as_of)
+        if key not in cls._shared:
+            cls._shared = {key: cls(spark, sf_dir, as_of)}
+        return cls._shared[key]
+
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = AS_OF):
         self.spark, self.sf_dir, self.as_of = spark, sf_dir, as_of
         self._layout = layout(Dialect())
+        self._made: dict[tuple[str, str], DataFrame] = {}
+
+    def _once(self, kind: str, name: str, make) -> DataFrame:
+        if (kind, name) not in self._made:
+            self._made[kind, name] = make(name)
+        return self._made[kind, name]
 
     def base(self, name: str) -> DataFrame:
-        return base_table(self.spark, self.sf_dir, name)
+        return self._once("base", name, lambda n: base_table(self.spark, self.sf_dir, n))
 
     def raw(self, name: str) -> DataFrame:
+        return self._once("raw", name, self._derive)
+
+    def current(self, name: str) -> DataFrame:
+        from .operators.state import current_slice
+
+        return self._once("current", name, lambda n: current_slice(self.raw(n), list(self._layout[n].keys), self.as_of))
+
+    def _derive(self, name: str) -> DataFrame:
         t = self._layout[name]
         df = self.base(t.base)
         if t.repeat:
@@ -497,11 +521,6 @@ class Registry:
             df = df.filter(t.where)
         return df.select(*[F.expr(e).alias(c) for c, e in t.cols.items()])
 
-    def current(self, name: str) -> DataFrame:
-        from .operators.state import current_slice
-
-        return current_slice(self.raw(name), list(self._layout[name].keys), self.as_of)
-
 
 def duck_sql(name: str) -> str:
     """The derived history table as a DuckDB query."""

@@ -91,7 +91,7 @@ def any_by(df: DataFrame, key: str, condition: Column, name: str) -> DataFrame:
 
 def value_list(df: DataFrame, key: str, value: str, name: str, sep: str = " | ") -> DataFrame:
     """Sorted distinct values per key as one text. For closed value sets such as statuses."""
-    pairs = df.select(key, F.col(value).cast("string").alias("_v")).distinct()
+    pairs = df.select(key, F.col(value).cast("string").alias("_v")).filter("_v is not null").distinct()
     return pairs.groupBy(key).agg(F.concat_ws(sep, F.sort_array(F.collect_list("_v"))).alias(name))
 
 

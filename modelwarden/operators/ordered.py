@@ -148,3 +148,35 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, fractions: M
         else:
             raise ValueError(f"unknown quantile rule {rule!r}")
     return ranked.groupBy(*keys).agg(*aggs, F.max("_total").alias("n"))
+
+
+def bucketed_lags(df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence[str], value: str) -> DataFrame:
+    """``lag1`` and ``lag2`` of a value in group order; a window covers one bucket only.
+
+    Each bucket hands its last two values to the next non-empty bucket of the group.
+    """
+    asc = Window.partitionBy(*keys, bucket).orderBy(*order)
+    desc = Window.partitionBy(*keys, bucket).orderBy(*[F.col(c).desc() for c in order])
+    tails = (
+        df.select(*keys, bucket, *[c for c in order if c not in keys], value)
+        .withColumn("_d", F.row_number().over(desc)).filter("_d <= 2")
+        .groupBy(*keys, bucket).agg(
+            F.max(F.when(F.col("_d") == 1, F.col(value))).alias("_t1"),
+            F.max(F.when(F.col("_d") == 2, F.col(value))).alias("_t2"),
+            F.max("_d").alias("_n"),
+        )
+    )
+    by = Window.partitionBy(*keys).orderBy(bucket)
+    prev_one = F.lag("_n").over(by) == 1
+    carried = tails.select(
+        *keys, bucket, F.lag("_t1").over(by).alias("_p1"),
+        F.when(prev_one, F.lag("_t1", 2).over(by)).otherwise(F.lag("_t2").over(by)).alias("_p2"),
+    )
+    local = df.withColumns({
+        "_r": F.row_number().over(asc), "_l1": F.lag(value, 1).over(asc), "_l2": F.lag(value, 2).over(asc),
+    })
+    joined = attach(local, carried, [*keys, bucket], "inner")
+    return joined.withColumns({
+        "lag1": F.when(F.col("_r") == 1, F.col("_p1")).otherwise(F.col("_l1")),
+        "lag2": F.when(F.col("_r") == 1, F.col("_p2")).when(F.col("_r") == 2, F.col("_p1")).otherwise(F.col("_l2")),
+    }).drop("_r", "_l1", "_l2", "_p1", "_p2")
