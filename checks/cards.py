@@ -7,6 +7,7 @@ from functools import lru_cache
 from modelwarden.demo import AS_OF, Registry, duck_sql
 from modelwarden.operators import reconcile as rec
 from modelwarden.plans import card, fields
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .development import only
@@ -19,8 +20,20 @@ def reg(spark, sf):
     return Registry.of(spark, sf)
 
 
+_FULL: dict = {}
+
+
+def full_card(spark, sf):
+    """The report as one kept frame: several comparisons read it."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _FULL:
+        _FULL.clear()
+        _FULL[key] = card.build_card(reg(spark, sf).raw, AS_OF, DataFrame.persist).persist()
+    return _FULL[key]
+
+
 def q_card(spark, sf):
-    return plain(card.build_card(reg(spark, sf).raw, AS_OF))
+    return plain(card.build_card(reg(spark, sf).raw, AS_OF, DataFrame.persist))
 
 
 def true3(x):
@@ -104,7 +117,7 @@ CELLS = ("model_name", "model_ver_name", "model_ver_signfcnt_ctgry_code", "bitbu
 
 
 def both(spark, sf):
-    full = card.build_card(reg(spark, sf).raw, AS_OF)
+    full = full_card(spark, sf)
     return edited(full), full
 
 
@@ -129,7 +142,7 @@ def q_invariants(spark, sf):
 
 
 def q_flag_counts(spark, sf):
-    full = card.build_card(reg(spark, sf).raw, AS_OF)
+    full = full_card(spark, sf)
     return full.agg(F.count(F.lit(1)).alias("versions"), *[F.sum(f).alias(f) for f in card.FLAGS])
 
 

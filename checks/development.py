@@ -158,7 +158,10 @@ def bases(spark, sf, names=None):
 
 
 def all_bases(spark, sf):
-    return controls(spark), bases(spark, sf)
+    """All base frames over slices that are derived once and kept for the several readers."""
+    r = Registry.of(spark, sf)
+    slices = [r.current(t).select(*cols).persist() for t, cols in dev.COLUMNS.items()]
+    return controls(spark), {k: make() for k, make in dev.bases(*slices).items()}
 
 
 def one(i):

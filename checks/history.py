@@ -78,7 +78,8 @@ QUERIES = {
     "log_version_activity": lambda s, f: plain(cl.version_activity(changes(s, f), "2007-12-25", 14)),
     "log_bursts": lambda s, f: plain(cl.bursts(changes(s, f), 2)),
     "log_reversals": lambda s, f: plain(cl.reversals(changes(s, f))),
-    "log_after_validation": lambda s, f: cl.after_validation(changes(s, f), reg(s, f).raw("valid"), 480),
+    "log_after_validation": lambda s, f: cl.after_validation(changes(s, f), reg(s, f).raw("valid"), 480).withColumn(
+        "hours_after_validation", F.round("hours_after_validation", 6)),
     "log_control_readiness": lambda s, f: cl.control_readiness(linked(s, f)),
     "log_readiness_overall": lambda s, f: cl.readiness_overall(cl.control_readiness(linked(s, f))),
     "log_change_sequence": lambda s, f: plain(cl.change_sequence(history(s, f)).drop("source_dttm", "previous_value")),
@@ -241,7 +242,7 @@ def ORACLE():
             "window w_ as (partition by entity_sid, parameter_name order by change_dttm, change_sid)) where new_value = l2 and new_value <> l1"),
         "log_after_validation": w(
             "select entity_sid model_ver_sid, change_sid, parameter_name, previous_value, new_value, h hours_after_validation, h <= 480 within_limit, critical, user_key from "
-            "(select ch.*, round((floor(epoch(change_dttm)) - floor(epoch(e))) / 3600.0, 2) h from ch join last_valid on model_ver_sid = entity_sid where change_dttm > e)"),
+            "(select ch.*, round((floor(epoch(change_dttm)) - floor(epoch(e))) / 3600.0, 6) h from ch join last_valid on model_ver_sid = entity_sid where change_dttm > e)"),
         "log_control_readiness": w("select * from ready"),
         "log_readiness_overall": w("select count(*) filter (readiness_status = 'REALIZABLE') realizable_checks, count(*) filter (readiness_status = 'PARTIAL') partial_checks, "
                                    "count(*) filter (readiness_status in ('NOT_REALIZABLE','NOT_CONFIRMED')) not_realizable_checks from ready"),

@@ -40,6 +40,24 @@ PLAN_START, PLAN_END = "model_ver_dev_start_plan_dttm", "model_ver_dev_end_plan_
 FACT_START, FACT_END = "model_ver_dev_start_fact_dttm", "model_ver_dev_end_fact_dttm"
 
 
+# Contract: the columns the controls read from each table.
+COLUMNS = {
+    "model_ver": (
+        "model_ver_sid", "model_sid", "model_ver_stts_name", "model_ver_signfcnt_ctgry_code", "model_ver_owner_dprtmt_name",
+        "model_ver_dev_dprtmt_name", "model_ver_method_name", "model_ver_data_type_name", PLAN_START, PLAN_END, FACT_START, FACT_END,
+        "model_ver_dev_report_sid", "model_ver_prevalid_flag", "model_ver_prevalid_rslt_name", "model_ver_llm_flag",
+        "model_ver_llm_descr_txt", "model_ver_proj_feature_flag", "model_ver_proj_feature_sid", "model_ver_repstry_link_txt",
+        "model_ver_repstry_commit_sid", "model_ver_crtn_dttm",
+    ),
+    "valid": (
+        "valid_sid", "model_ver_sid", "valid_stts_name", "valid_rslt_name", "valid_end_fact_dttm", "valid_dev_return_reason_txt",
+        "valid_prblm_name", "valid_start_fact_dttm", "valid_crtn_dttm",
+    ),
+    "sample_data": ("sample_data_sid", "model_ver_sid", "valid_sid", "sample_data_type_name", "sample_data_not_metric_calc_flag"),
+    "metric": ("metric_sid", "sample_data_sid", "metric_name", "metric_val"),
+}
+
+
 def active_versions(mv: DataFrame) -> DataFrame:
     return mv.filter(~status_like("model_ver_stts_name", CLOSED_MODEL_STATUS))
 
