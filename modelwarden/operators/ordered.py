@@ -93,15 +93,13 @@ def smallest_n(df: DataFrame, keys: Sequence[str], hex_digest: str, order: Seque
     upto = Window.partitionBy(*keys).orderBy("_b")
     cum = hist.withColumn("_cum", F.sum("_n").over(upto))
     fate = cum.select(
-        *keys, "_b",
-        F.when(F.col("_cum") <= F.col(quota_col), F.lit(-1))
-        .otherwise(F.col(quota_col) - (F.col("_cum") - F.col("_n"))).alias("_take"),
-    ).filter("_take <> 0 and _take >= -1")
+        *keys, "_b", (F.col("_cum") <= F.col(quota_col)).alias("_whole"),
+        (F.col(quota_col) - (F.col("_cum") - F.col("_n"))).alias("_take"),
+    ).filter("_whole or _take > 0")
     marked = attach(b, fate, [*keys, "_b"], "inner")
-    whole = marked.filter("_take = -1")
     edge = Window.partitionBy(*keys, "_b").orderBy(hex_digest, *order)
-    part = marked.filter("_take > 0").withColumn("_r", F.row_number().over(edge)).filter("_r <= _take")
-    return whole.unionByName(part.drop("_r")).drop("_b", "_take")
+    part = marked.filter("not _whole").withColumn("_r", F.row_number().over(edge)).filter("_r <= _take")
+    return marked.filter("_whole").unionByName(part.drop("_r")).drop("_b", "_take", "_whole")
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, fractions: Mapping[str, float],
