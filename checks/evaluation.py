@@ -190,7 +190,7 @@ QUERIES = {
     "trial_layers": lambda s, f: out(tr.layers(search(s, f), 2), "layer"),
     "trial_crowding": lambda s, f: r6(tr.crowding(tr.layers(search(s, f), 2)).select("trial_id", "layer", "crowding")),
     "trial_promotion_fixed": q_promotion("fixed"), "trial_promotion_adaptive": q_promotion("adaptive"),
-    "trial_coalitions": lambda s, f: r6(tr.coalitions(trials(s, f), 0.2, 2.0, 5)),
+    "trial_coalitions": lambda s, f: r6(tr.coalitions(trials(s, f).filter("n_features = 4"), 0.2, 2.0, 5)),
     "trial_feature_frequency": lambda s, f: r6(tr.feature_frequency(tr.top_trials(keyed(s, f), 100))),
     "trial_pair_frequency": lambda s, f: r6(tr.pair_frequency(tr.top_trials(keyed(s, f), 100))),
     "fold_feature_stability": lambda s, f: r6(tr.feature_stability(folds(s, f), 0.5, 0.6, 8, 7, ("f1",))),
@@ -282,7 +282,7 @@ def base_ctes():
         f2="select * from topv2 p where not exists (select 1 from tup2 where n <= p.n_features and v >= p.valid_metric and s <= p.metric_std and (n < p.n_features or v > p.valid_metric or s < p.metric_std))",
         ly="select *, 1 layer from f1 union all select *, 2 layer from f2",
         ok2="select * from se where constraint_violation <= 1e-12",
-        best1=f"select * exclude (r_) from (select *, row_number() over (partition by subset_key order by {RANK}) r_ from t) where r_ = 1",
+        best1=f"select * exclude (r_) from (select *, row_number() over (partition by subset_key order by {RANK}) r_ from t where n_features = 4) where r_ = 1",
         ranked=f"select *, row_number() over (order by -(-constraint_violation * 1e6 + valid_metric), {RANK}) pos from best1",
         top100=f"select * from t order by {RANK} limit 100", top50=f"select * from t order by {RANK} limit 50",
         fc="select fold, f, count(*) n from (select fold, unnest(features) f from t) group by 1, 2",
@@ -316,6 +316,12 @@ def proposals_sql(weighted):
 
 
 def ORACLE():
+    import re
+
+    return {k: re.sub(r'(?<![\w"])precision(?![\w"])', '"precision"', v) for k, v in _oracle().items()}
+
+
+def _oracle():
     hit = "sum(case when {0} then weight else 0 end)"
     o = "trial_id, subset_key, n_features, valid_metric, metric_std, constraint_violation"
     ch = chosen("where split = 'O'", "max_precision", 0.30, 0.40)

@@ -13,7 +13,7 @@ def ins(values):
 
 
 def low(x):
-    return f"lower(trim(cast({x} as varchar)))"
+    return f"lower(trim(cast({x} as varchar), ' '))"
 
 
 def blank(x):
@@ -58,7 +58,7 @@ def falsehood(x):
 
 
 def clean(x):
-    return f"case when {blank(x)} then '$NULL$' else regexp_replace(trim(cast({x} as varchar)), '\\s+', ' ', 'g') end"
+    return f"case when {blank(x)} then '$NULL$' else regexp_replace(trim(cast({x} as varchar), ' '), '\\s+', ' ', 'g') end"
 
 
 def dim(x):

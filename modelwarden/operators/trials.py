@@ -50,33 +50,35 @@ def pareto_two(trials: DataFrame) -> DataFrame:
     return ok.join(F.broadcast(steps), "n_features").filter("valid_metric = _best").drop("_best", "_seen")  # one row per size
 
 
-def _least_before(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add ``_low``: least spread among contributors that come earlier (metric descending)."""
-    b = balanced_buckets(df, keys, "m")
-    gives = F.when(F.col("c") == 1, F.col("s"))
-    per_bucket = b.groupBy(*keys, "_b").agg(F.min(gives).alias("_bm"))
-    higher = Window.partitionBy(*keys).orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    carried = per_bucket.select(*keys, "_b", F.min("_bm").over(higher).alias("_hm"))
-    inside = Window.partitionBy(*keys, "_b").orderBy(F.col("m").desc(), F.col("c").desc(), F.col("s")).rowsBetween(Window.unboundedPreceding, -1)
-    local = b.withColumn("_lm", F.min(gives).over(inside))
-    return attach(local, carried, [*keys, "_b"], "inner").withColumn("_low", F.least("_lm", "_hm")).drop("_b", "_lm", "_hm")
+def _staircase(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Tuples with a smaller spread than every tuple of at least their metric in the group."""
+    w = Window.partitionBy(*keys).orderBy(F.col("m").desc(), F.col("s")).rowsBetween(Window.unboundedPreceding, -1)
+    return df.withColumn("_low", F.min("s").over(w)).filter("_low is null or s < _low").drop("_low")
+
+
+CHUNKS = 256
 
 
 def pareto_three(trials: DataFrame) -> DataFrame:
     """Trials that no other dominates on metric, size and spread; least violation comes first.
 
-    No pairs are formed. Objective tuples are reduced to a staircase within each size; then each
-    survivor meets the least spread of smaller sizes at its metric or above. Sizes are few.
+    No pairs are formed. Distinct objective tuples are cut into hash chunks and each chunk keeps
+    its own staircase, since what a chunk already beats cannot be on the front; the few survivors
+    of a size then form its staircase. Last, a tuple must beat the least spread that any smaller
+    size reaches at its metric or above. Sizes are few.
     """
     least = trials.agg(F.min("constraint_violation").alias("_v"))
     top = trials.crossJoin(F.broadcast(least)).filter(F.col("constraint_violation") == F.col("_v")).drop("_v")
     tuples = top.select(F.col("n_features").alias("n"), F.col("valid_metric").alias("m"), F.col("metric_std").alias("s")).distinct()
-    stairs = _least_before(tuples.withColumn("c", F.lit(1)), ["n"]).filter("_low is null or s < _low").select("n", "m", "s")
-    sizes = stairs.select(F.col("n").alias("k")).distinct()
-    gives = stairs.join(F.broadcast(sizes), F.col("k") > F.col("n")).select("k", "m", "s", F.lit(1).alias("c"))  # few sizes
-    takes = stairs.select(F.col("n").alias("k"), "m", "s", F.lit(0).alias("c"))
-    front = _least_before(gives.unionByName(takes), ["k"]).filter("c = 0 and (_low is null or s < _low)")
-    front = front.select(F.col("k").alias("n_features"), F.col("m").alias("valid_metric"), F.col("s").alias("metric_std"))
+    chunked = tuples.withColumn("_c", F.pmod(F.xxhash64("n", "m", "s"), F.lit(CHUNKS)))
+    stairs = _staircase(_staircase(chunked, ["n", "_c"]).drop("_c"), ["n"])
+    top_size = trials.agg(F.max("n_features").alias("_hi"))
+    spread = stairs.crossJoin(F.broadcast(top_size)).select(
+        "m", "s", "n", F.explode(F.sequence("n", "_hi")).alias("k")).withColumn("c", (F.col("k") > F.col("n")).cast("int"))
+    w = Window.partitionBy("k").orderBy(F.col("m").desc(), F.col("c").desc(), "s").rowsBetween(Window.unboundedPreceding, -1)
+    low = F.min(F.when(F.col("c") == 1, F.col("s"))).over(w)
+    front = spread.withColumn("_low", low).filter("c = 0 and (_low is null or s < _low)").select(
+        F.col("n").alias("n_features"), F.col("m").alias("valid_metric"), F.col("s").alias("metric_std"))
     return top.join(front, ["n_features", "valid_metric", "metric_std"], "left_semi").select(*trials.columns)
 
 
