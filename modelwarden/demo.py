@@ -21,8 +21,11 @@ class Dialect:
     """Spellings of Spark SQL."""
 
     def num(self, h: str, slot: int) -> str:
-        """Three hex digits of a digest as an integer in [0, 4096)."""
-        return f"cast(conv(substr({h}, {1 + 3 * slot}, 3), 16, 10) as int)"
+        """Three hex digits of a digest as an integer in [0, 4096), cut from a 60-bit half."""
+        return f"cast(shiftright({h}n{slot // 5}, {48 - 12 * (slot % 5)}) & 4095 as int)"
+
+    def half(self, h: str, part: int) -> str:
+        return f"cast(conv(substr({h}, {1 + 15 * part}, 15), 16, 10) as bigint)"
 
     def day(self, d: str, n: str) -> str:
         return f"date_add({d}, cast({n} as int))"
@@ -42,7 +45,10 @@ class DuckDialect(Dialect):
     """The same functions as DuckDB spells them, for checks by another engine."""
 
     def num(self, h, slot):
-        return f"cast(('0x' || substr({h}, {1 + 3 * slot}, 3)) as integer)"
+        return f"cast((({h}n{slot // 5} >> {48 - 12 * (slot % 5)}) & 4095) as integer)"
+
+    def half(self, h, part):
+        return f"cast(('0x' || substr({h}, {1 + 15 * part}, 15)) as bigint)"
 
     def day(self, d, n):
         return f"({d} + cast({n} as integer))"
@@ -469,8 +475,18 @@ BASES = (
 )
 
 
+SPREAD_ABOVE_BYTES = 128 * 1024
+
+
 def base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One input table. A lone file of one row group is a single task, so its rows are spread
+    over the cores before the derivations; an input with enough splits is read as it is."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size > SPREAD_ABOVE_BYTES and df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 class Registry:
@@ -517,6 +533,8 @@ class Registry:
             "h0": F.expr(f"md5('0:' || {t.key})"),
             **{f"h{i}": F.expr(f"md5('{i}:' || {key})") for i in (1, 2, 3)},
         })
+        d = Dialect()
+        df = df.withColumns({f"h{i}n{p}": F.expr(d.half(f"h{i}", p)) for i in range(4) for p in (0, 1)})
         if t.where:
             df = df.filter(t.where)
         return df.select(*[F.expr(e).alias(c) for c, e in t.cols.items()])
@@ -531,7 +549,8 @@ def duck_sql(name: str) -> str:
     digests = f"md5('0:' || {t.key}) h0, " + ", ".join(f"md5('{i}:' || {key}) h{i}" for i in (1, 2, 3))
     cols = ", ".join(f"{e} as {c}" for c, e in t.cols.items())
     where = f" where {t.where}" if t.where else ""
-    return f"select {cols} from (select *, {digests} from {source}) s{where}"
+    halves = ", ".join(f"{d.half(f'h{i}', p)} h{i}n{p}" for i in range(4) for p in (0, 1))
+    return f"select {cols} from (select *, {halves} from (select *, {digests} from {source}) q) s{where}"
 
 
 def duck_keys(name: str) -> tuple[str, ...]:
