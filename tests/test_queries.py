@@ -8,9 +8,8 @@ import __spark_entry__ as entry
 from checks.compare import compare, duck
 
 TWINS = (
-    "dev_control_09", "dev_control_16", "dev_control_27", "dev_not_assessable", "portfolio_05", "portfolio_20", "portfolio_36", "card_flags", "field_statistics",
-    "log_reversals", "log_change_sequence_certain", "life_event_log", "split_group_temporal", "sample_category_quota", "drift_psi_numeric", "eval_frozen_threshold",
-    "boot_rows", "trial_pareto_three", "fold_jaccard", "state_certainty", "join_closure", "text_predicates",
+    "dev_control_09", "dev_control_16", "portfolio_05", "portfolio_20", "field_statistics", "log_reversals", "log_change_sequence_certain",
+    "split_group_temporal", "sample_category_quota", "drift_psi_numeric", "eval_frozen_threshold", "boot_rows", "trial_pareto_three", "text_predicates",
 )
 
 
