@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -35,6 +35,15 @@ def stored(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def computed(df: DataFrame, **columns: Column) -> DataFrame:
+    """`df` with more columns that are worked out once a row, even where lambdas of later expressions use them.
+
+    A generator stands between: the optimiser would otherwise copy an expression into the lambda and repeat it there
+    for each array element.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """Cuts Arrow batches so that the values of one column hold about `most_bytes` (one row at least)."""
     for batch in batches:
@@ -69,42 +78,37 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offsets - offsets[0]
 
 
-def word_hashes(raw: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words are runs of bytes with `is_word`, never across rows. Gives 64-bit hash, row, start and end byte of each.
-
-    A-Z are lower-cased. A word is mixed eight bytes at a time, its length included.
-    """
-    flag = is_word[raw]
-    edge = np.zeros(len(raw) + 1, bool)
-    edge[offsets] = True
-    before = np.empty(len(raw), bool)
-    if len(raw):
-        before[0] = False
-        before[1:] = flag[:-1]
-    starts = np.flatnonzero(flag & (~before | edge[:-1]))
-    after = np.empty(len(raw), bool)
-    if len(raw):
-        after[-1] = False
-        after[:-1] = flag[1:]
-    ends = np.flatnonzero(flag & (~after | edge[1:])) + 1
-    low = raw.copy()
-    capital = (low >= 65) & (low <= 90)
-    low[capital] += 32
-    packed = np.concatenate([low, np.zeros(8, np.uint8)])
-    size = ends - starts
-    h = spread(size.astype(np.uint64), 1)
-    at, left, live = starts.copy(), size.copy(), np.arange(len(starts))
-    windows = np.lib.stride_tricks.sliding_window_view(packed, 8)
-    while len(live):
-        chunk = np.ascontiguousarray(windows[at[live]]).view(np.uint64).ravel()
-        short = np.minimum(left[live], 8).astype(np.uint64)
-        mask = np.where(short == 8, ~np.uint64(0), (np.uint64(1) << (short * np.uint64(8))) - np.uint64(1))
+def word_bounds(raw: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words are runs of bytes with `is_word`, never across rows. Gives the row, start and end byte of each."""
+    flag = np.concatenate([[False], is_word[raw], [False]])
+    border = np.zeros(len(raw) + 1, bool)
+    border[offsets] = True
+    starts = np.flatnonzero(flag[1:-1] & (~flag[:-2] | border[:-1]))
+    ends = np.flatnonzero(flag[1:-1] & (~flag[2:] | border[1:])) + 1
+    return np.searchsorted(offsets, starts, side="right") - 1, starts, ends
+
+
+def lowered(raw: np.ndarray) -> np.ndarray:
+    """A copy with A-Z in lower case, and eight zero bytes at the end, as `span_hashes` wants it."""
+    low = np.concatenate([raw, np.zeros(8, np.uint8)])
+    low[(low >= 65) & (low <= 90)] += 32
+    return low
+
+
+def span_hashes(padded: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each byte span, mixed eight bytes at a time, its length included."""
+    h = spread(sizes.astype(np.uint64), 1)
+    windows = np.lib.stride_tricks.sliding_window_view(padded, 8)
+    live, at, left = slice(None), starts, sizes
+    while len(at):
+        chunk = np.ascontiguousarray(windows[at]).view(np.uint64).ravel()
+        rest = np.minimum(left, 8).astype(np.uint64)
+        mask = ~np.uint64(0) >> ((np.uint64(8) - rest) * np.uint64(8))
         h[live] = spread(h[live] ^ (chunk & mask), 2)
-        at[live] += 8
-        left[live] -= 8
-        live = live[left[live] > 0]
-    rows = np.searchsorted(offsets, starts, side="right") - 1
-    return h, rows, starts, ends
+        more = np.flatnonzero(left > 8)
+        live = more if isinstance(live, slice) else live[more]
+        at, left = at[more] + 8, left[more] - 8
+    return h
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:

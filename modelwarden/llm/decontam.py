@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from modelwarden.llm.common import stored
+from modelwarden.llm.common import computed, stored
 
 #: What stands between words: all of ASCII but digits and letters. Listed one by one, which Java matches by table.
 BETWEEN = "[" + "".join(f"\\x{c:02X}" for c in range(128) if not chr(c).isalnum()) + "]+"
@@ -20,12 +20,7 @@ END = "\n"
 
 def _words(text: Column) -> Column:
     """Words of a text as they stand; null and wordless texts give an empty array."""
-    parts = F.split(text, BETWEEN)
-    first, last = F.get(parts, F.lit(0)) == "", F.get(parts, F.size(parts) - 1) == ""
-    skip = F.when(first, 1).otherwise(0)
-    count = F.greatest(F.size(parts) - skip - F.when(last, 1).otherwise(0), F.lit(0))
-    inner = F.when(first | last, F.slice(parts, skip + 1, count)).otherwise(parts)
-    return F.when(text.isNull(), F.array().cast("array<string>")).otherwise(inner)
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), BETWEEN), "")
 
 
 def plain_lower(text: Column) -> Column:
@@ -61,7 +56,8 @@ def positional_index(docs: DataFrame, terms: DataFrame, doc: str = "doc_id", tex
     before rows are made. The term table is small beside the corpus and joins by Spark's own choice of plan.
     """
     shortest = terms.agg(F.coalesce(F.min(F.length("term")), F.lit(1)).alias("shortest"))
-    words = docs.select(F.col(doc).alias("doc"), F.xxhash64(text).alias("twin"), _words(F.col(text)).alias("w")).crossJoin(F.broadcast(shortest))
+    words = computed(docs.select(F.col(doc).alias("doc"), F.xxhash64(text).alias("twin"), F.col(text).alias("t")), w=_words(F.col("t"))).drop("t")
+    words = words.crossJoin(F.broadcast(shortest))
     places = F.filter(F.transform("w", lambda w, i: F.struct(i.alias("at"), w.alias("term"))), lambda p: F.length(p["term"]) >= F.col("shortest"))
     places = F.concat(places, F.array(F.struct(F.size("w").alias("at"), F.lit(END).alias("term"))))
     rows = words.select("doc", "twin", F.explode(places).alias("p")).select("doc", "twin", F.col("p.at").alias("at"), F.lower("p.term").alias("term"))
@@ -95,7 +91,7 @@ def exact_hits(docs: DataFrame, spots: DataFrame, doc: str = "doc_id", text: str
     asked = spots.groupBy("doc", "twin").agg(F.collect_set(F.struct("start", "size", "item", "phrase")).alias("asked"))
     texts = docs.select(F.col(doc).alias("d"), F.xxhash64(text).alias("w"), F.col(text).alias("t"))
     both = texts.join(asked, F.col("doc").eqNullSafe(F.col("d")) & (F.col("twin") == F.col("w")))
-    both = both.select("doc", "twin", "asked", _words(plain_lower(F.col("t"))).alias("words"))
+    both = computed(both, words=_words(plain_lower(F.col("t")))).drop("t")
     proved = F.filter("asked", lambda s: F.array_join(F.slice(F.col("words"), s["start"] + 1, s["size"]), " ") == s["phrase"])
     hits = F.transform(proved, lambda s: F.struct(s["start"].alias("start"), s["size"].alias("size"), s["item"].alias("item")))
     return both.select("doc", "twin", hits.alias("hits")).filter(F.size("hits") > 0).dropDuplicates(["doc", "twin"])

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modelwarden.llm import bpe, decontam, lines, sharding, substrings
+from modelwarden.llm import bpe, decontam, lines, pii, quality, sharding, substrings, toxicity
 
 TOKENIZER = "word_bpe_49k.json"
 SHARDS = 16
@@ -37,6 +37,17 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    shown = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("spans", lambda s: s["order"] < len(pii.PATTERNS))
+    return found.select(
+        F.col("doc").alias("doc_id"), *[count(k) for k in pii.PATTERNS], F.sha2(shown(base), 256).alias("base_sha256"), shown(F.col("spans")).alias("spans"),
+        count("term"), count("gone"),
+    )
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.repeated_passages(table(spark, sf_dir, "documents"))
 
@@ -54,12 +65,25 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.toxicity_scores(docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.quality_scores(docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_sharding": op2_sharding,
+    "op3_pii": op3_pii,
     "op4_substring_dedup": op4_substring_dedup,
     "op6_line_dedup": op6_line_dedup,
     "op7_decontamination": op7_decontamination,
+    "op9_toxicity": op9_toxicity,
+    "op10_quality": op10_quality,
 }
 
 _LINES = rf"""
