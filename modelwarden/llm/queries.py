@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modelwarden.llm import bpe, decontam, lines, pii, quality, sharding, substrings, toxicity
+from modelwarden.llm import bpe, decontam, jaccard, lines, pii, quality, sharding, substrings, toxicity
 
 TOKENIZER = "word_bpe_49k.json"
 SHARDS = 16
@@ -52,6 +52,11 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.similar_groups(table(spark, sf_dir, "documents"))
+    return found.select(F.col("doc").alias("doc_id"), "n_shingles", "component_id")
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = lines.dedup_lines(table(spark, sf_dir, "documents"), SITES)
     return docs.select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("kept_chars"), F.sha2("text", 256).alias("text_sha256"))
@@ -80,6 +85,7 @@ QUERIES = {
     "op2_sharding": op2_sharding,
     "op3_pii": op3_pii,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_line_dedup": op6_line_dedup,
     "op7_decontamination": op7_decontamination,
     "op9_toxicity": op9_toxicity,
