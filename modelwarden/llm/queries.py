@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modelwarden.llm import bpe, decontam, jaccard, lines, pii, quality, sharding, substrings, toxicity
+from modelwarden.llm import bpe, decontam, embeddings, jaccard, lines, pii, quality, sharding, substrings, toxicity
 
 TOKENIZER = "word_bpe_49k.json"
 SHARDS = 16
@@ -70,6 +70,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return toxicity.toxicity_scores(docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
@@ -88,6 +92,7 @@ QUERIES = {
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_line_dedup": op6_line_dedup,
     "op7_decontamination": op7_decontamination,
+    "op8_embedding_dedup": op8_embedding_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_quality": op10_quality,
 }
