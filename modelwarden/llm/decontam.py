@@ -61,7 +61,7 @@ def positional_index(docs: DataFrame, terms: DataFrame, doc: str = "doc_id", tex
     places = F.filter(F.transform("w", lambda w, i: F.struct(i.alias("at"), w.alias("term"))), lambda p: F.length(p["term"]) >= F.col("shortest"))
     places = F.concat(places, F.array(F.struct(F.size("w").alias("at"), F.lit(END).alias("term"))))
     rows = words.select("doc", "twin", F.explode(places).alias("p")).select("doc", "twin", F.col("p.at").alias("at"), F.lower("p.term").alias("term"))
-    wanted = terms.select("term").distinct().union(terms.sparkSession.createDataFrame([(END,)], "term string"))
+    wanted = terms.select("term").union(terms.sparkSession.range(1).select(F.lit(END).alias("term"))).distinct()
     return rows.join(wanted, "term").select("doc", "twin", "at", "term")
 
 

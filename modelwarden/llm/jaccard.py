@@ -70,7 +70,7 @@ def set_ids(codes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return spread(spread(total(41), 43) ^ total(42) ^ np.diff(offsets).astype(np.uint64), 44).view(np.int64)
 
 
-def _profile(docs: DataFrame, least: int = 3) -> DataFrame:
+def _profile(docs: DataFrame, least: int = 2) -> DataFrame:
     """Rows of kind 0 (doc, twin, size, id) for documents, of kind 1 (code, count) for shingles frequent within a slice."""
     schema = "kind int, doc long, twin long, size long, id long"
 
@@ -115,9 +115,10 @@ def _pack(block: np.ndarray, codes: np.ndarray, ids: np.ndarray, sizes: np.ndarr
     )
 
 
-def _entries(docs: DataFrame, frequent: list[int], counts: list[int], blocks: int, most: int) -> DataFrame:
+def _entries(docs: DataFrame, frequent: np.ndarray, counts: np.ndarray, blocks: int, most: int) -> DataFrame:
     """Kept entries of each row, packed by block of columns. Columns of more than `most` rows are split by row id."""
-    known = docs.sparkSession.sparkContext.broadcast((np.sort(np.array(frequent, np.int64).view(np.uint64)), np.array(counts, np.int64)[np.argsort(np.array(frequent, np.int64).view(np.uint64))]))
+    order = np.argsort(frequent)
+    known = docs.sparkSession.sparkContext.broadcast((frequent[order], counts[order]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often, count = known.value
@@ -181,42 +182,35 @@ def _counted(pairs: DataFrame) -> DataFrame:
     return total.filter(F.col("n") >= F.least(least("a_size"), least("b_size"))).select("a", "b")
 
 
-def _apart(columns: DataFrame, labels: DataFrame, most: int) -> DataFrame:
-    """Pairs (a, b, n, sizes) of rows that share columns, pass the size bound and are in different components.
-
-    Columns whose rows are all in one component drop out first; large ones are cut into chunks by row id, and chunks
-    meet in pairs, so no task holds a large column whole.
-    """
+def _mixed(columns: DataFrame, labels: DataFrame) -> DataFrame:
+    """Entries (code, id, size, component, rows) of the columns whose rows are in more than one component."""
     rows = columns.select("code", "id", "size").join(labels.select(F.col("node").alias("id"), "component"), "id", "left")
-    rows = stored(rows.select("code", "id", "size", F.coalesce("component", "id").alias("component")), "labelled")
+    rows = rows.select("code", "id", "size", F.coalesce("component", "id").alias("component"))
     mixed = rows.groupBy("code").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("rows"))
-    mixed = mixed.filter("low <> high").select("code", F.ceil(F.col("rows") / most).cast("int").alias("parts"))
-    part = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
-    met = rows.join(mixed, "code").withColumn("own", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    met = met.select(
-        F.when(F.col("parts") > 1, F.col("code")).otherwise(F.pmod(F.xxhash64("code"), F.lit(4096))).alias("block"),
-        F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "code", "id", "size", "component", "own",
-    )
+    return stored(rows.join(mixed.filter("low <> high").select("code", "rows"), "code"), "mixed")
+
+
+def _apart(mixed: DataFrame) -> DataFrame:
+    """Pairs (a, b, n, sizes) of rows that share columns, pass the size bound and are in different components."""
+    met = mixed.withColumn("block", F.pmod(F.xxhash64("code"), F.lit(4096)))
 
     def run(table: pa.Table) -> pa.Table:
-        x, y = table["x"][0].as_py(), table["y"][0].as_py()
         get = lambda c: table[c].to_numpy()
         order = np.lexsort((get("id"), get("size"), get("code")))
-        codes, ids, sizes, group, own = (get(c)[order] for c in ("code", "id", "size", "component", "own"))
+        codes, ids, sizes, group = (get(c)[order] for c in ("code", "id", "size", "component"))
         first, length = _runs(codes)
         out = []
         for start, count in zip(first.tolist(), length.tolist()):
             rest = slice(start, start + count)
-            i_, z, g, o = ids[rest], sizes[rest], group[rest], own[rest]
+            i_, z, g = ids[rest], sizes[rest], group[rest]
             # Sizes are in order: row i meets rows after it up to 1.25 times its size.
             stop = np.searchsorted(z, z * 5 // 4, side="right")
             for i in range(count - 1):
                 j = slice(i + 1, int(stop[i]))
-                if j.stop > j.start:
-                    ok = (g[j] != g[i]) & ((o[j] != o[i]) if x != y else True)
-                    if ok.any():
-                        other = i_[j][ok]
-                        out.append((np.minimum(other, i_[i]), np.maximum(other, i_[i]), np.where(other < i_[i], z[j][ok], z[i]), np.where(other < i_[i], z[i], z[j][ok])))
+                ok = g[j] != g[i]
+                if ok.any():
+                    other = i_[j][ok]
+                    out.append((np.minimum(other, i_[i]), np.maximum(other, i_[i]), np.where(other < i_[i], z[j][ok], z[i]), np.where(other < i_[i], z[i], z[j][ok])))
         if not out:
             return pa.table({c: pa.array([], pa.int64()) for c in ("a", "b", "n", "a_size", "b_size")})
         a, b, a_size, b_size = (np.concatenate(c) for c in zip(*out))
@@ -226,19 +220,66 @@ def _apart(columns: DataFrame, labels: DataFrame, most: int) -> DataFrame:
         n = np.diff(np.append(np.flatnonzero(new), len(a)))
         return pa.table({"a": a[new], "b": b[new], "n": n, "a_size": a_size[new], "b_size": b_size[new]})
 
-    return met.groupBy("block", "x", "y").applyInArrow(run, "a long, b long, n long, a_size long, b_size long")
+    return met.groupBy("block").applyInArrow(run, "a long, b long, n long, a_size long, b_size long")
 
 
-def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, small: int = 500_000) -> DataFrame:
-    """The pairs (a, b) that link: full product of the two rows, from the texts of one document a class.
+def _product(mixed: DataFrame, classes: DataFrame, docs: DataFrame, chunk: int) -> DataFrame:
+    """Spanning edges (a, b) of the links among the rows of each large column, by the full product of its rows.
 
-    The asked documents are broadcast up to `small` of them (16 bytes each), else joined by a shuffle.
+    A column's rows are dealt to chunks by id; chunks meet in pairs of tasks. A task multiplies the incidence of its rows
+    block by block of shingles, adds the counts up and keeps what meets the bound; it gives edges, not pairs.
     """
-    pairs = stored(pairs, "pairs")
-    asked = stored(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct().join(classes, "id").select("id", "rep_doc", "rep_twin"), "asked")
+    texts = _texts(mixed.select("id").distinct(), classes, docs)
+    parts = F.ceil(F.col("rows") / chunk).cast("int")
+    met = mixed.withColumn("own", F.pmod(F.xxhash64("id"), parts).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    met = met.select("code", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "id").join(texts, "id")
+
+    def run(table: pa.Table) -> pa.Table:
+        ids, column = table["id"].to_numpy(), table["text"].combine_chunks()
+        codes, offsets = shingle_sets(pa.concat_arrays(column.chunks) if isinstance(column, pa.ChunkedArray) else column)
+        sizes = np.diff(offsets)
+        rows = np.repeat(np.arange(len(ids)), sizes)
+        _, at, count = np.unique(codes, return_inverse=True, return_counts=True)
+        place = np.cumsum(count > 1) - 1
+        rows, at = rows[count[at] > 1], place[at[count[at] > 1]]
+        total, order = np.zeros((len(ids), len(ids)), np.float32), np.argsort(at, kind="stable")
+        rows, at = rows[order], at[order]
+        for start in range(0, int(at[-1]) + 1 if len(at) else 0, 1024):
+            a, b = np.searchsorted(at, [start, start + 1024])
+            block = np.zeros((len(ids), 1024), np.float32)
+            block[rows[a:b], at[a:b] - start] = 1
+            total += block @ block.T
+        label, linked = np.arange(len(ids)), []
+        for i in range(len(ids)):
+            j = i + 1 + np.flatnonzero(180 * total[i, i + 1 :].astype(np.int64) >= 80 * (sizes[i] + sizes[i + 1 :]))
+            linked.append(np.append(j, i))
+        moved = True
+        while moved:
+            moved = False
+            for j in linked:
+                if len(j) > 1 and (label[j] != label[j].min()).any():
+                    label[j], moved = label[j].min(), True
+        other = np.flatnonzero(label != np.arange(len(ids)))
+        return pa.table({"a": ids[label[other]], "b": ids[other]})
+
+    return met.groupBy("code", "x", "y").applyInArrow(run, "a long, b long")
+
+
+def _texts(asked: DataFrame, classes: DataFrame, docs: DataFrame, small: int = 500_000) -> DataFrame:
+    """Rows (id, text) for the asked class ids, from one document a class.
+
+    The asked documents are broadcast up to `small` of them (24 bytes each), else joined by a shuffle.
+    """
+    asked = stored(asked.join(classes, "id").select("id", "rep_doc", "rep_twin"), "asked")
     few = F.broadcast(asked) if asked.count() <= small else asked
     texts = docs.join(few, F.col("doc").eqNullSafe(F.col("rep_doc")) & (F.col("twin") == F.col("rep_twin"))).select("id", "text")
-    texts = stored(texts.dropDuplicates(["id"]), "texts")
+    return stored(texts.dropDuplicates(["id"]), "texts")
+
+
+def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (a, b) that link: full product of the two rows, from the texts of one document a class."""
+    pairs = stored(pairs, "pairs")
+    texts = _texts(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), classes, docs)
     both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("a_text")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("b_text")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,7 +297,8 @@ def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, small: int = 5
 
 
 def similar_groups(
-    docs: DataFrame, doc: str = "doc_id", text: str = "text", order_bound: int = 200_000, block_rows: int = 1_000_000, most: int = 200_000,
+    docs: DataFrame, doc: str = "doc_id", text: str = "text", order_bound: int = 500_000, block_rows: int = 1_000_000, most: int = 200_000,
+    large: int = 48, chunk: int = 1000,
 ) -> DataFrame:
     """One row per row of `docs`: (doc, twin, n_shingles, component_id), component_id being the smallest linked doc.
 
@@ -265,20 +307,21 @@ def similar_groups(
     null ids are never a component's name unless it has no other. An empty table gives no rows.
 
     `order_bound` bounds the list of frequent shingles that is broadcast; it orders columns and does not change the result.
-    `block_rows` sets the size of a block, `most` the rows of one column that a task may hold.
+    `block_rows` sets the size of a block, `most` the entries of one column that a task may hold. Columns of more than
+    `large` rows that are still apart are multiplied in place, `chunk` rows against `chunk` rows.
     """
     rows = docs.select(F.col(doc).cast("long").alias("doc"), F.xxhash64(text).alias("twin"), F.col(text).alias("text"))
     profile = stored(_profile(rows), "profile")
     found = profile.filter("kind = 0").select("doc", "twin", "size", "id")
     often = (
-        profile.filter("kind = 1").groupBy("id").agg(F.sum("size").alias("n")).filter("n >= 16")
+        profile.filter("kind = 1").groupBy("id").agg(F.sum("size").alias("n")).filter("n >= 8")
         .orderBy(F.desc("n"), "id").limit(order_bound).toArrow()
     )
     total = found.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     blocks = max(16, int(total * 0.26 / block_rows) + 1)
     classes = found.filter("size > 0").groupBy("id").agg(F.min(F.struct(F.col("doc").isNull().alias("no"), "doc", "twin")).alias("rep"))
     classes = stored(classes.select("id", F.col("rep.doc").alias("rep_doc"), F.col("rep.twin").alias("rep_twin")), "classes")
-    packed = _entries(rows.select("text"), often["id"].to_pylist(), often["n"].to_pylist(), blocks, most).repartition(blocks, "block")
+    packed = _entries(rows.select("text"), often["id"].to_numpy().view(np.uint64), often["n"].to_numpy(), blocks, most).repartition(blocks, "block")
     columns = stored(_columns(packed), "columns")
 
     size_ok = F.least("size", "lead_size") * 5 >= F.greatest("size", "lead_size") * 4
@@ -290,8 +333,10 @@ def similar_groups(
     joined = leads.join(heads, "code").filter("id <> m.id").select(F.col("m.id").alias("a"), F.col("id").alias("b")).distinct()
     first = stored(_links(_counted(star).union(joined).distinct(), classes, rows), "links")
     labels = stored(components(first), "labels")
-    second = _links(_counted(_apart(columns, labels, most)), classes, rows)
-    labels = stored(components(first.union(second)), "labels")
+    mixed = _mixed(columns, labels)
+    second = _links(_counted(_apart(mixed.filter(F.col("rows") <= large))), classes, rows)
+    third = _product(mixed.filter(F.col("rows") > large), classes, rows, chunk)
+    labels = stored(components(first.union(second).union(third)), "labels")
 
     named = classes.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     lowest = named.groupBy("component").agg(F.min("rep_doc").alias("component_id"))
