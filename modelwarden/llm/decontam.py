@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from modelwarden.llm.common import computed, stored
+from modelwarden.llm.common import computed, plain_lower, stored
 
 #: What stands between words: all of ASCII but digits and letters. Listed one by one, which Java matches by table.
 BETWEEN = "[" + "".join(f"\\x{c:02X}" for c in range(128) if not chr(c).isalnum()) + "]+"
@@ -23,10 +23,6 @@ def _words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), BETWEEN), "")
 
 
-def plain_lower(text: Column) -> Column:
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
 def windows_of(items: DataFrame, item: str = "item_id", text: str = "text", width: int = 13) -> DataFrame:
     """Rows (item, nth, words): every run of `width` words of an item, or all words of a shorter one."""
     words = items.select(F.col(item).alias("item"), _words(plain_lower(F.col(text))).alias("w")).filter(F.size("w") > 0).distinct()

@@ -10,14 +10,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BLANKS = r"[ \t\x0B\f\r]+"
+from modelwarden.llm.common import plain_lower, stored
 
+#: Blanks that are not one plain space already.
+BLANKS = r"[ \t\x0B\f\r]{2,}|[\t\x0B\f\r]"
 
-def normal_line(line: str | Column) -> Column:
-    """A-Z in lower case, runs of blanks as one space, none at the ends."""
-    line = F.col(line) if isinstance(line, str) else line
-    low = F.translate(line, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.trim(F.regexp_replace(low, BLANKS, " "))
+
+def normal_lines(text: Column) -> Column:
+    """The lines of a text: A-Z in lower case, runs of blanks as one space, none at the ends."""
+    return F.split(F.regexp_replace(plain_lower(text), BLANKS, " "), "\n")
 
 
 def line_table(docs: DataFrame, doc: str = "doc_id", text: str = "text", site: str = "source", least_chars: int = 10) -> DataFrame:
@@ -27,9 +28,9 @@ def line_table(docs: DataFrame, doc: str = "doc_id", text: str = "text", site: s
     """
     rows = docs.select(
         F.col(doc).alias("doc"), F.xxhash64(text).alias("twin"), F.col(site).cast("string").alias("site"),
-        F.posexplode(F.split(F.col(text), "\n")).alias("at", "line"),
+        F.posexplode(normal_lines(F.col(text))).alias("at", "line"),
     )
-    rows = rows.withColumn("line", normal_line("line")).filter(F.length("line") >= least_chars)
+    rows = rows.withColumn("line", F.trim("line")).filter(F.length("line") >= least_chars)
     return rows.select("doc", "twin", "site", "at", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("second"), "line").alias("h2"))
 
 
@@ -62,7 +63,7 @@ def dedup_lines(
     elsewhere with its line break. Short lines always stay. Null text stays null with 0 lines; empty text has one
     line. Repeated rows (same id and text) count as one document and get the same result. An empty table gives none.
     """
-    lines = line_table(docs, doc, text, site, least_chars)
+    lines = stored(line_table(docs, doc, text, site, least_chars), "lines")
     wide = spread_lines(lines, sites)
     place = F.struct("doc", "twin", "at")
     gone = (
