@@ -68,7 +68,7 @@ def shuffle_to_shards(
         order = inside[fisher_yates(bucket.num_rows, (int(bucket["__bucket"][0].as_py()) << 32) + (seed & 0xFFFFFFFF))]
         place = bucket["first_place"][0].as_py() + np.arange(bucket.num_rows, dtype=np.int64)
         # shard s holds the places from ceil(s * rows / shards) on
-        shard = ((place + 1) * shards - 1) // rows
+        shard = place * shards // rows
         slot = place - -(-shard * rows // shards)
         out = bucket.select(columns).take(pa.array(order))
         return out.append_column("shard", pa.array(shard, pa.int32())).append_column("slot", pa.array(slot, pa.int64()))
