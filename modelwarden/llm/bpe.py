@@ -39,7 +39,7 @@ def byte_alphabet() -> list[str]:
 class Bpe:
     """A vocabulary in which ids grow with the age of merges, and caches of bounded size."""
 
-    def __init__(self, spec: dict, cache: int = 400_000) -> None:
+    def __init__(self, spec: dict, cache: int = 250_000) -> None:
         model = spec["model"]
         suffix = model["end_of_word_suffix"] or ""
         vocab = model["vocab"]
@@ -92,7 +92,7 @@ class Bpe:
         n = len(text)
         last, back = [-1] * (n + 1), [0] * (n + 1)
         fits = self.fits
-        if len(fits) > 800_000:
+        if len(fits) > 500_000:
             fits.clear()
         for end, (token, size, closed) in self.automaton.iter(text + END):
             stop = n if closed else end + 1
