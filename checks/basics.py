@@ -380,12 +380,11 @@ QUERIES = {
     "profile_masked_rows": lambda s, f: profile.masked_rows(reg(s, f).raw("busn_task"), "busn_task", ["busn_task_name", "busn_task_claim_descr_txt"], 10),
     "probe_first_values": lambda s, f: probe.first_values(long(s, f), 10), "probe_link_hits": lambda s, f: probe.link_hits(long(s, f), 15),
     "probe_page_links": q_doc_links, "probe_link_rows": q_link_rows, "probe_scoped_rows": q_scoped, "probe_coverage": q_coverage,
-    "source_contract_report": q_contract, "source_csv": q_csv, "source_json_lines": q_json, "source_saved_detail": q_saved, "source_partitioned_roles": q_roles_written,
+    "source_csv": q_csv, "source_json_lines": q_json, "source_saved_detail": q_saved, "source_partitioned_roles": q_roles_written,
     "source_export": q_export,
     "source_inventory": lambda s, f: files.parquet_inventory(s, f"{f}/lineitem.parquet").drop("bytes"),
     "source_glob": lambda s, f: files.scan_parquet(s, f"{f}/order*.parquet").select("o_orderkey"),
     "source_select_existing": lambda s, f: contract.select_existing(reg(s, f).base("orders"), ["o_orderkey", "o_colour", "o_orderstatus"]),
-    "source_table_status": lambda s, f: catalog.table_status(s, {n: (lambda n=n: Registry.of(s, f).base(n)) for n in ("orders", "nation", "absent")}).drop("error"),
 }
 
 
@@ -537,7 +536,6 @@ def ORACLE():
         "probe_page_links": hit_sql("(select 'pages' table_name, 'page_id' column_name, cast(page_id as varchar) val from pages union all select 'pages', 'url', url from pages where trim(url) <> '')", 20),
         "probe_scoped_rows": w("select 't_valid' table_name, count(*) \"rows\" from k_valid where valid_sid in (select k from s3) or model_ver_sid in (select k from s1) union all select 't_metric', count(*) from k_metric where sample_data_sid in (select k from s6) union all "
                                "select 't_model_ver', count(*) from k_model_ver where model_ver_sid in (select k from s1) or model_sid in (select k from s0)"),
-        "source_contract_report": "select unnest(['model','valid','absent']) source_table, unnest(['SCHEMA_MISSING','SCHEMA_MISSING','TABLE_MISSING']) record_type, unnest(['model_price','valid_colour',null]) column_name",
         "source_csv": "select o_orderkey, o_orderstatus from orders",
         "source_saved_detail": w("select 1 query_id, count(*) \"rows\" from k_valid"),
         "source_inventory": "select cast(1 as bigint) files, count(*) \"rows\", cast(11 as integer) columns from lineitem",

@@ -114,7 +114,7 @@ def base_ctes():
     u1, u2 = clean("ent_param_chg_usr_sid"), clean("ent_param_chg_usr_name")
     key = "entity_sid, entity_type, parameter_name, previous_value, new_value, change_dttm, user_key"
     c = dict(
-        raw_log=duck_sql("ent_param_chg"), mv_raw=duck_sql("model_ver"), mv=current("model_ver"), valid=duck_sql("valid"),
+        raw_log=duck_sql("ent_param_chg"), mv_raw=f"select * from ({duck_sql('model_ver')}) where {live()}", mv=current("model_ver"), valid=duck_sql("valid"),
         lg=f"select event_sid change_sid, ent_sid entity_sid, upper({clean('ent_type_name')}) entity_type, ent_param_chg_sid parameter_sid, {clean('ent_param_chg_name')} parameter_name, "
            f"{clean('ent_param_chg_prev_val')} previous_value, {clean('ent_param_chg_val')} new_value, upper({clean('ent_param_chg_type_code')}) change_type, "
            f"start_dttm change_dttm, end_dttm change_end_dttm, substr(sha256('|' || {usr.format(u1)} || '|' || {usr.format(u2)}), 1, 16) user_key, "
@@ -241,7 +241,7 @@ def ORACLE():
             "(select *, lag(new_value, 1) over w_ l1, lag(new_value, 2) over w_ l2 from ch where change_dttm is not null and parameter_name is not null "
             "window w_ as (partition by entity_sid, parameter_name order by change_dttm, change_sid)) where new_value = l2 and new_value <> l1"),
         "log_after_validation": w(
-            "select entity_sid model_ver_sid, change_sid, parameter_name, previous_value, new_value, h hours_after_validation, h <= 480 within_limit, critical, user_key from "
+            "select entity_sid model_ver_sid, change_sid, parameter_name, previous_value, new_value, h hours_after_validation, round(h, 2) <= 480 within_limit, critical, user_key from "
             "(select ch.*, round((floor(epoch(change_dttm)) - floor(epoch(e))) / 3600.0, 6) h from ch join last_valid on model_ver_sid = entity_sid where change_dttm > e)"),
         "log_control_readiness": w("select * from ready"),
         "log_readiness_overall": w("select count(*) filter (readiness_status = 'REALIZABLE') realizable_checks, count(*) filter (readiness_status = 'PARTIAL') partial_checks, "

@@ -208,9 +208,9 @@ QUERIES = {
     "sample_fixed_size": lambda s, f: sa.fixed_size_sample(modelling(s, f), "y", 1000, ["o_orderkey"], SEED).select("o_orderkey", "y"),
     "sample_category_quota": q_quota, "sample_quota_control": q_quota_control,
     "sample_cases": lambda s, f: diagnostic(s, f).select("model_ver_sid", "sample_reason"), "sample_related_rows": q_related,
-    "sample_bernoulli": lambda s, f: sa.bounded_profile_sample(base(s, f, "lineitem"), 1000, 6000).agg(F.count(F.lit(1)).alias("rows")),
+    "sample_bernoulli": lambda s, f: sa.bernoulli_sample(base(s, f, "lineitem"), ["l_orderkey", "l_linenumber"], 1000).select("l_orderkey", "l_linenumber"),
     "feature_datetime": q_features_ts, "feature_clean_infinite": q_infinite, "feature_constant": q_constant, "feature_date_text": q_dates,
-    "feature_universe": q_universe, "feature_type_audit": q_type_audit, "feature_agreement": q_agreement,
+    "feature_universe": q_universe,
     "feature_fill_categorical": lambda s, f: fe.fill_categorical(modelling(s, f), ["grade", "c_mktsegment"]).select("o_orderkey", "grade", "c_mktsegment"),
     "feature_categorical_nulls": lambda s, f: fe.categorical_nulls(modelling(s, f), list(CAT)),
     "feature_binary_target": lambda s, f: fe.binary_target(modelling(s, f).filter("o_orderstatus <> 'P'"), "o_orderstatus", "F").groupBy("o_orderstatus", "y").agg(
@@ -329,6 +329,7 @@ def ORACLE():
             f"(select o_orderkey, {r} repeat, cast(floor({u(KEY + ' || ' + chr(39) + '|' + chr(39) + ' || cast(y as varchar)', SEED + r * 1009)} * 4) as integer) fold from m)" for r in range(2))),
         "fold_temporal": w("select o_orderkey, fold, part from tf"),
         "fold_temporal_purged": w("select fold, p2 part, count(*) \"rows\", count(distinct o_custkey) \"groups\" from tfp group by 1, 2"),
+        "sample_bernoulli": "select l_orderkey, l_linenumber from lineitem where " + bucket("'17|' || l_orderkey || '|' || l_linenumber") + " / 4294967296.0 < 1000.0 / (select count(*) from lineitem)",
         "sample_class_hash": w(f"select o_orderkey, y, round(1.0 / case when y = 1 then 0.7 else 0.2 end, 6) selection_weight from m where {u(KEY)} < case when y = 1 then 0.7 else 0.2 end"),
         "sample_staged": w(staged),
         "sample_fixed_size": w("select o_orderkey, y from (select o_orderkey, y, row_number() over (partition by y order by md5('42|' || cast(o_orderkey as varchar)), o_orderkey) r, "

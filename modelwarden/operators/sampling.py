@@ -129,8 +129,8 @@ def related_rows(tables: Mapping[str, tuple[DataFrame, str]], keys: DataFrame, k
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def bounded_profile_sample(df: DataFrame, max_rows: int, total_rows: int, seed: int = 17) -> DataFrame:
-    """A Bernoulli sample with a row cap, for profiling only."""
-    if total_rows <= max_rows:
-        return df
-    return df.sample(False, min(1.0, 1.25 * max_rows / total_rows), seed).limit(max_rows)
+def bernoulli_sample(df: DataFrame, keys: Sequence[str], rows: int, seed: int = 17) -> DataFrame:
+    """Each row with the same chance, such that about ``rows`` of all rows stay; the rows are counted here."""
+    total = df.agg(F.count(F.lit(1)).alias("_total"))
+    chance = F.lit(float(rows)) / F.col("_total")
+    return df.crossJoin(F.broadcast(total)).filter(unit_bucket(keys, seed) < chance).drop("_total")
