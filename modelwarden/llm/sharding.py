@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from modelwarden.llm.common import shared_folder
+from modelwarden.llm.common import shared_folder, stored
 
 
 def fisher_yates(count: int, seed: int) -> np.ndarray:
@@ -59,8 +59,9 @@ def shuffle_to_shards(
     bulk = df.agg(F.sum(F.coalesce(F.octet_length(size), F.lit(0)) + F.lit(64)).alias("b"), F.count(F.lit(1)).alias("n")).first()
     rows, buckets = bulk["n"], max(1, -(-(bulk["b"] or 0) // bucket_bytes))
     of = F.pmod(hashed, F.lit(buckets))
-    starts = bucket_starts(df.groupBy(of.alias("bucket")).agg(F.count(F.lit(1)).alias("n")))
-    scattered = df.select(*columns, of.alias("__bucket"), hashed.alias("__hash")).repartition(buckets, "__bucket")
+    # A stored table of known size: Spark broadcasts it or shuffles by bucket, and then the grouping needs no further shuffle.
+    starts = stored(bucket_starts(df.groupBy(of.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))), "starts")
+    scattered = df.select(*columns, of.alias("__bucket"), hashed.alias("__hash"))
     placed = scattered.join(starts.withColumnRenamed("bucket", "__bucket"), "__bucket")
 
     def run(bucket: pa.Table) -> pa.Table:
