@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from functools import lru_cache
 
 from modelwarden.demo import AS_OF, Registry, duck_sql
@@ -309,13 +308,13 @@ def q_approx_distinct(s, f):
 # --- sources --------------------------------------------------------------------------
 
 def q_csv(s, f):
-    path = tempfile.mkdtemp(prefix="run-") + "/csv"
+    path = files.scratch_folder(s) + "/csv"
     files.write_csv_report(reg(s, f).base("orders").select("o_orderkey", "o_orderstatus"), path)
     return files.scan_csv(s, path, "o_orderkey bigint, o_orderstatus string")
 
 
 def q_json(s, f):
-    path = tempfile.mkdtemp(prefix="run-") + "/log"
+    path = files.scratch_folder(s) + "/log"
     from .evaluation import trials
 
     t = trials(s, f).select(F.to_json(F.struct("fidelity", "method", F.col("features").alias("subset"), "n_features", "valid_metric")).alias("value"))
@@ -325,7 +324,7 @@ def q_json(s, f):
 
 
 def q_saved(s, f):
-    path = tempfile.mkdtemp(prefix="run-") + "/out"
+    path = files.scratch_folder(s) + "/out"
     r = reg(s, f)
     d = r.current("valid").select(F.lit(1).alias("query_id"), F.col("valid_sid").alias("source_entity_sid"))
     files.save_results(me.dist(r.current("valid"), pr.dim("valid_rslt_name")), d, path)
@@ -333,7 +332,7 @@ def q_saved(s, f):
 
 
 def q_roles_written(s, f):
-    path = tempfile.mkdtemp(prefix="run-") + "/roles"
+    path = files.scratch_folder(s) + "/roles"
     from .modelling import grouped
 
     files.write_parquet(grouped(s, f), path, partition_by=["role"])

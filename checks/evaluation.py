@@ -102,10 +102,10 @@ def q_at(s, f):
 
 # --- trials -----------------------------------------------------------------------
 
-def trials(spark, sf):
-    """One trial per order: its lines name the features, digests give the measured values."""
+def trials(spark, sf, kinds=12):
+    """One trial per order: its lines name the features out of `kinds`, digests give the measured values."""
     r = Registry.of(spark, sf)
-    feats = r.base("lineitem").select("l_orderkey", F.concat(F.lit("f"), (F.col("l_partkey") % 12).cast("string")).alias("f")).groupBy("l_orderkey").agg(
+    feats = r.base("lineitem").select("l_orderkey", F.concat(F.lit("f"), (F.col("l_partkey") % kinds).cast("string")).alias("f")).groupBy("l_orderkey").agg(
         F.array_sort(F.collect_set("f")).alias("features"))
     h = F.md5(F.concat(F.lit("tr:"), F.col("o_orderkey").cast("string")))
 
@@ -190,7 +190,7 @@ QUERIES = {
     "trial_layers": lambda s, f: out(tr.layers(search(s, f), 2), "layer"),
     "trial_crowding": lambda s, f: r6(tr.crowding(tr.layers(search(s, f), 2)).select("trial_id", "layer", "crowding")),
     "trial_promotion_fixed": q_promotion("fixed"), "trial_promotion_adaptive": q_promotion("adaptive"),
-    "trial_coalitions": lambda s, f: r6(tr.coalitions(trials(s, f).filter("n_features = 4"), 0.2, 2.0, 5)),
+    "trial_coalitions": lambda s, f: r6(tr.coalitions(trials(s, f, 60), 0.2, 2.0, 5)),
     "trial_feature_frequency": lambda s, f: r6(tr.feature_frequency(tr.top_trials(keyed(s, f), 100))),
     "trial_pair_frequency": lambda s, f: r6(tr.pair_frequency(tr.top_trials(keyed(s, f), 100))),
     "fold_feature_stability": lambda s, f: r6(tr.feature_stability(folds(s, f), 0.5, 0.6, 8, 7, ("f1",))),
@@ -200,8 +200,7 @@ QUERIES = {
     "trial_compact": lambda s, f: out(tr.choose_compact(tr.pareto_three(search(s, f)), 0.3)),
     "trial_finalists": lambda s, f: out(tr.finalists(tr.pareto_three(search(s, f)), 8, 0.3)),
     "trial_synergy": q_synergy, "trial_size_frontier": lambda s, f: r6(tr.size_frontier(trials(s, f))),
-    "trial_confirmation_summary": lambda s, f: r6(tr.confirmation_summary(tr.with_key(trials(s, f)).filter("fidelity = 'confirm'").withColumn(
-        "features", F.slice("features", 1, 2)))),
+    "trial_confirmation_summary": lambda s, f: r6(tr.confirmation_summary(tr.with_key(trials(s, f)).filter("fidelity = 'confirm'"))),
     "trial_top_sets": lambda s, f: r6(tr.top_sets(trials(s, f), 5).select("method", "rank", "subset_key", "valid_metric", "trial_id")),
     "trial_proposals_uniform": q_proposals(False), "trial_proposals_weighted": q_proposals(True),
     "trial_running_plateau": q_plateau,
@@ -282,7 +281,7 @@ def base_ctes():
         f2="select * from topv2 p where not exists (select 1 from tup2 where n <= p.n_features and v >= p.valid_metric and s <= p.metric_std and (n < p.n_features or v > p.valid_metric or s < p.metric_std))",
         ly="select *, 1 layer from f1 union all select *, 2 layer from f2",
         ok2="select * from se where constraint_violation <= 1e-12",
-        best1=f"select * exclude (r_) from (select *, row_number() over (partition by subset_key order by {RANK}) r_ from t where n_features = 4) where r_ = 1",
+        best1=f"select * exclude (r_) from (select *, row_number() over (partition by subset_key order by {RANK}) r_ from t) where r_ = 1",
         ranked=f"select *, row_number() over (order by -(-constraint_violation * 1e6 + valid_metric), {RANK}) pos from best1",
         top100=f"select * from t order by {RANK} limit 100", top50=f"select * from t order by {RANK} limit 50",
         fc="select fold, f, count(*) n from (select fold, unnest(features) f from t) group by 1, 2",
@@ -382,7 +381,7 @@ def _oracle():
         "trial_crowding": w(f"select trial_id, layer, round({crowd}, 6) crowding from ly"),
         "trial_promotion_fixed": w(f"select {promo_common}, least({n_}, greatest(3, cast(ceil({n_} * 0.05 - 1e-9) as bigint))) promoted", near=near),
         "trial_promotion_adaptive": w(f"select {promo_common}, least({n_}, least(greatest({lower}, cast(ceil({n_} * 0.4 - 1e-9) as bigint)), greatest({lower}, {amb}))) promoted", near=near),
-        "trial_coalitions": w(coal_body, el=fs, facts=facts, with_members=coal[len("with_members as ("):-1]),
+        "trial_coalitions": w(coal_body, t=base_ctes()["t"].replace("l_partkey % 12", "l_partkey % 60"), el=fs, facts=facts, with_members=coal[len("with_members as ("):-1]),
         "trial_feature_frequency": w("select f feature, count(*) count, round(count(*) / 100.0, 6) frequency from (select unnest(features) f from top100) group by 1"),
         "trial_pair_frequency": w("select a \"first\", b \"second\", count(*) count, round(count(*) / 100.0, 6) frequency from (" + combo2.format("trial_id", "top100") + ") group by 1, 2"),
         "fold_feature_stability": w(
@@ -405,7 +404,7 @@ def _oracle():
             "select r.method, n runs, round(mm, 6) metric_mean, round(sd, 6) metric_std, round(nf, 6) n_features_mean, round(j, 6) mean_jaccard from (select method, count(*) n, avg(valid_metric) mm, stddev_samp(valid_metric) sd, avg(n_features) nf from cf group by 1) r join "
             "(select a.method, sum(case when a.k = b.k then 1.0 else len(list_intersect(a.fs, b.fs)) / len(list_distinct(list_concat(a.fs, b.fs))) end * case when a.k = b.k then a.n * (a.n - 1) / 2 else a.n * b.n end) "
             "/ sum(case when a.k = b.k then a.n * (a.n - 1) / 2 else a.n * b.n end) j from cg a join cg b on a.method = b.method and a.k <= b.k group by 1) j on j.method = r.method",
-            cf="select method, valid_metric, n_features, features[1:2] fs, array_to_string(features[1:2], '|') k from t where fidelity = 'confirm'", cg="select method, k, fs, count(*) n from cf group by 1, 2, 3"),
+            cf="select method, valid_metric, n_features, features fs, subset_key k from t where fidelity = 'confirm'", cg="select method, k, fs, count(*) n from cf group by 1, 2, 3"),
         "trial_top_sets": w("select method, cast(rank as integer) rank, subset_key, valid_metric, trial_id from (select *, row_number() over (partition by method order by valid_metric desc, subset_key) rank from "
                             "(select *, row_number() over (partition by method, subset_key order by valid_metric desc, trial_id) z from t) where z = 1) where rank <= 5"),
         "trial_proposals_uniform": proposals_sql(False), "trial_proposals_weighted": proposals_sql(True),

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from modelwarden.operators import subsets_ml as ml
+from modelwarden.sources.files import scratch_folder
 from pyspark.sql import functions as F
 
 from .modelling import cfg, modelling
@@ -35,8 +34,7 @@ def q_pool(s, f):
 
 def q_halving(s, f):
     if s.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        folder = s.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-")
-        s.sparkContext.setCheckpointDir(folder)
+        s.sparkContext.setCheckpointDir(scratch_folder(s))
     train, valid = parts(s, f)
     screened = ml.as_trials(ml.score_subsets(train, valid, CANDIDATES, "y", "w"))
     return r4(ml.halving_round(screened, lambda c: ml.score_subsets(train, valid, c, "y", "w", (1, 2), ml.logistic), "fixed", 0.5, 2, lambda d: d.checkpoint()))

@@ -43,12 +43,6 @@ def outside(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFram
     return df.join(keys, on, "left_anti")
 
 
-def broadcast_if_small(spark, df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Hint a broadcast only after counting that the side is small."""
-    small = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if small else df
-
-
 def join_where(left: DataFrame, right: DataFrame, left_key: str, right_key: str, residual: Column) -> DataFrame:
     """Equi join with a further condition on the pair."""
     return left.join(right, (F.col(left_key) == F.col(right_key)) & residual, "inner")

@@ -181,15 +181,13 @@ def _combinations(features: Column, order: int) -> Column:
     return F.flatten(F.transform(features, triples))
 
 
-def coalitions(trials: DataFrame, elite_fraction: float, smoothing: float, min_support: int, max_subset: int = 64, orders: Sequence[int] = (2, 3)) -> DataFrame:
+def coalitions(trials: DataFrame, elite_fraction: float, smoothing: float, min_support: int, orders: Sequence[int] = (2, 3)) -> DataFrame:
     """Feature pairs and triples that occur in good trials more than in all.
 
-    Combinations stay inside a trial, whose size is checked; counting combines before the
-    shuffle. A larger subset is an error rather than a silent sample.
+    Combinations stay inside a trial; counting combines before the shuffle. Their number grows with the cube of a
+    trial's size, so wide trials are better asked for pairs alone (``orders``).
     """
-    keyed = take_latest(with_key(trials), ["subset_key"], rank_order())
-    sized = keyed.withColumn("features", F.when(F.size("features") <= max_subset, F.col("features")).otherwise(
-        F.raise_error(F.lit(f"subset larger than {max_subset} features")).cast("array<string>")))
+    sized = take_latest(with_key(trials), ["subset_key"], rank_order())
     facts = sized.agg(F.count(F.lit(1)).alias("_n"), F.avg("valid_metric").alias("_g"), F.stddev_pop("valid_metric").alias("_sd"))
     facts = facts.withColumn("_e", F.greatest(F.lit(1).cast("long"), F.ceil(F.col("_n") * F.lit(elite_fraction) - F.lit(1e-9))))
     elite = _first_n(sized, facts.select(F.col("_e").alias("quota"))).select("subset_key").withColumn("_elite", F.lit(1))
@@ -273,34 +271,33 @@ def size_statistics(folds: DataFrame) -> DataFrame:
     return folds.agg(F.count(F.lit(1)).alias("runs"), F.min(s).alias("min_size"), F.max(s).alias("max_size"), F.avg(s).alias("mean_size"))
 
 
-def pairwise_jaccard(runs: DataFrame, by: Sequence[str] = (), max_runs: int = 1000) -> DataFrame:
+def pairwise_jaccard(runs: DataFrame, by: Sequence[str] = (), salts: int = 8) -> DataFrame:
     """Least, mean and greatest Jaccard similarity over all pairs of runs of a group.
 
-    Runs are settings of a search, few per group; more than ``max_runs`` is an error. Equal
-    subsets are merged first, so the pairs are those of distinct subsets.
+    Equal subsets are merged first. Only subsets that share a feature meet, through rows of (feature, subset); each feature
+    is dealt to ``salts`` parts, so that a frequent one is no single task. Pairs with nothing in common enter as zeros by
+    their number alone.
     """
-    distinct = with_key(runs).groupBy(*by, "subset_key", "features").agg(F.count(F.lit(1)).alias("times"))
-    sizes = distinct.groupBy(*by).agg(F.sum("times").alias("_runs"), F.count(F.lit(1)).alias("_sets"))
-    checked = attach(distinct, sizes, by, "inner").withColumn("features", F.when(F.col("_sets") <= max_runs, F.col("features")).otherwise(
-        F.raise_error(F.lit(f"more than {max_runs} runs in a group")).cast("array<string>")))
-    a = checked.select(*by, F.col("subset_key").alias("ka"), F.col("features").alias("fa"), F.col("times").alias("ta"))
-    b = checked.select(*by, F.col("subset_key").alias("kb"), F.col("features").alias("fb"), F.col("times").alias("tb"))
-    later = F.col("ka") < F.col("kb")
-    pairs = (attach_pairs(a, b, by, later))
-    union = F.size(F.array_union("fa", "fb"))
-    j = F.when(union > 0, F.size(F.array_intersect("fa", "fb")) / union).otherwise(F.lit(1.0))
-    cross = pairs.select(*by, j.alias("j"), (F.col("ta") * F.col("tb")).alias("w"))
-    same = checked.filter("times > 1").select(*by, F.lit(1.0).alias("j"), (F.col("times") * (F.col("times") - 1) / 2).cast("long").alias("w"))
-    stats = cross.unionByName(same).groupBy(*by).agg(
-        F.min("j").alias("min_jaccard"), (F.sum(F.col("j") * F.col("w")) / F.sum("w")).alias("mean_jaccard"), F.max("j").alias("max_jaccard"))
-    return attach(sizes.select(*by, F.col("_runs").alias("runs")), stats, by).fillna(1.0, ["min_jaccard", "mean_jaccard", "max_jaccard"])
-
-
-def attach_pairs(a: DataFrame, b: DataFrame, by: Sequence[str], condition: Column) -> DataFrame:
-    """Pairs within a group of a checked, small number of rows."""
-    if by:
-        return a.join(b, list(by)).filter(condition)
-    return a.crossJoin(F.broadcast(b)).filter(condition)
+    sets = with_key(runs).groupBy(*by, "subset_key", "features").agg(F.count(F.lit(1)).alias("times"))
+    totals = sets.groupBy(*by).agg(F.sum("times").alias("runs"), F.sum(F.col("times") * (F.col("times") - 1) / 2).alias("_same"))
+    held = sets.select(*by, F.explode("features").alias("_f"), "subset_key", F.size("features").alias("n"), "times")
+    parts = F.array(*[F.lit(i) for i in range(salts)])
+    a = held.select(*by, "_f", F.col("subset_key").alias("ka"), F.col("n").alias("na"), F.col("times").alias("ta"), F.explode(parts).alias("_part"))
+    b = held.select(*by, "_f", F.col("subset_key").alias("kb"), F.col("n").alias("nb"), F.col("times").alias("tb"),
+                    F.pmod(F.xxhash64("subset_key"), F.lit(salts)).cast("int").alias("_part"))
+    met = a.join(b, [*by, "_f", "_part"]).filter("ka < kb").groupBy(*by, "ka", "kb").agg(
+        F.count(F.lit(1)).alias("both"), F.first("na").alias("na"), F.first("nb").alias("nb"), F.first("ta").alias("ta"), F.first("tb").alias("tb"))
+    j, w = F.col("both") / (F.col("na") + F.col("nb") - F.col("both")), F.col("ta") * F.col("tb")
+    shared = met.groupBy(*by).agg(F.min(j).alias("_low"), F.max(j).alias("_high"), F.sum(j * w).alias("_sum"), F.sum(w).alias("_met"))
+    pairs = F.col("runs") * (F.col("runs") - 1) / 2
+    apart = pairs > F.col("_same") + F.col("_met")
+    low = F.when(apart, F.lit(0.0)).otherwise(F.coalesce("_low", F.lit(1.0)))
+    high = F.when(F.col("_same") > 0, F.lit(1.0)).otherwise(F.coalesce("_high", F.lit(0.0)))
+    known = attach(totals, shared, by).fillna(0.0, ["_sum"]).fillna(0, ["_met"])
+    one = lambda c: F.when(pairs > 0, c).otherwise(F.lit(1.0))
+    return known.select(
+        *by, "runs", one(low).alias("min_jaccard"), one((F.col("_sum") + F.col("_same")) / F.greatest(pairs, F.lit(1.0))).alias("mean_jaccard"),
+        one(high).alias("max_jaccard"))
 
 
 def choose_compact(front: DataFrame, allowed_drop: float) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -60,15 +62,15 @@ def write_parquet(df: DataFrame, path: str, overwrite: bool = False, compression
     writer.parquet(path)
 
 
-def save_results(summary: DataFrame, detail: DataFrame, path: str, detail_files: int = 8) -> None:
-    """Summary as one file; detail clustered by control so that one control is cheap to read.
+def save_results(summary: DataFrame, detail: DataFrame, path: str) -> None:
+    """Summary and detail; detail clustered by control so that one control is cheap to read.
 
     The range is over the control and the entity, so a control with most of the rows still
-    spreads over several files.
+    spreads over several files. The number of files follows the data (shuffle partitions).
     """
-    summary.coalesce(1).write.mode("overwrite").parquet(f"{path}/summary")
+    summary.write.mode("overwrite").parquet(f"{path}/summary")
     (
-        detail.repartitionByRange(detail_files, "query_id", "source_entity_sid")
+        detail.repartitionByRange("query_id", "source_entity_sid")
         .sortWithinPartitions("query_id")
         .write.mode("overwrite").parquet(f"{path}/detail")
     )
@@ -96,3 +98,14 @@ def export_limited(df: DataFrame, max_rows: int) -> DataFrame:
     if df.limit(max_rows + 1).count() > max_rows:
         raise ValueError(f"more than {max_rows} rows; write Parquet instead")
     return flat_text(df)
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder that driver and executors share, under spark.checkpoint.dir; local sessions without it get a temporary one."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="run-")
+    return f"{base.rstrip('/')}/scratch-{uuid.uuid4().hex}"
