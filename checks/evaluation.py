@@ -329,8 +329,8 @@ def _oracle():
     at = ("select candidate, p precision, r recall, coalesce(2 * p * r / nullif(p + r, 0), 0) f1, pr_rate from (select candidate, tp / nullif(tp + fp, 0) p, tp / nullif(tp + fn, 0) r, h / a pr_rate from "
           "(select candidate, " + hit.format("score >= {t} and y = 1") + " tp, " + hit.format("score >= {t} and y = 0") + " fp, " + hit.format("score < {t} and y = 1") + " fn, " + hit.format("score >= {t}")
           + " h, sum(weight) a from {src} group by 1))")
-    combo2 = "select {0}, features[i] a, features[j] b from {1}, range(1, 13) x(i), range(1, 13) y(j) where i < j and j <= len(features)"
-    combo3 = "select {0}, features[i] || '|' || features[j] || '|' || features[k] members from {1}, range(1, 13) x(i), range(1, 13) y(j), range(1, 13) z(k) where i < j and j < k and k <= len(features)"
+    combo2 = "select {0}, features[i] a, features[j] b from {1}, unnest(range(1, len(features) + 1)) x(i), unnest(range(i + 1, len(features) + 1)) y(j)"
+    combo3 = "select {0}, features[i] || '|' || features[j] || '|' || features[k] members from {1}, unnest(range(1, len(features) + 1)) x(i), unnest(range(i + 1, len(features) + 1)) y(j), unnest(range(j + 1, len(features) + 1)) z(k)"
     coal = ("with_members as (" + "select subset_key, valid_metric, elite, a || '|' || b members, 2 ord from (" + combo2.format("subset_key, valid_metric, elite", "el") + ") union all select subset_key, valid_metric, elite, members, 3 from ("
             + combo3.format("subset_key, valid_metric, elite", "el") + "))")
     fs = "select *, case when pos <= greatest(1, ceil(n * 0.2 - 1e-9)) then 1 else 0 end elite from ranked, (select count(*) n from best1)"
