@@ -39,7 +39,7 @@ def byte_alphabet() -> list[str]:
 class Bpe:
     """A vocabulary in which ids grow with the age of merges, and caches of bounded size."""
 
-    def __init__(self, spec: dict, cache: int = 250_000) -> None:
+    def __init__(self, spec: dict, cache: int = 120_000) -> None:
         model = spec["model"]
         suffix = model["end_of_word_suffix"] or ""
         vocab = model["vocab"]
@@ -67,9 +67,6 @@ class Bpe:
             body = word.removesuffix(suffix) if closed else word
             self.automaton.add_word(body + END if closed else body, (token, len(body), closed))
         self.automaton.make_automaton()
-        self.names: list[str] = [""] * size
-        for word, token in [*vocab.items(), *self.special.items()]:
-            self.names[token] = word
 
     def compatible(self, a: int, b: int) -> bool:
         """True when token b can directly follow token a in an encoding."""
@@ -92,7 +89,7 @@ class Bpe:
         n = len(text)
         last, back = [-1] * (n + 1), [0] * (n + 1)
         fits = self.fits
-        if len(fits) > 500_000:
+        if len(fits) > 200_000:
             fits.clear()
         for end, (token, size, closed) in self.automaton.iter(text + END):
             stop = n if closed else end + 1
@@ -153,10 +150,14 @@ class Bpe:
                 out += self.segment(part)
         return b"".join(out)
 
-    def decode(self, ids: list[int]) -> str:
-        """The file has no decoder: token names joined by one space; unknown ids are left out."""
-        names, size = self.names, len(self.names)
-        return " ".join([names[i] for i in ids if i is not None and 0 <= i < size and names[i]])
+
+def token_names(spec: dict) -> list[str]:
+    """The name of each token by id; empty where an id is unused."""
+    known = {**spec["model"]["vocab"], **{t["content"]: t["id"] for t in spec["added_tokens"]}}
+    names = [""] * (max(known.values(), default=-1) + 1)
+    for word, token in known.items():
+        names[token] = word
+    return names
 
 
 def _model(text: str) -> Bpe:
@@ -194,16 +195,20 @@ def encode(docs: DataFrame, file: str, text: str = "text", ids: str = "ids") ->
 
 
 def decode(docs: DataFrame, file: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """Adds `text` with the token names of `ids` joined by one space; null and empty arrays give an empty string."""
+    """Adds `text` with the token names of `ids` joined by one space; null and empty arrays give an empty string.
+
+    The file has no decoder, so names stay as they are; unknown ids are left out. Only the names go to the executors.
+    """
     with open(file, encoding="utf-8") as f:
-        spec = docs.sparkSession.sparkContext.broadcast(f.read())
+        known = docs.sparkSession.sparkContext.broadcast(token_names(json.load(f)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = _model(spec.value)
+        names, size = known.value, len(known.value)
         for whole in batches:
-            for start in range(0, whole.num_rows, 512):
-                batch = whole.slice(start, 512)
-                yield _replaced(batch, text, pa.array([model.decode(x.as_py() or []) for x in batch.column(ids)], pa.string()))
+            for start in range(0, whole.num_rows, 128):
+                batch = whole.slice(start, 128)
+                shown = [" ".join([names[i] for i in x.as_py() or [] if i is not None and 0 <= i < size and names[i]]) for x in batch.column(ids)]
+                yield _replaced(batch, text, pa.array(shown, pa.string()))
 
     return docs.mapInArrow(run, _with(docs.schema, (text, T.StringType())))
 
