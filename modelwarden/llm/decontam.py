@@ -33,16 +33,18 @@ def windows_of(items: DataFrame, item: str = "item_id", text: str = "text", widt
 
 
 def search_terms(windows: DataFrame, each: int = 2) -> DataFrame:
-    """Rows (item, nth, size, phrase, term, at): for each window the `each` terms that the fewest items use, longer first.
+    """Rows (phrase, size, term, at): for each distinct phrase the `each` terms that the fewest items use, longer first.
 
-    Terms are in full lower case, which only adds chances; the proof of a hit uses A-Z alone.
+    Terms are in full lower case, which only adds chances; the proof of a hit uses A-Z alone. Items that share a phrase,
+    rows of one id with different texts and items without id are searched by their phrases alike.
     """
-    spread = windows.select("item", "nth", F.size("words").alias("size"), F.array_join("words", " ").alias("phrase"), F.posexplode("words").alias("at", "term"))
-    spread = spread.withColumn("term", F.lower("term"))
+    phrase = F.array_join("words", " ").alias("phrase")
+    spread = windows.select("item", phrase, F.size("words").alias("size"), F.posexplode("words").alias("at", "term")).withColumn("term", F.lower("term"))
     used = spread.groupBy("term").agg(F.count_distinct("item").alias("items"))
-    order = Window.partitionBy("item", "nth").orderBy("items", F.desc(F.length("term")), "term", "at")
-    ranked = spread.join(used, "term").withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= each)
-    return ranked.select("item", "nth", "size", "phrase", "term", "at")
+    order = Window.partitionBy("phrase").orderBy("items", F.desc(F.length("term")), "term", "at")
+    places = spread.select("phrase", "size", "term", "at").distinct()
+    ranked = places.join(used, "term").withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= each)
+    return ranked.select("phrase", "size", "term", "at")
 
 
 def positional_index(docs: DataFrame, terms: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
@@ -62,42 +64,49 @@ def positional_index(docs: DataFrame, terms: DataFrame, doc: str = "doc_id", tex
 
 
 def phrase_starts(index: DataFrame, terms: DataFrame) -> DataFrame:
-    """Rows (doc, twin, start, size, item, phrase): places where the shifted lists of a phrase's terms meet.
+    """Rows (doc, twin, start, size, phrase): places where the shifted lists of a phrase's terms meet.
 
     The rarest term by length of its list leads; every other search term of the phrase must stand at its offset.
     """
     counts = index.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    order = Window.partitionBy("item", "nth").orderBy("n", "at")
+    order = Window.partitionBy("phrase").orderBy("n", "at")
     ranked = terms.join(counts, "term").withColumn("lead", F.row_number().over(order) == 1)
-    needed = terms.groupBy("item", "nth").agg(F.count(F.lit(1)).alias("parts"))
-    leads = ranked.filter("lead").join(needed, ["item", "nth"]).select("term", "item", "nth", "size", "phrase", "parts", F.col("at").alias("shift"))
+    needed = terms.groupBy("phrase").agg(F.count(F.lit(1)).alias("parts"))
+    leads = ranked.filter("lead").join(needed, "phrase").select("term", "size", "phrase", "parts", F.col("at").alias("shift"))
     spots = index.filter(F.col("term") != END).join(leads, "term").select(
-        "doc", "twin", (F.col("at") - F.col("shift")).alias("start"), "item", "nth", "size", "phrase", "parts"
+        "doc", "twin", (F.col("at") - F.col("shift")).alias("start"), "size", "phrase", "parts"
     ).filter("start >= 0")
-    single = spots.filter("parts = 1").drop("nth", "parts")
-    others = ranked.filter("not lead").select("item", "nth", F.col("term").alias("t"), F.col("at").alias("shift"))
-    asked = spots.filter("parts > 1").join(others, ["item", "nth"]).withColumn("at", F.col("start") + F.col("shift"))
+    single = spots.filter("parts = 1").drop("parts")
+    others = ranked.filter("not lead").select("phrase", F.col("term").alias("t"), F.col("at").alias("shift"))
+    asked = spots.filter("parts > 1").join(others, "phrase").withColumn("at", F.col("start") + F.col("shift"))
     lists = index.filter(F.col("term") != END).select(F.col("doc").alias("d"), F.col("twin").alias("w"), F.col("at").alias("a"), F.col("term").alias("t2"))
     met = asked.join(lists, F.col("doc").eqNullSafe(F.col("d")) & (F.col("twin") == F.col("w")) & (F.col("at") == F.col("a")) & (F.col("t") == F.col("t2")), "left_semi")
     return single.union(met.select(*single.columns)).distinct()
 
 
 def exact_hits(docs: DataFrame, spots: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows (doc, twin, hits): the spots that hold word by word, as an array of (start, size, item) for each document."""
-    asked = spots.groupBy("doc", "twin").agg(F.collect_set(F.struct("start", "size", "item", "phrase")).alias("asked"))
+    """Rows (doc, twin, hits): the spots that hold word by word, as an array of (start, size, phrase) for each document."""
+    asked = spots.groupBy("doc", "twin").agg(F.collect_set(F.struct("start", "size", "phrase")).alias("asked"))
     texts = docs.select(F.col(doc).alias("d"), F.xxhash64(text).alias("w"), F.col(text).alias("t"))
     both = texts.join(asked, F.col("doc").eqNullSafe(F.col("d")) & (F.col("twin") == F.col("w")))
     both = computed(both, words=_words(plain_lower(F.col("t")))).drop("t")
     proved = F.filter("asked", lambda s: F.array_join(F.slice(F.col("words"), s["start"] + 1, s["size"]), " ") == s["phrase"])
-    hits = F.transform(proved, lambda s: F.struct(s["start"].alias("start"), s["size"].alias("size"), s["item"].alias("item")))
-    return both.select("doc", "twin", hits.alias("hits")).filter(F.size("hits") > 0).dropDuplicates(["doc", "twin"])
+    return both.select("doc", "twin", proved.alias("hits")).filter(F.size("hits") > 0).dropDuplicates(["doc", "twin"])
+
+
+def items_hit(hits: DataFrame, windows: DataFrame) -> DataFrame:
+    """Rows (doc, twin, items): the sorted ids (as strings) of the items whose windows occur in a document; null ids are left out."""
+    owners = windows.filter("item is not null").select(F.array_join("words", " ").alias("phrase"), F.col("item").cast("string").alias("item")).distinct()
+    phrases = hits.select("doc", "twin", F.explode("phrases").alias("phrase"))
+    return phrases.join(owners, "phrase").groupBy("doc", "twin").agg(F.array_sort(F.collect_set("item")).alias("items"))
 
 
 def contamination(docs: DataFrame, items: DataFrame, doc: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", width: int = 13, share: int = 20) -> DataFrame:
     """One row per row of `docs`: (doc, twin, n_words, n_hit, items, spans, contaminated).
 
     * n_hit: words of the document inside any occurrence of a window; items: sorted ids (as strings) with occurring
-      windows; spans: (start, size) of the occurrences in words; contaminated: n_hit > 0 and share * n_hit >= n_words.
+      windows (items without id count in n_hit, not here); spans: (start, size) of the occurrences in words;
+      contaminated: n_hit > 0 and share * n_hit >= n_words.
     * Null and wordless texts have no words and are clean. Items without words, and null items, hit nothing. Repeated
       rows (same id and text) get the same result, one each. Without items nothing is contaminated.
     """
@@ -106,10 +115,13 @@ def contamination(docs: DataFrame, items: DataFrame, doc: str = "doc_id", text:
     index = stored(positional_index(docs, terms, doc, text), "postings")
     hits = exact_hits(docs, phrase_starts(index, terms), doc, text)
     inside = F.array_distinct(F.flatten(F.transform("hits", lambda h: F.sequence(h["start"], h["start"] + h["size"] - 1))))
-    found = hits.select(
-        F.col("doc").alias("d"), F.col("twin").alias("w"), F.size(inside).cast("long").alias("n_hit"),
-        F.array_sort(F.array_distinct(F.transform("hits", lambda h: h["item"].cast("string")))).alias("items"),
+    found = stored(hits.select(
+        "doc", "twin", F.size(inside).cast("long").alias("n_hit"), F.array_distinct(F.transform("hits", lambda h: h["phrase"])).alias("phrases"),
         F.array_sort(F.array_distinct(F.transform("hits", lambda h: F.struct(h["start"].alias("start"), h["size"].alias("size"))))).alias("spans"),
+    ), "hits")
+    named = items_hit(found, windows).withColumnsRenamed({"doc": "d", "twin": "w"})
+    found = found.join(named, F.col("doc").eqNullSafe(F.col("d")) & (F.col("twin") == F.col("w")), "left").select(
+        F.col("doc").alias("d"), F.col("twin").alias("w"), "n_hit", "items", "spans"
     )
     every = index.filter(F.col("term") == END).select("doc", "twin", F.col("at").cast("long").alias("n_words"))
     out = every.join(found, F.col("doc").eqNullSafe(F.col("d")) & (F.col("twin") == F.col("w")), "left")

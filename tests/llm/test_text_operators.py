@@ -185,6 +185,14 @@ def test_contamination(spark):
     assert decontam.contamination(docs_of(spark, texts), items.limit(0)).filter("contaminated").count() == 0
 
 
+def test_contamination_by_items_of_one_id_and_of_none(spark):
+    one, two, three, four = ([f"{c}{i}" for i in range(15)] for c in ("red", "blue", "green", "grey"))
+    items = spark.createDataFrame([(1, " ".join(one)), (1, " ".join(two)), (None, " ".join(three)), (None, " ".join(four)), (2, " ".join(two))], "item_id long, text string")
+    texts = [" ".join(w) for w in (one, two, three, four, one[:12])]
+    got = {r.doc: (r.n_hit, r["items"], r.contaminated) for r in decontam.contamination(docs_of(spark, texts), items).collect()}
+    assert got == {0: (15, ["1"], True), 1: (15, ["1", "2"], True), 2: (15, [], True), 3: (15, [], True), 4: (0, [], False)}
+
+
 def test_crc_of_ids_splits_labels(spark):
     from modelwarden.llm.features import in_training
 
