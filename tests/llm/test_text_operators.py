@@ -111,6 +111,17 @@ def test_repeated_passages(spark):
     assert substrings.repeated_passages(empty(spark)).count() == 0
 
 
+def test_repeated_passages_of_short_sentences_and_lines(spark):
+    cries = " ".join(f"WORD{i}!! OTHER{i}." for i in range(15))
+    listed = "\n".join(f"entry {i}" for i in range(15))
+    texts = [cries, cries.lower(), f"Own words. {cries} And some more. Of it.", listed, f"a heading\n{listed}\nthe end", " ".join(f"WORD{i}!! ELSE{i}." for i in range(15))]
+    found = sorted(tuple(r) for r in substrings.repeated_passages(docs_of(spark, texts)).collect())
+    assert [(f[0], texts[f[0]][f[1] : f[2]], f[3], f[5]) for f in found] == [(1, cries.lower(), 30, 0), (2, cries, 30, 0), (4, listed, 30, 3)]
+    for text in [*texts, "one", "a b. c. d e."]:
+        held = {w for _, _, first, n, _ in substrings.units_of(text, 4) for w in range(first, first + n)}
+        assert held == set(range(len(text.split())))
+
+
 def linked_groups(rows):
     parent = {i: i for i, _ in rows}
 
