@@ -2,12 +2,14 @@
 
 The index holds postings (term, document, position) of whole texts, and the length of each document as the position of an
 end mark. It keeps the terms that searches can start from. A search takes the rarest terms of each phrase, shifts their
-postings to the phrase's start, intersects the shifted lists and proves what is left word by word. Only DataFrame
-functions run here.
+postings to the phrase's start, intersects the shifted lists and proves what is left word by word. A proximity search
+lets the lists meet within some words of each other. Only DataFrame functions run here.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -84,14 +86,18 @@ def phrase_starts(index: DataFrame, terms: DataFrame) -> DataFrame:
     return single.union(met.select(*single.columns)).distinct()
 
 
-def exact_hits(docs: DataFrame, spots: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows (doc, twin, hits): the spots that hold word by word, as an array of (start, size, phrase) for each document."""
+def proved_hits(docs: DataFrame, spots: DataFrame, holds: Callable[[Column], Column], doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """Rows (doc, twin, hits): the spots for which `holds` is true beside the document's `words`, as an array of (start, size, phrase)."""
     asked = spots.groupBy("doc", "twin").agg(F.collect_set(F.struct("start", "size", "phrase")).alias("asked"))
     texts = docs.select(F.col(doc).alias("d"), F.xxhash64(text).alias("w"), F.col(text).alias("t"))
     both = texts.join(asked, F.col("doc").eqNullSafe(F.col("d")) & (F.col("twin") == F.col("w")))
     both = computed(both, words=_words(plain_lower(F.col("t")))).drop("t")
-    proved = F.filter("asked", lambda s: F.array_join(F.slice(F.col("words"), s["start"] + 1, s["size"]), " ") == s["phrase"])
-    return both.select("doc", "twin", proved.alias("hits")).filter(F.size("hits") > 0).dropDuplicates(["doc", "twin"])
+    return both.select("doc", "twin", F.filter("asked", holds).alias("hits")).filter(F.size("hits") > 0).dropDuplicates(["doc", "twin"])
+
+
+def exact_hits(docs: DataFrame, spots: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """Rows (doc, twin, hits): the spots that hold word by word, as an array of (start, size, phrase) for each document."""
+    return proved_hits(docs, spots, lambda s: F.array_join(F.slice(F.col("words"), s["start"] + 1, s["size"]), " ") == s["phrase"], doc, text)
 
 
 def items_hit(hits: DataFrame, windows: DataFrame) -> DataFrame:
@@ -101,6 +107,48 @@ def items_hit(hits: DataFrame, windows: DataFrame) -> DataFrame:
     return phrases.join(owners, "phrase").groupBy("doc", "twin").agg(F.array_sort(F.collect_set("item")).alias("items"))
 
 
+def near_starts(index: DataFrame, terms: DataFrame, slack: int) -> DataFrame:
+    """Rows (doc, twin, start, size, phrase): places where two search terms of a phrase stand in order, within `slack` words of their distance.
+
+    Every pair of a phrase's terms is tried, the rarer one by length of its list leads; one-word phrases have one term, which stands alone.
+    """
+    counts = index.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    ends = F.array_sort(F.collect_list(F.struct("n", "at", "term")))
+    lists = terms.join(counts, "term", "left").withColumn("n", F.coalesce("n", F.lit(0))).groupBy("phrase", "size").agg(ends.alias("e"))
+    pairs = F.flatten(F.transform("e", lambda a, i: F.transform(F.slice("e", i + 2, F.size("e")), lambda b: F.struct(a.alias("a"), b.alias("b")))))
+    leads = lists.select("phrase", "size", F.explode(pairs).alias("p")).select("phrase", "size", F.col("p.a.term").alias("term"), F.col("p.a.at").alias("shift"), F.col("p.b.term").alias("t"), (F.col("p.b.at") - F.col("p.a.at")).alias("apart"))
+    words = index.filter(F.col("term") != END)
+    place = ["doc", "twin", (F.col("at") - F.col("shift")).alias("start"), "size", "phrase"]
+    single = words.join(lists.filter("size(e) = 1").select("phrase", "size", F.col("e")[0]["term"].alias("term"), F.col("e")[0]["at"].alias("shift")), "term").select(*place)
+    near = F.filter(F.sequence(F.col("apart") - slack, F.col("apart") + slack), lambda d: d * F.col("apart") > 0)
+    asked = words.join(leads, "term").select(*place, "t", "at", F.explode(near).alias("d")).withColumn("at", F.col("at") + F.col("d")).drop("d")
+    held = words.select(F.col("doc").alias("d"), F.col("twin").alias("w"), F.col("at").alias("a"), F.col("term").alias("t2"))
+    met = asked.join(held, F.col("doc").eqNullSafe(F.col("d")) & (F.col("twin") == F.col("w")) & (F.col("at") == F.col("a")) & (F.col("t") == F.col("t2")), "left_semi")
+    return single.union(met.select(*single.columns)).distinct()
+
+
+def proximity(docs: DataFrame, items: DataFrame, doc: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", width: int = 13, slack: int = 2, lost: int = 5) -> DataFrame:
+    """Proximity matches, one row per document (id and text) that has any: (doc, twin, n_windows, items).
+
+    * A window matches at a place where two of its three search terms stand in order, within `slack` words of their distance, and
+      where at most one in `lost` of its words (none in a shorter window) is missing from its place and `slack` words around. So a
+      window with one word changed, inserted or dropped always matches, and an exact one does.
+    * n_windows: distinct phrases that match; items: as in `contamination`, which these matches don't touch.
+    """
+    windows = windows_of(items, item, item_text, width)
+    terms = stored(search_terms(windows, 3), "terms")
+    index = stored(positional_index(docs, terms, doc, text), "postings")
+    first = lambda s: F.greatest(s["start"] - slack, F.lit(0))
+    around = lambda s: F.slice(F.col("words"), first(s) + 1, s["start"] + s["size"] + slack - first(s))
+    holds = lambda s: F.size(F.array_except(F.split(s["phrase"], " "), around(s))) * lost <= s["size"]
+    hits = proved_hits(docs, near_starts(index, terms, slack), holds, doc, text)
+    found = stored(hits.select("doc", "twin", F.array_distinct(F.transform("hits", lambda h: h["phrase"])).alias("phrases")), "hits")
+    named = items_hit(found, windows).withColumnsRenamed({"doc": "d", "twin": "w"})
+    return found.join(named, F.col("doc").eqNullSafe(F.col("d")) & (F.col("twin") == F.col("w")), "left").select(
+        "doc", "twin", F.size("phrases").cast("long").alias("n_windows"), F.coalesce("items", F.array().cast("array<string>")).alias("items")
+    )
+
+
 def contamination(docs: DataFrame, items: DataFrame, doc: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", width: int = 13, share: int = 20) -> DataFrame:
     """One row per row of `docs`: (doc, twin, n_words, n_hit, items, spans, contaminated).
 

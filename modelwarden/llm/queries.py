@@ -70,6 +70,11 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.proximity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("doc").alias("doc_id"), "n_windows", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"))
+
+
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
@@ -92,6 +97,7 @@ QUERIES = {
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_line_dedup": op6_line_dedup,
     "op7_decontamination": op7_decontamination,
+    "op7_proximity": op7_proximity,
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_quality": op10_quality,

@@ -204,6 +204,19 @@ def test_contamination_by_items_of_one_id_and_of_none(spark):
     assert got == {0: (15, ["1"], True), 1: (15, ["1", "2"], True), 2: (15, [], True), 3: (15, [], True), 4: (0, [], False)}
 
 
+def test_proximity(spark):
+    words = [f"word{i}" for i in range(26)]
+    items = spark.createDataFrame([(1, " ".join(words)), (None, "five words make one item"), (2, "single")], "item_id long, text string")
+    changed = [["other" if i == j or i == j + 13 else w for i, w in enumerate(words)] for j in range(13)]
+    texts = [" ".join(c) for c in changed] + [" ".join(words[1:]), " ".join(w + " more" if i % 13 == 6 else w for i, w in enumerate(words))]
+    texts += [" ".join(words), "x five words make one thing", "a SINGLE b", " ".join(words[::2]), " ".join(reversed(words)), None, ""]
+    df = docs_of(spark, texts)
+    got = {r.doc: r["items"] for r in decontam.proximity(df, items).collect()}
+    assert got == {i: ["1"] for i in range(16)} | {16: [], 17: ["2"]}
+    assert sorted(r.doc for r in decontam.contamination(df, items).filter("contaminated").collect()) == [13, 14, 15, 17]
+    assert decontam.proximity(empty(spark), items).count() == 0 and decontam.proximity(df, items.limit(0)).count() == 0
+
+
 def test_crc_of_ids_splits_labels(spark):
     from modelwarden.llm.features import in_training
 
