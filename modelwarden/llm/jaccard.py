@@ -300,7 +300,9 @@ def similar_groups(
     docs: DataFrame, doc: str = "doc_id", text: str = "text", order_bound: int = 500_000, block_rows: int = 1_000_000, most: int = 200_000,
     large: int = 48, chunk: int = 1000,
 ) -> DataFrame:
-    """One row per row of `docs`: (doc, twin, n_shingles, component_id), component_id being the smallest linked doc.
+    """One row per row of `docs`: (doc, twin, n_shingles, component_id, component), component_id being the smallest linked doc.
+
+    `component` tells groups apart whose smallest doc is the same or null; it is null for texts without words.
 
     Texts link when they share 80 of 100 distinct five-word shingles (shorter texts: their whole word list).
     Null and wordless texts have no shingles and link with nothing. Rows of one id count by their text (`twin` is its hash);
@@ -340,17 +342,34 @@ def similar_groups(
 
     named = classes.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     lowest = named.groupBy("component").agg(F.min("rep_doc").alias("component_id"))
-    named = named.join(lowest, "component").select("id", "component_id")
+    named = named.join(lowest, "component").select("id", "component_id", "component")
     out = found.join(named.withColumnRenamed("id", "c"), (F.col("id") == F.col("c")) & (F.col("size") > 0), "left")
-    return out.select("doc", "twin", F.col("size").alias("n_shingles"), F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc")).alias("component_id"))
+    return out.select("doc", "twin", F.col("size").alias("n_shingles"), F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc")).alias("component_id"), "component")
 
 
 def keep_one(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of `docs` without the near copies: of each component the row named component_id stays (rows without words all stay).
+    """The rows of `docs` without the near copies: of each component the rows of component_id and of null ids stay (rows without words all stay).
 
-    Of repeated rows of that id the smallest text hash stays, once.
+    `one_of_each` leaves a single row.
     """
     groups = similar_groups(docs, doc, text)
     gone = groups.filter((F.col("n_shingles") > 0) & (F.col("doc") != F.col("component_id"))).select(F.col("doc").alias("__d"), F.col("twin").alias("__w")).distinct()
     keyed = docs.withColumn("__twin", F.xxhash64(text))
     return keyed.join(gone, F.col(doc).eqNullSafe(F.col("__d")) & (F.col("__twin") == F.col("__w")), "left_anti").drop("__twin")
+
+
+def one_of_each(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of `docs` with a single row of each component (rows without words all stay).
+
+    It is the one with the smallest id, then the smallest text hash; null ids come last. Of rows that are equal in both
+    the smallest in all columns stays. Repeats are combined in each task before the shuffle.
+    """
+    groups = stored(similar_groups(docs, doc, text).filter("n_shingles > 0").groupBy("component", "doc", "twin").agg(F.count(F.lit(1)).alias("n")), "groups")
+    place = F.struct(F.col("doc").isNull().alias("no"), "doc", "twin")
+    best = groups.groupBy("component").agg(F.min(place).alias("best"))
+    marks = groups.join(best, "component").select(F.col("doc").alias("__d"), F.col("twin").alias("__w"), (~place.eqNullSafe(F.col("best"))).alias("__gone"), (F.col("n") > 1).alias("__many"))
+    marks = stored(marks.filter("__gone or __many"), "marks")
+    same = F.col(doc).cast("long").eqNullSafe(F.col("__d")) & (F.col("__twin") == F.col("__w"))
+    keyed = docs.withColumn("__twin", F.xxhash64(text))
+    many = keyed.join(marks.filter("not __gone"), same).groupBy("__d", "__w").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    return keyed.join(marks, same, "left_anti").drop("__twin").unionByName(many)

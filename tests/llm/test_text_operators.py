@@ -165,6 +165,20 @@ def test_jaccard_edges(spark):
     assert jaccard.keep_one(rows).count() == 5  # repeated rows of the kept id, the null id of that group, and the rest
 
 
+def test_near_copy_stage_leaves_one_row_of_each_group(spark):
+    from corpus_pipeline import near_copy_stage
+
+    copy, near = "a b c d e", " ".join(f"w{i}" for i in range(60))
+    rows = [(None, copy, 1), (3, copy, 2), (3, copy, 1), (5, near, 1), (5, near + " end", 1), (6, near, 1), (4, None, 1), (4, None, 1), (None, "q r", 1),
+            (None, "q r", 1), (None, "s t", 1), (3, "u v", 1), (7, "u v", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    left = sorted(map(tuple, near_copy_stage(spark, df, "").collect()), key=str)
+    fives = [r for r in left if r[0] == 5]
+    assert len(fives) == 1 and fives[0] in rows
+    assert [r for r in left if r[0] != 5] == sorted([(3, copy, 1), (3, "u v", 1), (4, None, 1), (4, None, 1), (None, "q r", 1), (None, "s t", 1)], key=str)
+    assert near_copy_stage(spark, df.limit(0), "").count() == 0
+
+
 def test_line_spread(spark):
     texts = ["Share  This page NOW\nbody %d" % i for i in range(12)] + ["rare line here\nx", None, ""]
     rows = [(i, t, f"s{i % 9}", 7) for i, t in enumerate(texts)] + [(0, texts[0], "s0", 7), (99, "rare line here", None, 7)]
