@@ -99,6 +99,13 @@ def test_pii_terms_follow_cooccurrence(spark):
     assert clean[10] == texts[10] and clean[65] is None and len(clean) == len(texts)
 
 
+def test_pii_counts_terms_far_from_the_value(spark):
+    texts = [f"common filler{i} Zebrafish writes from a.b@mail.example.com" for i in range(3)]
+    texts += [f"Zebrafish common {'padding ' * 30} filler{i} a.b@mail.example.com" for i in range(3, 9)] + [f"common padding number{i}" for i in range(60)]
+    found = {r.doc: [texts[r.doc][s.start : s.end] for s in r.spans if s.kind in ("term", "gone")] for r in pii.personal_data(docs_of(spark, texts)).collect()}
+    assert found[0][0] == "Zebrafish" and found[5] == ["Zebrafish"] and found[20] == []
+
+
 def test_repeated_passages(spark):
     one = "Here is one long sentence that stands in many texts. And here is another one that follows it at once! "
     texts = [one + "Tail of the first.", "Own start of this text here. " + one, None, "", one.upper(), "short line\nshort line", "no repeats here at all my friend"]
