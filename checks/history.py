@@ -114,7 +114,7 @@ def base_ctes():
     u1, u2 = clean("ent_param_chg_usr_sid"), clean("ent_param_chg_usr_name")
     key = "entity_sid, entity_type, parameter_name, previous_value, new_value, change_dttm, user_key"
     c = dict(
-        raw_log=duck_sql("ent_param_chg"), mv_raw=f"select * from ({duck_sql('model_ver')}) where {live()}", mv=current("model_ver"), valid=duck_sql("valid"),
+        raw_log=duck_sql("ent_param_chg"), mv_raw=duck_sql('model_ver'), mv_live=f"select * from mv_raw where {live()}", mv=current("model_ver"), valid=duck_sql("valid"),
         lg=f"select event_sid change_sid, ent_sid entity_sid, upper({clean('ent_type_name')}) entity_type, ent_param_chg_sid parameter_sid, {clean('ent_param_chg_name')} parameter_name, "
            f"{clean('ent_param_chg_prev_val')} previous_value, {clean('ent_param_chg_val')} new_value, upper({clean('ent_param_chg_type_code')}) change_type, "
            f"start_dttm change_dttm, end_dttm change_end_dttm, substr(sha256('|' || {usr.format(u1)} || '|' || {usr.format(u2)}), 1, 16) user_key, "
@@ -122,7 +122,7 @@ def base_ctes():
            f"from raw_log where {live()}",
         ql=f"select *, count(*) over (partition by {key}) > 1 duplicate_event, coalesce(previous_value = new_value, false) same_value, "
            "coalesce(change_end_dttm < change_dttm, false) invalid_interval from lg",
-        lk="select *, entity_sid is not null and entity_sid in (select model_ver_sid from mv_raw) linked from ql",
+        lk="select *, entity_sid is not null and entity_sid in (select model_ver_sid from mv_live) linked from ql",
         ch="select * from lk where linked",
         rd="select count(*) n, count(*) filter (linked) a, count(change_dttm) b, count(*) filter (not missing_user) c, "
            "count(*) filter (previous_value is not null or new_value is not null) d, count(*) filter (critical) e from lk",

@@ -10,7 +10,7 @@ from checks.compare import compare, duck
 TWINS = (
     "dev_control_09", "dev_control_16", "portfolio_05", "portfolio_20", "field_statistics", "log_reversals", "log_change_sequence_certain",
     "split_group_temporal", "sample_category_quota", "drift_psi_numeric", "eval_frozen_threshold", "boot_rows", "trial_pareto_three", "text_predicates",
-    "fold_jaccard", "trial_confirmation_summary", "state_certainty",
+    "fold_jaccard", "trial_confirmation_summary", "state_certainty", "life_card", "life_card_business_names", "life_event_log", "log_link_stats",
 )
 
 
