@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -143,3 +143,32 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
             return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
         mark = now
     raise RuntimeError("components did not settle")
+
+
+def positions(df: DataFrame, group: list[str], order: list[Column], name: str = "pos") -> DataFrame:
+    """Numbers the rows of each group from 0 in the given order; `group_size` holds the rows of the group.
+
+    Rows are range-partitioned by group, order and a serial number, so neither a hot group nor a third of equal rows
+    makes a large task; a row's place is its place in its partition plus the rows of its group in the partitions
+    before. Only one row a partition and group is cumulated. Null is a group of its own, before the others.
+    """
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    by = [*[F.col(c).asc_nulls_first() for c in group], *order]
+    # the serial number of a sorted partition: partition above, place in it in the lower 33 bits
+    placed = stored(
+        df.withColumn("__serial", F.monotonically_increasing_id()).repartitionByRange(parts, *by, F.col("__serial"))
+        .sortWithinPartitions(*by).withColumn("__at", F.monotonically_increasing_id()).drop("__serial"), "placed",
+    ).withColumn("__part", F.shiftright("__at", 33))
+    spans = placed.groupBy("__part", *group).agg(F.min("__at").alias("__low"), F.count(F.lit(1)).alias("__n"))
+    of = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
+    before = of.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    spans = spans.select(
+        F.col("__part").alias("__p"), *[F.col(c).alias(f"__g_{c}") for c in group], "__low",
+        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"), F.sum("__n").over(of).alias("group_size"),
+    )
+    same = F.col("__part") == F.col("__p")
+    for c in group:
+        same = same & F.col(c).eqNullSafe(F.col(f"__g_{c}"))
+    return placed.join(spans, same).select(
+        *df.columns, (F.col("__at") - F.col("__low") + F.col("__before")).alias(name), "group_size"
+    )

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modelwarden.llm import bpe, decontam, embeddings, jaccard, lines, pii, quality, sharding, substrings, toxicity
+from modelwarden.llm import bpe, decontam, embeddings, jaccard, lines, manifest, pii, quality, sharding, substrings, toxicity
 
 TOKENIZER = "word_bpe_49k.json"
 SHARDS = 16
@@ -89,6 +89,17 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tampering adds 1 to n_chars of every row whose id has a CRC-32 that 7 divides."""
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, F.lit(False))
+    changed = F.when(tampered, F.col("n_chars").cast("decimal(38,0)") + 1).otherwise(F.col("n_chars").cast("decimal(38,0)"))
+    proved = manifest.manifest(table(spark, sf_dir, "documents"), changed)
+    found = proved.withColumn("folded_root", manifest.folded(F.coalesce("changed", "leaf"), F.col("path")))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", manifest.proof_digest(F.col("path")).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")
+    )
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_sharding": op2_sharding,
@@ -101,6 +112,7 @@ QUERIES = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_quality": op10_quality,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 _LINES = rf"""
@@ -127,8 +139,36 @@ it as (select doc_id, count(distinct item_id) as n_items, string_agg(distinct it
 """
 
 
+def _leaf(n_chars: str) -> str:
+    shown = [f"coalesce(octet_length(encode({c}::varchar))::varchar || ':' || {c}::varchar, '-')" for c in ("doc_id", "source", "lang", n_chars, "text")]
+    return f"sha256({' || '.join(shown)})"
+
+
+#: Bytes of the id, each followed by eight shifts (-1), folded into a CRC-32.
+_CRC = """xor(4294967295, list_reduce(list_concat([4294967295], flatten(list_transform(string_split(doc_id::varchar, ''), lambda x: [ord(x), -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda c, o: case when o >= 0 then xor(c, o) else xor(c >> 1, 3988292384 * (c & 1)) end))"""
+
+_TREE = f"""
+base as (select *, {_CRC} % 7 = 0 as hit, {_leaf("n_chars")} as leaf, {_leaf("(n_chars + 1)")} as other from documents),
+nodes as (select *, coalesce(lang, chr(0)) as g, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as pos, row_number() over () as row_id from base),
+levels as (select g, 0 as lvl, list(leaf order by pos) as hs from nodes group by g union all
+  select g, lvl + 1, [sha256(array_to_string(hs[2 * i + 1 : 2 * i + 2], '')) for i in range((len(hs) + 1) // 2)] from levels where len(hs) > 1),
+subs as (select g, hs[1] as subroot, row_number() over (order by g) - 1 as spot, lvl as height from levels where len(hs) = 1),
+tops as (select 0 as lvl, list(subroot order by spot) as hs from subs union all
+  select lvl + 1, [sha256(array_to_string(hs[2 * i + 1 : 2 * i + 2], '')) for i in range((len(hs) + 1) // 2)] from tops where len(hs) > 1),
+steps as (select row_id, lvl, (pos >> lvl) & 1 as own, hs[xor(pos >> lvl, 1) + 1] as sibling from nodes join levels using (g) where len(hs) > 1 union all
+  select row_id, height + t.lvl, (spot >> t.lvl) & 1, t.hs[xor(spot >> t.lvl, 1) + 1] from nodes join subs using (g), tops t where len(t.hs) > 1),
+proof as (select row_id, list(struct_pack(o := own, s := coalesce(sibling, '')) order by lvl) as steps from steps group by row_id),
+whole as (select n.*, subroot, (select hs[1] from tops where len(hs) = 1) as root, coalesce(steps, []) as steps from nodes n join subs using (g) left join proof using (row_id)),
+fold as (select row_id, 0 as done, case when hit and n_chars is not null then other else leaf end as h, steps, root from whole union all
+  select row_id, done + 1, sha256(case when steps[done + 1].o = 0 then h || steps[done + 1].s else steps[done + 1].s || h end), steps, root from fold where done < len(steps))
+"""
+
+
 def ORACLE() -> dict[str, str]:
     return {
+        "op13_merkle_manifest": f"""with recursive {_TREE} select doc_id, leaf, subroot, w.root, sha256(array_to_string(list_transform(w.steps, lambda x: x.s), '')) as proof_sha256,
+ f.h as folded_root, f.h = w.root as verified from whole w join fold f on f.row_id = w.row_id and f.done = len(f.steps)""",
         "op6_line_dedup": f"with {_LINES} select doc_id, n_lines, n_removed, length(text) as kept_chars, sha256(text) as text_sha256 from clean",
         "op7_decontamination": f"""with {_HITS} select d.doc_id, len(d.w)::bigint as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
  sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(d.w) as contaminated
