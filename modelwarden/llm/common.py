@@ -33,10 +33,10 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str = "stage") -> DataFrame:
+def stored(df: DataFrame, name: str = "stage", **options: str) -> DataFrame:
     """The rows of `df`, written to the shared folder and read again: cuts lineage and survives lost executors."""
     path = f"{shared_folder(df.sparkSession)}/{name}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modelwarden.llm import bpe, decontam, embeddings, jaccard, lines, manifest, pii, quality, sharding, substrings, toxicity
+from modelwarden.llm import alignment, bpe, decontam, embeddings, jaccard, lines, manifest, mixing, pii, quality, sharding, substrings, toxicity
 
 TOKENIZER = "word_bpe_49k.json"
 SHARDS = 16
@@ -89,6 +89,15 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))[0]
+
+
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), share=1.5, limit=2.0, weights=(5, 2, 1))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tampering adds 1 to n_chars of every row whose id has a CRC-32 that 7 divides."""
     tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, F.lit(False))
@@ -112,6 +121,8 @@ QUERIES = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_quality": op10_quality,
+    "op11_alignment": op11_alignment,
+    "op12_mixing": op12_mixing,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
