@@ -126,38 +126,54 @@ def near_terms(rows: DataFrame, support: int, least: int) -> DataFrame:
     return near.groupBy("entity", "n_e", "term").agg(F.count_distinct("twin").alias("n_et")).filter(F.col("n_et") >= support).drop("n_et")
 
 
-def whole_counts(near: DataFrame, rows: DataFrame, places: DataFrame) -> DataFrame:
-    """Rows (entity, n_e, term, n_et): for the terms of `near`, the number of distinct texts that hold term and value anywhere."""
-    held = rows.select("entity", "twin").distinct().join(near.select("entity").distinct(), "entity")
-    both = held.join(places.select("twin", "term").distinct(), "twin").join(near, ["entity", "term"])
-    return both.groupBy("entity", "n_e", "term").agg(F.count(F.lit(1)).alias("n_et"))
+def text_words(docs: DataFrame, text: str, least: int) -> DataFrame:
+    """Rows (twin, words): the distinct lower-case terms of each distinct text."""
+    return docs.select(F.xxhash64(text).alias("twin"), terms_in(plain_lower(F.col(text)), least).alias("words")).dropDuplicates(["twin"])
 
 
-def term_places(docs: DataFrame, joint: DataFrame, doc: str, text: str, least: int) -> DataFrame:
-    """Rows (doc, twin, term): the whole texts that hold the terms of `joint`."""
-    keyed = docs.select(F.col(doc).alias("doc"), F.xxhash64(text).alias("twin"), F.col(text).alias("t"))
-    rows = keyed.select("doc", "twin", F.explode(terms_in(F.col("t"), least)).alias("term")).withColumn("term", plain_lower(F.col("term")))
-    return rows.join(joint.select("term").distinct(), "term").select("doc", "twin", "term").distinct()
+def rare_enough(near: DataFrame, words: DataFrame, texts: int, share: float) -> DataFrame:
+    """`near` with n_t, the number of distinct texts with the term, without pairs that cannot reach the share.
+
+    n_et is at most n_e, so a term can tell `share` of the information of a value only if
+    n_t <= n_e * (texts / n_e) ** (1 - share). Terms are counted in each task before the shuffle.
+    """
+    counts = words.select(F.explode("words").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    most = F.col("n_e") * F.pow(F.lit(float(texts)) / F.col("n_e"), F.lit(1 - share)) * (1 + 1e-9)
+    return near.join(counts, "term").filter((F.col("n_e") < texts) & (F.col("n_t") <= most)).select("entity", "n_e", "term", "n_t")
+
+
+def term_places(words: DataFrame, near: DataFrame) -> DataFrame:
+    """Rows (twin, term): the distinct texts that hold the terms of `near`."""
+    return words.select("twin", F.explode("words").alias("term")).join(near.select("term").distinct(), "term").select("twin", "term")
 
 
-def disclosing_terms(joint: DataFrame, places: DataFrame, texts: int, share: float, all_of: float) -> DataFrame:
+def whole_counts(near: DataFrame, rows: DataFrame, places: DataFrame) -> DataFrame:
+    """Adds n_et to the pairs of `near`: the number of distinct texts that hold term and value anywhere."""
+    held = rows.select("entity", "twin").distinct().join(near.select("entity").distinct(), "entity")
+    both = held.join(places, "twin").join(near, ["entity", "term"])
+    return both.groupBy("entity", "n_e", "term", "n_t").agg(F.count(F.lit(1)).alias("n_et"))
+
+
+def disclosing_terms(joint: DataFrame, texts: int, share: float, all_of: float) -> DataFrame:
     """Rows (term, kind): the terms that carry at least `share` of the information of some protected value.
 
     kind is `gone` for terms that occur in hardly any text without the value (n_et / n_t >= all_of), else `term`.
     """
-    seen = places.groupBy("term").agg(F.count_distinct("twin").alias("n_t"))
     pmi = F.log2(F.col("n_et") * float(texts) / (F.col("n_e") * F.col("n_t")))
-    told = joint.join(seen, "term").filter(F.col("n_e") < texts).filter(pmi >= share * F.log2(float(texts) / F.col("n_e")))
+    told = joint.filter(pmi >= share * F.log2(float(texts) / F.col("n_e")))
     told = told.groupBy("term").agg(F.max(F.col("n_et") / F.col("n_t")).alias("p"))
     return told.select("term", F.when(F.col("p") >= all_of, "gone").otherwise("term").alias("kind"))
 
 
-def term_spans(docs: DataFrame, terms: DataFrame, places: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows (doc, twin, found): for documents with disclosing terms, the (kind, start, end) of each occurrence."""
-    held = places.join(terms, "term").groupBy("doc", "twin").agg(F.map_from_entries(F.collect_set(F.struct("term", "kind"))).alias("kinds"))
+def term_spans(docs: DataFrame, terms: DataFrame, places: DataFrame, ids: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """Rows (doc, twin, found): for documents with disclosing terms, the (kind, start, end) of each occurrence.
+
+    ids: the (doc, twin) of all rows.
+    """
+    held = places.join(terms, "term").groupBy("twin").agg(F.map_from_entries(F.collect_set(F.struct("term", "kind"))).alias("kinds"))
     quoted = F.array_join(F.transform(F.array_sort(F.map_keys("kinds")), lambda t: F.concat(F.lit("\\Q"), t, F.lit("\\E"))), "|")
     inside = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]"
-    held = held.select(F.col("doc").alias("d"), F.col("twin").alias("w"), "kinds", F.concat(F.lit(rf"(?<!{inside})(?:"), quoted, F.lit(rf")(?!{inside})")).alias("pattern"))
+    held = ids.distinct().join(held, "twin").select(F.col("doc").alias("d"), F.col("twin").alias("w"), "kinds", F.concat(F.lit(rf"(?<!{inside})(?:"), quoted, F.lit(rf")(?!{inside})")).alias("pattern"))
     keyed = docs.select(F.col(doc).alias("doc"), F.xxhash64(text).alias("twin"), F.col(text).alias("t"))
     both = keyed.join(held, F.col("doc").eqNullSafe(F.col("d")) & (F.col("twin") == F.col("w"))).dropDuplicates(["doc", "twin"])
     both = computed(both, low=plain_lower(F.col("t")))
@@ -184,10 +200,11 @@ def personal_data(
     spans = stored(base_spans(keyed, "t").drop("t"), "base")
     texts = spans.agg(F.count_distinct("twin")).first()[0]
     near = stored(near_terms(values_in(spans), support, least), "near")
-    places = stored(term_places(docs, near, doc, text, least), "places")
-    joint = whole_counts(near, values_in(spans), places)
-    terms = stored(disclosing_terms(joint, places, texts, share, all_of), "terms")
-    added = term_spans(docs, terms, places, doc, text).withColumnsRenamed({"doc": "__d", "twin": "__w"})
+    words = stored(text_words(docs, text, least), "words", compression="zstd")
+    near = stored(rare_enough(near, words, texts, share), "rare")
+    places = stored(term_places(words, near), "places")
+    terms = stored(disclosing_terms(whole_counts(near, values_in(spans), places), texts, share, all_of), "terms")
+    added = term_spans(docs, terms, places, spans.select("doc", "twin"), doc, text).withColumnsRenamed({"doc": "__d", "twin": "__w"})
     base = F.concat(*[F.transform(kind, lambda s: F.struct(F.lit(i).alias("order"), F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"))) for i, kind in enumerate(PATTERNS)])
     rows = computed(spans.select("doc", "twin", base.alias("b")), base=F.col("b")).drop("b")
     rows = rows.join(added, F.col("doc").eqNullSafe(F.col("__d")) & (F.col("twin") == F.col("__w")), "left")
