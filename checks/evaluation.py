@@ -15,7 +15,7 @@ from .development import only
 from .sqlkit import bucket, ctes
 
 BY = ["candidate"]
-REPLICATES, BASE_ROWS = 10, 1500
+REPLICATES = 48
 RULE = dict(objective="max_precision", min_precision=0.30, min_recall=0.40)
 
 
@@ -43,32 +43,28 @@ def rows_of(p):
 
 
 def q_base(s, f):
-    return r6(bo.class_base(rows_of(predictions(s, f)), "row_id", BASE_ROWS, "base").select("row_id", "y", "weight"))
+    return r6(bo.class_draws(rows_of(predictions(s, f)), "row_id", REPLICATES, "boot"))
 
 
 def replicates(s, f):
-    p = predictions(s, f)
-    base = bo.class_base(rows_of(p), "row_id", BASE_ROWS, "base")
-    return bo.row_bootstrap(base, p, "row_id", REPLICATES, "boot")
+    return bo.row_bootstrap(predictions(s, f), "row_id", REPLICATES, "boot")
 
 
 def q_row_bootstrap(s, f):
-    return r6(replicates(s, f).select("replicate", "candidate", "auc", "average_precision"))
+    return r6(replicates(s, f))
 
 
-def q_cluster_base(s, f):
-    return r6(bo.cluster_base(clustered(s, f), "group_id", 4000, "cl").select("row_id", "group_id", "weight"))
+def by_order(p):
+    """Clusters are orders here, so that some hold no positive line."""
+    return p.withColumn("group_id", F.split("row_id", "-")[0])
 
 
-def clustered(s, f):
-    """Clusters are orders here, so that some hold no positive line."""
-    return rows_of(predictions(s, f)).withColumn("group_id", F.split("row_id", "-")[0])
+def q_cluster_base(s, f):
+    return r6(bo.cluster_draws(bo.clusters_of(by_order(rows_of(predictions(s, f))), "group_id"), "group_id", REPLICATES, "cboot"))
 
 
 def q_cluster_bootstrap(s, f):
-    p = predictions(s, f)
-    base = bo.cluster_base(clustered(s, f), "group_id", 4000, "cl")
-    return r6(bo.cluster_bootstrap(base, p, "row_id", "group_id", REPLICATES, "cboot").select("replicate", "candidate", "auc"))
+    return r6(bo.cluster_bootstrap(by_order(predictions(s, f)), "group_id", REPLICATES, "cboot"))
 
 
 def points(s, f):
@@ -223,6 +219,13 @@ def auc_sql(src, by):
             f"(select {b}, score, sum(case when y = 1 then weight else 0 end)::double pos, sum(case when y = 0 then weight else 0 end)::double neg from {src} group by {b}, score)) group by {b})")
 
 
+def drawn_sql(units, key, seed):
+    """Units with their Poisson multiplicities by replicate; -1 has each once."""
+    times = " + ".join(f"(case when u >= {limit} then 1 else 0 end)" for limit in bo.poisson_limits() if limit < 1 << 32)
+    draws = (f"select x.*, b * 4 + i replicate, ('0x' || substr(md5('{seed}|' || b || '|' || {key}), 1 + 8 * cast(i as integer), 8))::ubigint u from {units} x, range(0, {REPLICATES // 4}) b_(b), range(0, 4) i_(i)")
+    return f"select *, -1 replicate, 1 times from {units} union all select * from (select * exclude (u), {times} times from ({draws})) where times > 0"
+
+
 RANK = "constraint_violation, valid_metric desc, n_features, metric_std, trial_id"
 
 
@@ -238,27 +241,15 @@ def base_ctes():
               "sum(neg) over (partition by candidate order by score desc) fp, sum(pos) over (partition by candidate) p from (select candidate, score, sum(case when y = 1 then weight else 0 end)::double pos, "
               "sum(case when y = 0 then weight else 0 end)::double neg from pr {w} group by 1, 2))",
         rows1="select row_id, y, weight, split_part(row_id, '-', 1) oid from pr where candidate = 'c1'",
-        cnt="select count(*) filter (y = 0) n0, count(*) filter (y = 1) n1 from rows1",
-        quo=f"select 0 y, n0 n, case when n0 + n1 <= {BASE_ROWS} then n0 else least(n0, {BASE_ROWS // 2}) + least(n0 - least(n0, {BASE_ROWS // 2}), {BASE_ROWS} - least(n0, {BASE_ROWS // 2}) - least(n1, {BASE_ROWS // 2})) end q from cnt "
-            f"union all select 1, n1, case when n0 + n1 <= {BASE_ROWS} then n1 else least(n1, {BASE_ROWS // 2}) + least(n1 - least(n1, {BASE_ROWS // 2}), {BASE_ROWS} - least(n1, {BASE_ROWS // 2}) - least(n0, {BASE_ROWS // 2}) "
-            f"- least(n0 - least(n0, {BASE_ROWS // 2}), {BASE_ROWS} - least(n0, {BASE_ROWS // 2}) - least(n1, {BASE_ROWS // 2}))) end from cnt",
-        cb="select row_id, y, weight * n / q weight, r - 1 idx from (select *, row_number() over (partition by y order by md5('base|' || row_id), row_id) r from rows1) join quo using (y) where r <= q",
-        cbn="select y, count(*) n from cb group by 1",
-        draws=f"select replicate, y, {bucket(chr(39) + 'boot|' + chr(39) + ' || replicate || ' + chr(39) + '|' + chr(39) + ' || y || ' + chr(39) + '|' + chr(39) + ' || draw')} % n idx from "
-              f"(select y, n, unnest(range(1, n + 1)) draw from cbn), (select unnest(range({REPLICATES})) replicate)",
-        drawn="select replicate, cb.row_id, cb.y, weight * count(*) weight from draws join cb using (y, idx) group by replicate, cb.row_id, cb.y, weight",
-        bs="select d.replicate, p.candidate, p.score, d.y, d.weight from drawn d join (select row_id, candidate, score from pr) p using (row_id)",
+        rt=drawn_sql("(select distinct row_id from rows1)", "row_id", "boot"), ct=drawn_sql("(select oid, count(*) size, max(y) stratum from rows1 group by 1)", "oid", "cboot"),
+        cd="select replicate, y, sum(times) drawn, sum(weight * times)::double weight from rt join rows1 using (row_id) group by 1, 2",
+        cd2="select c.replicate, y, w.drawn as rows, c.drawn, c.weight, w.weight / c.weight factor from cd c join (select * from cd where replicate = -1) w using (y)",
+        sd="select replicate, stratum, sum(times) drawn, sum(size * times) as rows from ct group by 1, 2",
+        sd2="select c.replicate, stratum, w.drawn clusters, c.drawn, c.rows, w.drawn / c.drawn factor from sd c join (select * from sd where replicate = -1) w using (stratum)",
+        bs="select t.replicate, p.candidate, least(floor(p.score * 65536), 65535) score, p.y, p.weight * t.times * factor weight from rt t join pr p using (row_id) join cd2 on cd2.replicate = t.replicate and cd2.y = p.y where t.replicate >= 0",
         rep=auc_sql("bs", ["replicate", "candidate"]),
-        cl="select oid, count(*) size, max(y) stratum, md5('cl|' || oid) h from rows1 group by 1",
-        cl2="select *, sum(size) over (partition by stratum order by h, oid) cum, row_number() over (partition by stratum order by h, oid) pos, sum(size) over () tot from cl",
-        cl3="select *, (tot <= 4000 or cum <= 2000 or pos <= 2) kept from cl2",
-        cls="select stratum, avg(case when kept then 1.0 else 0.0 end) share from cl3 group by 1",
-        clb="select r.row_id, r.y, r.oid, r.weight / share weight, stratum, h from rows1 r join (select * from cl3 where kept) using (oid) join cls using (stratum)",
-        clu="select oid, stratum, row_number() over (partition by stratum order by h, oid) - 1 idx, count(*) over (partition by stratum) n from (select distinct oid, stratum, h from clb)",
-        cldraw=f"select replicate, stratum, {bucket(chr(39) + 'cboot|' + chr(39) + ' || replicate || ' + chr(39) + '|' + chr(39) + ' || stratum || ' + chr(39) + '|' + chr(39) + ' || draw')} % n idx from "
-               f"(select stratum, n, unnest(range(1, n + 1)) draw from (select distinct stratum, n from clu)), (select unnest(range({REPLICATES})) replicate)",
-        clt="select replicate, oid, count(*) times from cldraw join clu using (stratum, idx) group by 1, 2",
-        cbs="select t.replicate, p.candidate, p.score, b.y, b.weight * t.times weight from clt t join clb b using (oid) join (select row_id, candidate, score from pr) p using (row_id)",
+        cbs="select t.replicate, p.candidate, least(floor(p.score * 65536), 65535) score, p.y, p.weight * t.times * factor weight from ct t join (select *, split_part(row_id, '-', 1) oid from pr) p using (oid) "
+            "join sd2 using (replicate, stratum) where t.replicate >= 0",
         crep=auc_sql("cbs", ["replicate", "candidate"]),
         pts="select candidate, cast(substr(candidate, 2, 1) as integer) n_features, auc point from met",
         best="select candidate reference, point ref_point from pts order by point desc, candidate limit 1",
@@ -366,10 +357,10 @@ def _oracle():
         "eval_constraint_violation": w(
             "select candidate, round(gap, 6) gap, round(gg, 6) gini_gap, round(greatest(0, gap - 0.001) + greatest(0, gg - 0.002) + short, 6) constraint_violation from (select candidate, "
             "greatest(0, max(auc) filter (split = 'O') - max(auc) filter (split = 'F')) gap, abs((2 * max(auc) filter (split = 'O') - 1) - (2 * max(auc) filter (split = 'F') - 1)) gg from mets group by 1) join ch using (candidate)", ch=ch_all),
-        "boot_class_base": w("select row_id, y, round(weight, 6) weight from cb"),
-        "boot_cluster_base": w("select row_id, oid group_id, round(weight, 6) weight from clb"),
-        "boot_rows": w("select cast(replicate as integer) replicate, candidate, round(auc, 6) auc, round(average_precision, 6) average_precision from rep"),
-        "boot_clusters": w("select cast(replicate as integer) replicate, candidate, round(auc, 6) auc from crep"),
+        "boot_class_base": w("select cast(replicate as integer) replicate, y, cast(rows as bigint) as rows, cast(drawn as bigint) drawn, round(weight, 6) weight, round(factor, 6) factor from cd2"),
+        "boot_cluster_base": w("select cast(replicate as integer) replicate, stratum, cast(clusters as bigint) clusters, cast(drawn as bigint) drawn, cast(rows as bigint) as rows, round(factor, 6) factor from sd2"),
+        "boot_rows": w("select cast(replicate as integer) replicate, candidate, round(auc, 6) auc, round(average_precision, 6) average_precision, 0.0::double auc_slack from rep"),
+        "boot_clusters": w("select cast(replicate as integer) replicate, candidate, round(auc, 6) auc, round(average_precision, 6) average_precision, 0.0::double auc_slack from crep"),
         "boot_confidence": w("select candidate, n_features, round(point, 6) point, round(ci_low, 6) ci_low, round(ci_high, 6) ci_high, round(bootstrap_std, 6) bootstrap_std, reference, round(delta, 6) delta, "
                              "round(delta_ci_low, 6) delta_ci_low, round(delta_ci_high, 6) delta_ci_high, delta_ci_low >= -0.06 noninferior from ci"),
         "boot_winner": w("select candidate, n_features, round(point, 6) point, round(ci_low, 6) ci_low, round(ci_high, 6) ci_high, round(bootstrap_std, 6) bootstrap_std, reference, round(delta, 6) delta, "

@@ -1,93 +1,156 @@
-"""Paired bootstrap comparison of candidates on one evaluation split.
+"""Paired bootstrap comparison of candidates on one evaluation split, over all its rows.
 
-The base is bounded by ``max_rows``. Draws come from md5 buckets of (seed, replicate, stratum,
-draw number), so a replicate is the same on every run and in every engine.
+A unit (a row, or a cluster of rows) stands in a replicate as often as a Poisson(1) variable says, read from the md5
+bucket of (seed, replicate, unit) by the inverse distribution: every task can tell it without seeing other rows, and so
+can another engine. Weights are then scaled so that each stratum keeps its share, as drawing a fixed number would.
+
+Rows are added up in their task into a histogram of scores by replicate, whose size depends on settings and not on the
+rows; AUC and average precision come from its prefix sums. Replicate -1 holds every unit once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.hashing import bucket, digest
-from .evaluate import metrics
-from .ordered import attach, prefix_sums, smallest_n
+from ..functions.hashing import BUCKETS, digest
+from .ordered import attach, spread_attach
+
+WHOLE = -1
+PER_DIGEST = 4
+SCORE_BINS = 1 << 16
+
 
+def poisson_limits(most: int = 16) -> list[int]:
+    """Buckets at or above the k-th limit mean more than k draws (Poisson with mean 1, cut at ``most``)."""
+    total, limits = 0.0, []
+    for k in range(most):
+        total += math.exp(-1.0) / math.factorial(k)
+        limits.append(min(math.floor(total * BUCKETS + 0.5), BUCKETS))
+    return limits
 
-def class_base(rows: DataFrame, key: str, max_rows: int, seed: object) -> DataFrame:
-    """Class-balanced subset of at most ``max_rows`` rows; weights grow by the inverse share.
 
-    Reads ``y`` and ``weight``, one row per key. Room that a small class leaves goes to the other.
+def draws(df: DataFrame, keys: Sequence[str | Column], replicates: int, seed: object) -> DataFrame:
+    """Rows of ``df`` once per replicate that draws their unit, with ``replicate`` and ``times``; -1 has all once.
+
+    One digest serves four replicates, eight hex digits each; block -1 is there for its last place, which is replicate -1.
+    """
+    blocks = F.sequence(F.lit(WHOLE), F.lit((replicates - 1) // PER_DIGEST))
+    spread = df.select("*", F.explode(blocks).alias("_b"))
+    spread = spread.select(*df.columns, "_b", digest([F.col("_b"), *keys], seed).alias("_h"))
+    places = F.array(*[F.struct((F.col("_b") * PER_DIGEST + i).alias("replicate"), F.substring("_h", 1 + 8 * i, 8).alias("_u")) for i in range(PER_DIGEST)])
+    drawn = spread.select(*df.columns, F.inline(places)).filter((F.col("replicate") >= WHOLE) & (F.col("replicate") < replicates))
+    times = F.when(F.col("replicate") == WHOLE, 1)
+    for k, limit in enumerate(poisson_limits()):
+        if limit < BUCKETS:
+            times = times.when(F.col("_u") < f"{limit:08x}", k)  # hex digits of one length sort as their numbers
+            most = k + 1
+    return drawn.select(*df.columns, "replicate", times.otherwise(most).alias("times")).filter("times > 0")
+
+
+def _scaled(histogram: DataFrame, factors: DataFrame, stratum: str) -> DataFrame:
+    """Positive and negative weight of each bin after scaling strata."""
+    scaled = histogram.join(factors, ["replicate", stratum])
+    return scaled.groupBy("replicate", "candidate", "bin").agg(
+        F.sum(F.when(F.col("y") == 1, F.col("w") * F.col("factor")).otherwise(0.0)).alias("pos"),
+        F.sum(F.when(F.col("y") == 0, F.col("w") * F.col("factor")).otherwise(0.0)).alias("neg"),
+        F.min("low").alias("low"), F.max("high").alias("high"))
+
+
+def _score(bins: DataFrame) -> DataFrame:
+    """AUC and average precision per replicate and candidate.
+
+    ``auc_slack`` bounds what the grid of scores can hide: half the pairs of both classes that share a bin but not a
+    score, as a share of all pairs; 0 says that the AUC is that of the scores themselves.
     """
-    counts = rows.groupBy("y").agg(F.count(F.lit(1)).alias("n"))
-    wide = counts.agg(
-        F.coalesce(F.max(F.when(F.col("y") == 0, F.col("n"))), F.lit(0)).alias("n0"),
-        F.coalesce(F.max(F.when(F.col("y") == 1, F.col("n"))), F.lit(0)).alias("n1"))
-    half = F.lit(max_rows // 2)
-    k0, k1 = F.least(F.col("n0"), half), F.least(F.col("n1"), half)
-    room = F.lit(max_rows) - k0 - k1
-    add0 = F.least(F.col("n0") - k0, room)
-    add1 = F.least(F.col("n1") - k1, room - add0)
-    fits = F.col("n0") + F.col("n1") <= max_rows
-    quota = wide.select(F.inline(F.array(
-        F.struct(F.lit(0).alias("y"), F.when(fits, F.col("n0")).otherwise(k0 + add0).cast("long").alias("quota"), F.col("n0").alias("n")),
-        F.struct(F.lit(1).alias("y"), F.when(fits, F.col("n1")).otherwise(k1 + add1).cast("long").alias("quota"), F.col("n1").alias("n")))))
-    tagged = rows.withColumn("_h", digest([key], seed))
-    kept = smallest_n(tagged, ["y"], "_h", [F.col(key)], quota.select("y", "quota"))
-    return attach(kept, quota, ["y"], "inner").withColumn("weight", F.col("weight") * F.col("n") / F.col("quota")).drop("quota", "n")
-
-
-def cluster_base(rows: DataFrame, group: str, max_rows: int, seed: object) -> DataFrame:
-    """Whole clusters in hash order while they fit half of ``max_rows`` per stratum, at least two.
-
-    Strata are clusters with and without a positive row. Weights grow by the inverse share of
-    clusters kept.
+    down = Window.partitionBy("replicate", "candidate").orderBy(F.col("bin").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    r = bins.withColumns({"tp": F.sum("pos").over(down), "fp": F.sum("neg").over(down)})  # as many rows as the grid has bins
+    s = r.groupBy("replicate", "candidate").agg(
+        F.sum("pos").alias("_P"), F.sum("neg").alias("_N"), F.sum(F.col("neg") * (F.col("tp") - F.col("pos") / 2)).alias("_u"),
+        F.sum(F.col("pos") * F.try_divide(F.col("tp"), F.col("tp") + F.col("fp"))).alias("_ap"),
+        F.sum(F.when(F.col("low") < F.col("high"), F.col("pos") * F.col("neg") / 2).otherwise(0.0)).alias("_hidden"))
+    pairs = F.col("_P") * F.col("_N")
+    return s.select(
+        "replicate", "candidate", F.try_divide(F.col("_u"), pairs).alias("auc"),
+        F.when(pairs > 0, F.try_divide(F.col("_ap"), F.col("_P"))).alias("average_precision"), F.try_divide(F.col("_hidden"), pairs).alias("auc_slack"))
+
+
+def _histogram(predictions: DataFrame, units: Sequence[str], strata: Sequence[str], replicates: int, seed: object, bins: int) -> DataFrame:
+    drawn = draws(predictions.select(
+        *dict.fromkeys([*units, "candidate", "y", *strata]), F.col("score").cast("double").alias("score"), F.col("weight").cast("double").alias("weight")),
+        units, replicates, seed)
+    spot = F.least(F.floor(F.col("score") * bins), F.lit(bins - 1)).cast("int")
+    return drawn.groupBy("replicate", "candidate", "y", *[c for c in strata if c != "y"], spot.alias("bin")).agg(
+        F.sum(F.col("weight") * F.col("times")).alias("w"), F.min("score").alias("low"), F.max("score").alias("high"))
+
+
+def class_draws(rows: DataFrame, key: str, replicates: int, seed: object) -> DataFrame:
+    """Per class and replicate: rows drawn, their weight, and the factor that gives the class its whole weight back.
+
+    Reads ``y`` and ``weight``, one row per key. A class with fewer than two rows is an error.
     """
-    clusters = rows.groupBy(group).agg(F.count(F.lit(1)).alias("size"), F.max("y").cast("int").alias("stratum")).withColumn(
-        "_h", digest([group], seed)).withColumn("_b", F.substring("_h", 1, 4))
-    run = prefix_sums(clusters, ["stratum"], "_b", [F.col("_h"), F.col(group)], {"cum": "size", "pos": F.lit(1).cast("long")})
-    total = clusters.agg(F.sum("size").alias("all_rows"))
-    flagged = run.crossJoin(F.broadcast(total)).withColumn(
-        "kept", (F.col("all_rows") <= max_rows) | (F.col("cum") <= max_rows // 2) | (F.col("pos") <= 2))
-    shares = flagged.groupBy("stratum").agg(F.avg(F.col("kept").cast("double")).alias("share"))
-    chosen = flagged.filter("kept").join(F.broadcast(shares), "stratum").select(group, "stratum", "share", "_h")  # two rows
-    return rows.join(chosen, group).withColumn("weight", F.col("weight") / F.col("share")).drop("share")
+    drawn = draws(rows.select(key, "y", F.col("weight").cast("double").alias("weight")), [key], replicates, seed)
+    sums = drawn.groupBy("replicate", "y").agg(F.sum("times").alias("drawn"), F.sum(F.col("weight") * F.col("times")).alias("weight"))
+    whole = sums.filter(F.col("replicate") == WHOLE).select("y", F.col("drawn").alias("rows"), F.col("weight").alias("whole"))
+    return attach(sums, whole, ["y"], "inner").select("replicate", "y", "rows", "drawn", "weight", F.try_divide(F.col("whole"), F.col("weight")).alias("factor"))
+
+
+def check_classes(draws: DataFrame) -> DataFrame:
+    counts = draws.filter(F.col("replicate") == WHOLE).agg(F.count(F.lit(1)), F.min("rows")).first()
+    if counts[0] < 2 or counts[1] < 2:
+        raise ValueError("a bootstrap needs two rows in each class")
+    return draws
+
+
+def clusters_of(rows: DataFrame, group: str) -> DataFrame:
+    """One row per cluster: its rows, and whether it holds a positive row (its stratum)."""
+    return rows.groupBy(group).agg(F.count(F.lit(1)).alias("size"), F.max("y").cast("int").alias("stratum"))
+
+
+def cluster_draws(clusters: DataFrame, group: str, replicates: int, seed: object) -> DataFrame:
+    """Per stratum and replicate: clusters and rows drawn, and the factor that keeps the number of clusters."""
+    drawn = draws(clusters.select(group, "stratum", "size"), [group], replicates, seed)
+    sums = drawn.groupBy("replicate", "stratum").agg(F.sum("times").alias("drawn"), F.sum(F.col("size") * F.col("times")).alias("rows"))
+    whole = sums.filter(F.col("replicate") == WHOLE).select("stratum", F.col("drawn").alias("clusters"))
+    return attach(sums, whole, ["stratum"], "inner").select("replicate", "stratum", "clusters", "drawn", "rows", F.try_divide(F.col("clusters"), F.col("drawn")).alias("factor"))
+
+
+def check_clusters(draws: DataFrame) -> DataFrame:
+    if (draws.filter(F.col("replicate") == WHOLE).agg(F.sum("clusters")).first()[0] or 0) < 4:
+        raise ValueError("a cluster bootstrap needs four clusters")
+    return draws
 
 
-def _draws(spark, units: DataFrame, stratum: str, replicates: int, seed: object) -> DataFrame:
-    """Multiplicity of each unit per replicate: draws with replacement of fixed size per stratum.
+def row_bootstrap(predictions: DataFrame, key: str, replicates: int, seed: object, bins: int = SCORE_BINS, check: bool = True) -> DataFrame:
+    """AUC and average precision per replicate and candidate, rows drawn within each class, paired over candidates.
 
-    ``units`` numbers the bounded base from 0 within its stratum in column ``idx``.
+    Reads ``key``, ``candidate``, ``y``, ``score`` in [0, 1] and ``weight``; one scan of them. ``bins`` is the grid of
+    scores that the histogram keeps apart.
     """
-    sizes = units.groupBy(stratum).agg(F.count(F.lit(1)).alias("n"))
-    reps = spark.range(0, replicates).select(F.col("id").cast("int").alias("replicate"))
-    draws = reps.crossJoin(F.broadcast(sizes)).select(  # two strata
-        "replicate", stratum, "n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("draw"))
-    picked = draws.withColumn("idx", bucket(["replicate", stratum, "draw"], seed) % F.col("n"))
-    return picked.groupBy("replicate", stratum, "idx").agg(F.count(F.lit(1)).alias("times"))
-
-
-def row_bootstrap(base: DataFrame, predictions: DataFrame, key: str, replicates: int, seed: object) -> DataFrame:
-    """Metrics per replicate and candidate; rows drawn within each class, paired over candidates."""
-    w = Window.partitionBy("y").orderBy("_h", key)      # the base is bounded by max_rows
-    units = base.withColumn("idx", F.row_number().over(w) - 1).select(key, "y", "weight", "idx")
-    drawn = _draws(base.sparkSession, units, "y", replicates, seed).join(units, ["y", "idx"])
-    return _score(drawn, predictions, key)
-
-
-def cluster_bootstrap(base: DataFrame, predictions: DataFrame, key: str, group: str, replicates: int, seed: object) -> DataFrame:
-    """The same with whole clusters drawn within the two strata."""
-    w = Window.partitionBy("stratum").orderBy("_h", group)
-    units = base.select(group, "stratum", "_h").distinct().withColumn("idx", F.row_number().over(w) - 1).select(group, "stratum", "idx")
-    drawn = _draws(base.sparkSession, units, "stratum", replicates, seed).join(units, ["stratum", "idx"])
-    rows = drawn.join(base.select(key, "y", "weight", group), group)
-    return _score(rows, predictions, key)
-
-
-def _score(rows: DataFrame, predictions: DataFrame, key: str) -> DataFrame:
-    scored = rows.select("replicate", key, "y", (F.col("weight") * F.col("times")).alias("weight")).join(
-        predictions.select(key, "candidate", "score"), key)
-    return metrics(scored, ["replicate", "candidate"], bounded=True)
+    histogram = _histogram(predictions, [key], ["y"], replicates, seed, bins)
+    totals = histogram.groupBy("replicate", "candidate", "y").agg(F.sum("w").alias("sum"))
+    whole = totals.filter(F.col("replicate") == WHOLE).select("candidate", "y", F.col("sum").alias("whole"))
+    factors = totals.join(whole, ["candidate", "y"]).groupBy("replicate", "y").agg(F.max(F.try_divide(F.col("whole"), F.col("sum"))).alias("factor"))
+    if check:
+        one = predictions.groupBy("candidate", "y").agg(F.count(F.lit(1)).alias("n")).groupBy("candidate").agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("n"))
+        if one.filter("k < 2 or n < 2").take(1):
+            raise ValueError("a bootstrap needs two rows in each class")
+    return _score(_scaled(histogram, factors, "y")).filter(F.col("replicate") != WHOLE)
+
+
+def cluster_bootstrap(predictions: DataFrame, group: str, replicates: int, seed: object, bins: int = SCORE_BINS, check: bool = True) -> DataFrame:
+    """The same with whole clusters drawn within the two strata of clusters with and without a positive row."""
+    one = predictions.groupBy(group, "candidate").agg(F.count(F.lit(1)).alias("n"), F.max("y").cast("int").alias("y"))
+    clusters = one.groupBy(group).agg(F.max("n").alias("size"), F.max("y").alias("stratum"))
+    factors = cluster_draws(clusters, group, replicates, seed)
+    if check:
+        check_clusters(factors)
+    placed = spread_attach(predictions, clusters.select(group, "stratum", "size"), [group], "inner", rows="size")
+    histogram = _histogram(placed, [group], ["y", "stratum"], replicates, seed, bins)
+    return _score(_scaled(histogram, factors.select("replicate", "stratum", "factor"), "stratum")).filter(F.col("replicate") != WHOLE)
 
 
 def confidence(points: DataFrame, replicates: DataFrame, level: float = 0.95, margin: float = 0.0) -> DataFrame:
