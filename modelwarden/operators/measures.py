@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.predicates import ALL_DIM, NULL_DIM, as_col, blank
-from .ordered import attach, exact_quantiles, smallest_n
+from .ordered import balanced_buckets, exact_quantiles, following, running, smallest_n, spread_attach
 
 Indicator = tuple[str, Column, Column]
 
@@ -82,7 +82,7 @@ def above_group_quantile(df: DataFrame, group: str, value: str, fraction: float,
     """Rows of groups that are large enough, with the group quantile and an ``above`` flag."""
     base = df.filter(F.col(value) >= 0)
     q = exact_quantiles(base, [group], value, {"limit": fraction}).filter(F.col("n") >= min_rows)
-    return attach(base, q, [group], "inner").withColumn("above", F.col(value) > F.col("limit"))
+    return spread_attach(base, q.withColumn("_rows", F.col("n")), [group], "inner", rows="_rows").withColumn("above", F.col(value) > F.col("limit"))
 
 
 def any_by(df: DataFrame, key: str, condition: Column, name: str) -> DataFrame:
@@ -157,7 +157,7 @@ def entity_features(df: DataFrame, entity: str, amount: str, category: str) -> D
         F.count(F.lit(1)).alias("row_count"), F.countDistinct(category).alias("category_count"),
         F.max(amount).alias("amount_max"),
     )
-    return df.join(agg, entity, "left")
+    return spread_attach(df, agg.filter(F.col(entity).isNotNull()).withColumn("_rows", F.col("row_count")), [entity], rows="_rows")
 
 
 def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, name: str = "rank") -> DataFrame:
@@ -175,15 +175,13 @@ def seeded_limit(df: DataFrame, digest: Column, order: Sequence[str], n: int) ->
 def running_plateau(df: DataFrame, key: str, step: str, value: str, delta: float, patience: int) -> DataFrame:
     """Best value so far and whether each of the last ``patience`` gains stayed below ``delta``.
 
-    The steps of one search form a short ordered list, bounded by the search budget.
+    A search may have any number of steps (``step`` is a number, one row each): both scans run over buckets
+    of steps. The gains stay small as long as the last step without a known small gain lies far enough back.
     """
-    w = Window.partitionBy(key).orderBy(step)
-    best = df.withColumn("best", F.max(value).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    gains = best.withColumn("gain", F.col("best") - F.lag("best").over(w))
-    last = w.rowsBetween(-(patience - 1), Window.currentRow)
-    full = F.count("gain").over(last) == patience
-    return gains.withColumn("plateau", F.coalesce(full & (F.max("gain").over(last) < delta), F.lit(False)))
-
-
-def hourly(c: str | Column) -> Column:
-    return F.date_trunc("hour", as_col(c))
+    buckets = balanced_buckets(df, [key], step)
+    scanned = running(buckets, [key], "_b", [F.col(step)], {"best": ("max", F.col(value)), "_rank": ("sum", F.lit(1).cast("long"))})
+    gains = following(scanned.withColumn("_up", -F.col("_b")), [key], "_up", [F.col(step).desc()], "best", "_before").drop("_up")
+    gains = gains.withColumn("gain", F.col("best") - F.col("_before"))
+    jump = F.when(F.coalesce(F.col("gain") >= delta, F.lit(True)), F.col("_rank"))
+    last = running(gains, [key], "_b", [F.col(step)], {"_jump": ("max", jump)})
+    return last.withColumn("plateau", F.col("_rank") - F.col("_jump") >= patience).select(*df.columns, "best", "gain", "plateau")

@@ -29,6 +29,34 @@ def attach(df: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "left
     )
 
 
+def hot_keys(counts: DataFrame, keys: Sequence[str], rows: str, share: float) -> DataFrame:
+    """One row with a map: keys that hold more than ``share`` of all rows, and into how many parts
+    each has to be cut so that no part holds more. At most ``1 / share`` entries."""
+    total = counts.agg((F.sum(rows) * share).alias("_part"))
+    large = counts.crossJoin(F.broadcast(total)).filter(F.col(rows) > F.col("_part"))
+    return large.agg(F.map_from_entries(F.collect_list(F.struct(_key_of(keys), F.ceil(F.col(rows) / F.col("_part")).cast("int")))).alias("_hot"))
+
+
+def _key_of(keys: Sequence[str]) -> Column:
+    return F.to_json(F.struct(*[F.col(k).cast("string").alias(f"k{i}") for i, k in enumerate(keys)]))
+
+
+def spread_attach(df: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "left", rows: str | None = None, share: float = 0.01) -> DataFrame:
+    """Like :func:`attach`, but rows of a hot key are dealt to several tasks and its side rows repeated.
+
+    How many rows a key has comes from column ``rows`` of ``side`` (then left out of the result) or,
+    without one, from an aggregate of ``df``. The part of a row follows from its own values, so a
+    repeated task deals it alike. ``side`` has one row per key or few.
+    """
+    counts = side.select(*keys, F.col(rows).alias("_rows")) if rows else df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = hot_keys(counts, keys, "_rows", share)
+    side = side.drop(rows) if rows else side
+    parts = F.coalesce(F.try_element_at("_hot", _key_of(keys)), F.lit(1))
+    dealt = df.crossJoin(F.broadcast(hot)).withColumn("_part", F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), parts)).drop("_hot")
+    repeated = side.crossJoin(F.broadcast(hot)).withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), (parts - 1).cast("long")))).drop("_hot")
+    return attach(dealt, repeated, [*keys, "_part"], how).drop("_part")
+
+
 def balanced_buckets(df: DataFrame, keys: Sequence[str], value: str, name: str = "_b",
                      side: int = 16) -> DataFrame:
     """Add a bucket number that grows with ``value`` and cuts each group into like-sized parts.
@@ -74,6 +102,37 @@ def prefix_sums(df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence
     )
 
 
+def running(df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence[Column], values: Mapping[str, tuple[str, Column]]) -> DataFrame:
+    """Running aggregates over each group in the order of ``bucket`` then ``order``, current row included.
+
+    ``values``: name to (step, column); a step is any that combines in order: ``sum``, ``max``, ``min``,
+    ``last`` (the last known value). A window covers one bucket; over buckets only their totals are scanned.
+    """
+    steps = {"sum": F.sum, "max": F.max, "min": F.min, "last": lambda c: F.last(c, ignorenulls=True)}
+    join = {
+        "sum": lambda x, y: F.coalesce(x + y, x, y), "max": lambda x, y: F.greatest(x, y), "min": lambda x, y: F.least(x, y),
+        "last": lambda x, y: F.coalesce(y, x)}
+    inside = Window.partitionBy(*keys, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = df.withColumns({f"_s_{n}": steps[step](c).over(inside) for n, (step, c) in values.items()})
+    spot = F.row_number().over(Window.partitionBy(*keys, bucket).orderBy(*order))
+    tails = local.withColumn("_d", spot).groupBy(*keys, bucket).agg(*[F.max_by(f"_s_{n}", "_d").alias(f"_t_{n}") for n in values])
+    before = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    carried = tails.select(*keys, bucket, *[steps[step](F.col(f"_t_{n}")).over(before).alias(f"_o_{n}") for n, (step, _) in values.items()])
+    joined = attach(local, carried, [*keys, bucket], "inner")
+    return joined.withColumns({n: join[step](F.col(f"_o_{n}"), F.col(f"_s_{n}")) for n, (step, _) in values.items()}).drop(
+        *[f"_s_{n}" for n in values], *[f"_o_{n}" for n in values])
+
+
+def following(df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence[Column], value: str, name: str) -> DataFrame:
+    """``value`` of the next row of the group; the last row of a bucket takes the first of the next one that has rows."""
+    inside = Window.partitionBy(*keys, bucket).orderBy(*order)
+    local = df.withColumns({"_next": F.lead(value).over(inside), "_r": F.row_number().over(inside)})
+    sizes = local.groupBy(*keys, bucket).agg(F.max(F.when(F.col("_r") == 1, F.col(value))).alias("_first"), F.max("_r").alias("_rows"))
+    heads = sizes.select(*keys, bucket, "_rows", F.lead("_first").over(Window.partitionBy(*keys).orderBy(bucket)).alias("_head"))
+    joined = attach(local, heads, [*keys, bucket], "inner")
+    return joined.withColumn(name, F.when(F.col("_r") == F.col("_rows"), F.col("_head")).otherwise(F.col("_next"))).drop("_next", "_r", "_rows", "_head")
+
+
 def bucketed_row_number(df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence[Column],
                         name: str = "rank") -> DataFrame:
     """Exact row number over a group; ``bucket`` must grow with ``order``."""
@@ -103,48 +162,52 @@ def smallest_n(df: DataFrame, keys: Sequence[str], hex_digest: str, order: Seque
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, fractions: Mapping[str, float],
-                    rule: str = "disc") -> DataFrame:
+                    rule: str = "disc", accuracy: int = 10_000) -> DataFrame:
     """Exact quantiles of each group as one row per group, NULL values left out.
 
     ``rule``: ``disc`` takes the first value whose cumulative share reaches the fraction,
     ``nearest`` the value at rank ``floor(q * (n - 1) + 0.5)``, ``linear`` interpolates.
     Adds ``n``, the number of values.
-    """
-    present = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    as_double = present.withColumn("_v", F.col(value).cast("double"))
-    bucketed = balanced_buckets(as_double, keys, "_v", "_b")
-    cum = prefix_sums(bucketed, keys, "_b", [F.col("_v")], {"_cum": "_n"})
-    totals = present.groupBy(*keys).agg(F.sum("_n").alias("_total"))
-    ranked = attach(cum, totals, keys, "inner")
-    below = F.col("_cum") - F.col("_n")
-
-    def holds(rank: Column) -> Column:
-        return (rank > below) & (rank <= F.col("_cum"))
 
-    def at(rank: Column) -> Column:
-        return F.max(F.when(holds(rank), F.col(value)))
+    The input is read twice. The first pass is a mergeable sketch whose rank error is at most
+    ``1 / accuracy`` of the group, so two of its values enclose each wanted rank. The second pass
+    counts what lies below and above these and keeps apart only the distinct values between,
+    about ``4 / accuracy`` of the group; they alone are ranked.
+    """
+    if rule not in ("disc", "nearest", "linear"):
+        raise ValueError(f"unknown quantile rule {rule!r}")
+    names, slack = list(fractions), 2.0 / accuracy
+    points = [min(max(q + side * slack, 0.0), 1.0) for q in fractions.values() for side in (-1, 1)]
+    present = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
+    sketch = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("_total"), F.percentile_approx("_v", points, accuracy).alias("_e"))
+    placed = spread_attach(present, sketch.withColumn("_rows", F.col("_total")), keys, "inner", rows="_rows") if keys else attach(present, sketch, keys, "inner")
+    side = [F.when(F.col("_v") < F.col("_e")[2 * i], -1).when(F.col("_v") > F.col("_e")[2 * i + 1], 1).otherwise(0) for i in range(len(names))]
+    spots = F.array(*[F.struct(F.lit(i).alias("_i"), s.alias("_s"), F.when(s == 0, F.col("_v")).alias("_in")) for i, s in enumerate(side)])
+    cells = placed.select(*keys, "_total", "_v", F.inline(spots)).groupBy(*keys, "_total", "_i", "_s", "_in").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+    up = Window.partitionBy(*keys, "_i").orderBy("_s", "_in").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = cells.withColumn("_cum", F.sum("_n").over(up))
+    total, before = F.col("_total"), F.col("_cum") - F.col("_n")
+
+    def at(i: int, rank: Column) -> Column:
+        # rounding may put a rank one past the enclosed values: the last one below or the first one above
+        hit = (F.col("_i") == i) & (rank > before) & (rank <= F.col("_cum"))
+        found = F.when((F.col("_s") <= 0) & (rank == F.col("_cum")), F.col("_high")).when((F.col("_s") == 0) | (rank == before + 1), F.col("_low"))
+        return F.max(F.when(hit, F.coalesce(found, F.raise_error(F.lit("the sketch does not enclose the rank")))))
 
-    total = F.col("_total")
     aggs = []
-    for name, q in fractions.items():
+    for i, (name, q) in enumerate(fractions.items()):
         if rule == "disc":
-            rank = F.greatest(F.ceil(F.lit(q) * total - F.lit(1e-9)), F.lit(1))
-            aggs.append(at(rank).alias(name))
+            aggs.append(at(i, F.greatest(F.ceil(F.lit(q) * total - F.lit(1e-9)), F.lit(1))).alias(name))
         elif rule == "nearest":
-            aggs.append(at(F.floor(F.lit(q) * (total - 1) + F.lit(0.5)) + 1).alias(name))
-        elif rule == "linear":
+            aggs.append(at(i, F.floor(F.lit(q) * (total - 1) + F.lit(0.5)) + 1).alias(name))
+        else:
             pos = F.lit(q) * (total - 1)
             low = F.floor(pos + F.lit(1e-12)) + 1
             high = F.least(low + 1, total)
             frac = F.max(pos - (low - 1))
-            aggs.append(
-                (at(low).cast("double") + (at(high).cast("double") - at(low).cast("double"))
-                 * F.greatest(frac, F.lit(0.0))).alias(name)
-            )
-        else:
-            raise ValueError(f"unknown quantile rule {rule!r}")
+            first, second = at(i, low).cast("double"), at(i, high).cast("double")
+            aggs.append((first + (second - first) * F.greatest(frac, F.lit(0.0))).alias(name))
     return ranked.groupBy(*keys).agg(*aggs, F.max("_total").alias("n"))
 
 

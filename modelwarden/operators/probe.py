@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.predicates import EMPTY_TEXT, LINK_COLUMN_RE, link_column, link_value
 from ..sources.contract import literal_rows
 from .measures import top_per_group
-from .relate import in_scope
+from .relate import in_scope, scoped_counts
 
 SERVICE_TEXT = (*EMPTY_TEXT, "$not_applicable$")
 
@@ -39,16 +39,18 @@ def link_hits(long: DataFrame, n: int = 100) -> DataFrame:
     return top_per_group(long.filter(hit).select(*keys, "value").distinct(), keys, [F.col("value")], n, "hit_no")
 
 
-def link_rows(df: DataFrame, table: str, order: Sequence[str], n: int = 50, chars: int = 30000) -> DataFrame:
-    """Whole rows that hold a link, as bounded JSON text; the first n by key."""
+def link_rows(df: DataFrame, table: str, order: Sequence[str] = (), n: int | None = None) -> DataFrame:
+    """Whole rows that hold a link, as JSON text: all of them, or the first n in the given order."""
     cond = F.lit(False)
     for c in df.columns:
         text = F.col(c).cast("string")
         cond = cond | link_value(text)
         if re.search(LINK_COLUMN_RE, c):
             cond = cond | _meaningful(text)
-    return df.filter(cond).orderBy(*order).limit(n).select(
-        F.lit(table).alias("table_name"), F.substring(F.to_json(F.struct(*df.columns)), 1, chars).alias("row_json"))
+    hits = df.filter(cond)
+    if n is not None:
+        hits = hits.orderBy(*order).limit(n)
+    return hits.select(F.lit(table).alias("table_name"), F.to_json(F.struct(*df.columns)).alias("row_json"))
 
 
 def scoped_tables(tables: Mapping[str, tuple[DataFrame, Sequence[str]]], closure: DataFrame, kinds: Mapping[str, str]) -> dict[str, DataFrame]:
@@ -62,17 +64,21 @@ def scoped_tables(tables: Mapping[str, tuple[DataFrame, Sequence[str]]], closure
 
 
 def coverage(spark, tables: Mapping[str, tuple[DataFrame, Sequence[str]]], closure: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
-    """OK / NO_MATCH / NO_RELATION_KEY / ERROR per table; one bounded existence check each."""
-    rows = []
+    """OK / NO_MATCH / NO_RELATION_KEY / ERROR per table, from one index of all tables.
+
+    ERROR is a table that cannot be resolved; a failure while reading stops the job.
+    """
+    rows, sound = [], {}
     for name in sorted(tables):
         df, row_key = tables[name]
-        used = [c for c in kinds if c in df.columns]
-        if not used:
-            rows.append((name, "NO_RELATION_KEY", "", None))
-            continue
         try:
-            hit = scoped_tables({name: (df, row_key)}, closure, kinds)[name].take(1)
-            rows.append((name, "OK" if hit else "NO_MATCH", ", ".join(used), None))
+            used = [c for c in kinds if c in df.columns]
+            df.select(*row_key, *used)
+            sound[name] = (df, row_key)
+            rows.append((name, ", ".join(used), None))
         except Exception as exc:  # noqa: BLE001 - one bad table must not stop the walk
-            rows.append((name, "ERROR", ", ".join(used), f"{type(exc).__name__}: {str(exc)[:500]}"))
-    return literal_rows(spark, rows, "table_name string,status string,relation_keys string,error string")
+            rows.append((name, "", f"{type(exc).__name__}: {str(exc)[:500]}"))
+    known = literal_rows(spark, rows, "table_name string,relation_keys string,error string")
+    found = scoped_counts(sound, closure, kinds).withColumnRenamed("table_name", "_t")
+    status = F.when(F.col("error").isNotNull(), "ERROR").when(F.col("relation_keys") == "", "NO_RELATION_KEY").when(F.col("rows").isNotNull(), "OK").otherwise("NO_MATCH")
+    return known.join(found, F.col("table_name") == F.col("_t"), "left").select("table_name", status.alias("status"), "relation_keys", "error")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -89,11 +89,13 @@ def key_overlap(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFra
 
 
 def key_closure(seeds: DataFrame, hops: Sequence[tuple[str, DataFrame, str, str, str]],
-                kind: str) -> DataFrame:
+                kind: str, hold: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """Follow a fixed list of hops from a set of seed keys.
 
     A hop is ``(from_kind, table, from_column, to_column, to_kind)``. The result lists every
-    reached key once as ``(kind, key)``; the keys stay distributed throughout.
+    reached key once as ``(kind, key)``; the keys stay distributed throughout. ``hold`` keeps each
+    frontier (a written table or a checkpoint), so that a hop reads what the hops before have found
+    and does not find it again.
     """
     reached: dict[str, DataFrame] = {kind: seeds.select(F.col(seeds.columns[0]).cast("string").alias("key")).distinct()}
     for source, table, from_col, to_col, target in hops:
@@ -104,10 +106,30 @@ def key_closure(seeds: DataFrame, hops: Sequence[tuple[str, DataFrame, str, str,
             step.join(reached[source], "key", "left_semi").filter(F.col("_to").isNotNull())
             .select(F.col("_to").alias("key")).distinct()
         )
-        reached[target] = reached[target].union(found).distinct() if target in reached else found
+        if target in reached:  # only new keys go on
+            found = reached[target].union(hold(found.join(reached[target], "key", "left_anti")))
+        reached[target] = found if target in reached else hold(found)
     return union_named(*[df.select(F.lit(k).alias("kind"), "key") for k, df in reached.items()])
 
 
+def scope_index(tables: Mapping[str, tuple[DataFrame, Sequence[str]]], kinds: Mapping[str, str]) -> DataFrame:
+    """(table_name, row_key, kind, key): every key cell of all tables, each table read once. ``kinds``: column to kind."""
+    parts = []
+    for name, (df, row_key) in tables.items():
+        used = {c: k for c, k in kinds.items() if c in df.columns}
+        if used:
+            pairs = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).cast("string").alias("key")) for c, k in used.items()])
+            row = F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in row_key]))
+            parts.append(df.select(F.lit(name).alias("table_name"), row.alias("row_key"), F.inline(pairs)).filter(F.col("key").isNotNull()))
+    return union_named(*parts)
+
+
+def scoped_counts(tables: Mapping[str, tuple[DataFrame, Sequence[str]]], closure: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
+    """Rows of each table tied to the closure: one semi-join for all tables."""
+    hits = scope_index(tables, kinds).join(closure, ["kind", "key"], "left_semi")
+    return hits.select("table_name", "row_key").distinct().groupBy("table_name").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def in_scope(df: DataFrame, closure: DataFrame, columns: Mapping[str, str], row_key: Sequence[str]) -> DataFrame:
     """Rows matching the closure through any of their key columns (column -> kind).
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import unit_bucket
 from ..sources.contract import literal_rows
-from .ordered import exact_quantiles
+from .ordered import exact_quantiles, spread_attach
 
 ROLES = ("train", "valid", "oos", "oot", "test")
 MODES = ("random", "stratified", "group", "temporal", "group_temporal")
@@ -147,8 +147,10 @@ def group_temporal_roles(df: DataFrame, cfg: SplitConfig) -> DataFrame:
         window = window.otherwise(F.lit(late))
     w = df.crossJoin(F.broadcast(cuts)).withColumn("_w", window).drop(*points)
     seen = w.groupBy(*cfg.groups).agg(
-        F.max((F.col("_w") == "test").cast("int")).alias("_in_test"), F.max((F.col("_w") == "oot").cast("int")).alias("_in_oot"))
-    joined = w.join(seen, list(cfg.groups), "left").fillna({"_in_test": 0, "_in_oot": 0})
+        F.max((F.col("_w") == "test").cast("int")).alias("_in_test"), F.max((F.col("_w") == "oot").cast("int")).alias("_in_oot"),
+        F.count(F.lit(1)).alias("_rows"))
+    known = seen.filter(" and ".join(f"{g} is not null" for g in cfg.groups))
+    joined = spread_attach(w, known, list(cfg.groups), rows="_rows").fillna({"_in_test": 0, "_in_oot": 0})
     in_holdout = (F.col("_in_test") == 1) | (F.col("_in_oot") == 1)
     history = _by_shares(
         unit_bucket(cfg.groups, cfg.seed), [(r, cfg.share(r)) for r in ("train", "valid", "oos") if cfg.share(r) > 0])
@@ -198,8 +200,10 @@ def temporal_folds(df: DataFrame, cfg: SplitConfig, purge: bool = False) -> Data
     long = df.crossJoin(F.broadcast(cuts)).select(*df.columns, F.inline(options)).filter("part is not null")
     if not purge:
         return long
-    held = long.filter("part = 'valid'").select("fold", *cfg.groups).distinct().withColumn("_held", F.lit(1))
-    marked = long.join(held, ["fold", *cfg.groups], "left")
+    keys = ["fold", *cfg.groups]
+    held = long.groupBy(*keys).agg(F.max(F.when(F.col("part") == "valid", 1)).alias("_held"), F.count(F.lit(1)).alias("_rows"))
+    known = held.filter(" and ".join(f"{g} is not null" for g in cfg.groups))
+    marked = spread_attach(long, known, keys, rows="_rows")
     leak = (F.col("part") == "train") & F.col("_held").isNotNull()
     return marked.withColumn("part", F.when(leak, F.lit("purged")).otherwise(F.col("part"))).drop("_held")
 

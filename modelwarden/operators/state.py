@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import as_of_day, as_of_end
 from ..functions.predicates import required, truth
 from ..sources.contract import apply_contract
+from .ordered import spread_attach
 
 ORDER_COLUMNS = ("start_dt", "ctl_datechange", "ctl_loading")
 
@@ -74,21 +75,47 @@ def current_rows(df: DataFrame, keys: Sequence[str], as_of: str) -> DataFrame:
     return drop_deleted(take_latest(df, keys, order))
 
 
-def state_candidates(df: DataFrame, keys: Sequence[str], fields: Sequence[str], as_of: str,
-                     current: bool = True, start: str = "start_dt", end: str = "end_dt",
-                     where: Column | None = None) -> DataFrame:
-    """Distinct payloads among the newest rows of each key; more than one means ambiguity."""
+def _state_rows(df: DataFrame, keys: Sequence[str], fields: Sequence[str], as_of: str, current: bool, start: str, end: str,
+                where: Column | None) -> tuple[DataFrame, list[str], list[str], list[str]]:
+    """Rows valid at the as-of day with only what a state needs; payload, order and action columns."""
     df = apply_contract(df, [*keys, *fields, start])
     if where is not None:
         df = df.filter(where)
     payload = list(dict.fromkeys([*keys, *fields]))
     order = [c for c in (start, "ctl_datechange", "ctl_loading") if c in df.columns]
-    meta = [c for c in (*order, end, "ctl_action") if c in df.columns and c not in payload]
-    df = df.select(*payload, *meta)
-    df = df.withColumns({c: F.col(c).cast("string") for c in payload if c.endswith("_sid")})
+    action = [c for c in ("ctl_action",) if c in df.columns and c not in payload]
     rows = valid_at(df.filter(F.col(start).isNotNull()), as_of, start, end if current else None)
-    action = ["ctl_action"] if "ctl_action" in rows.columns else []
-    rows = rows.select(*dict.fromkeys([*payload, *order, *action])).distinct()
+    rows = rows.select(*dict.fromkeys([*payload, *order, *action]))
+    return rows.withColumns({c: F.col(c).cast("string") for c in payload if c.endswith("_sid")}), payload, order, action
+
+
+def newest_states(df: DataFrame, keys: Sequence[str], fields: Sequence[str], as_of: str, current: bool = True,
+                  start: str = "start_dt", end: str = "end_dt", where: Column | None = None) -> DataFrame:
+    """One row per key: the newest payload, and ``ambiguous`` where newest rows differ.
+
+    A "maximum with ties", combined in each task before the one shuffle: the largest order key with the
+    payload of the largest digest, and the largest order key with the smallest digest. Two digests mean two states.
+    """
+    rows, payload, order, action = _state_rows(df, keys, fields, as_of, current, start, end, where)
+    rank = [F.col(c).alias(f"o{i}") for i, c in enumerate(order)]  # NULL is the smallest part of a struct
+    state = F.struct(*[F.col(c) for c in [*payload, *action]])
+    mark = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in [*payload, *action]])
+    marked = rows.select(F.struct(*rank).alias("_rank"), mark.alias("_mark"), state.alias("_state"))
+    by = [F.col("_state")[k].alias(f"_k{i}") for i, k in enumerate(keys)]
+    top = marked.groupBy(*by).agg(
+        F.max_by(F.struct("_state", "_mark"), F.struct("_rank", "_mark")).alias("_top"),
+        F.max_by("_mark", F.struct(F.col("_rank"), (-F.col("_mark").cast("decimal(20,0)")).alias("m"))).alias("_least"))
+    return top.select(*[F.col("_top")["_state"][c].alias(c) for c in [*payload, *action]], (F.col("_top")["_mark"] != F.col("_least")).alias("ambiguous"))
+
+
+def state_candidates(df: DataFrame, keys: Sequence[str], fields: Sequence[str], as_of: str,
+                     current: bool = True, start: str = "start_dt", end: str = "end_dt",
+                     where: Column | None = None) -> DataFrame:
+    """Distinct payloads among the newest rows of each key; more than one means ambiguity.
+
+    The rank limit cuts rows in each task before the shuffle; only newest rows are made distinct.
+    """
+    rows, payload, order, action = _state_rows(df, keys, fields, as_of, current, start, end, where)
     w = Window.partitionBy(*keys).orderBy(*_desc(order))
     newest = rows.withColumn("_rk", F.dense_rank().over(w)).filter("_rk = 1")
     return newest.select(*payload, *action).distinct()
@@ -109,20 +136,21 @@ def read_state(df: DataFrame, keys: Sequence[str], fields: Sequence[str], as_of:
                start: str = "start_dt", end: str = "end_dt", where: Column | None = None) -> DataFrame:
     """As-of state per key. ``current=False`` keeps the last state of closed events.
 
-    With ``check`` an empty mandatory key or an ambiguous newest state is an error.
+    With ``check`` an empty mandatory key or an ambiguous newest state stops the job that reads the
+    result; the test is part of the same aggregate. Without it, all newest states of a key are kept.
     """
-    candidates = state_candidates(df, keys, fields, as_of, current, start, end, where)
-    if check:
-        empty = F.lit(False)
-        for k in keys:
-            if k not in nullable_keys:
-                empty = empty | ~required(k)
-        if candidates.filter(empty).take(1):
-            raise ValueError(f"empty mandatory key among {list(keys)}")
-        sample = ambiguous_keys(candidates, keys).limit(5).collect()
-        if sample:
-            raise ValueError(f"ambiguous newest state: {[r.asDict() for r in sample]}")
-    return state_of(candidates, list(dict.fromkeys([*keys, *fields])))
+    payload = list(dict.fromkeys([*keys, *fields]))
+    if not check:
+        return state_of(state_candidates(df, keys, fields, as_of, current, start, end, where), payload)
+    newest = newest_states(df, keys, fields, as_of, current, start, end, where)
+    shown = F.to_json(F.struct(*[F.col(k) for k in keys]))
+    empty = F.lit(False)
+    for k in keys:
+        if k not in nullable_keys:
+            empty = empty | ~required(k)
+    stop = lambda text: F.raise_error(F.concat(F.lit(text), shown)).cast("boolean")
+    sound = F.when(empty, stop(f"empty mandatory key among {list(keys)}: ")).when(F.col("ambiguous"), stop("ambiguous newest state: ")).otherwise(True)
+    return state_of(newest.filter(sound), payload)
 
 
 def latest_by_priority(df: DataFrame, key: str, dates: Sequence[str], tie: str) -> DataFrame:
@@ -186,17 +214,18 @@ def select_versions(versions: DataFrame, as_of: str, mode: str, closed: str, che
 def latest_with_certainty(df: DataFrame, key: str, moment: str, dated: Column, name: str) -> DataFrame:
     """Flag the newest row, or NULL where undated rows or ties leave the order open.
 
-    Group facts come from one aggregate with map-side combine; a hot key is not sorted.
+    Moments with their rows are one aggregate with map-side combine; what is newest, how often it is tied
+    and how many rows are undated follow from these. A hot key is neither sorted nor joined back in one task.
     """
     top = F.when(dated, F.col(moment))
-    facts = df.groupBy(key).agg(
-        F.sum(F.when(dated, 0).otherwise(1)).alias("_undated"), F.max(top).alias("_max")
-    )
-    ties = df.filter(dated).groupBy(key, F.col(moment).alias("_max")).agg(F.count(F.lit(1)).alias("_ties"))
-    facts = facts.join(ties, [key, "_max"], "left").select(key, "_undated", "_max", "_ties")
+    known = df.filter(F.col(key).isNotNull())
+    moments = known.groupBy(key, top.alias("_top")).agg(F.count(F.lit(1)).alias("_n"))
+    facts = moments.groupBy(key).agg(
+        F.sum(F.when(F.col("_top").isNull(), F.col("_n")).otherwise(0)).alias("_undated"), F.max("_top").alias("_max"),
+        F.max_by("_n", "_top").alias("_ties"), F.sum("_n").alias("_rows"))
     certain = (F.col("_undated") == 0) & (F.col("_ties") == 1)
     is_top = F.coalesce(dated & (F.col(moment) == F.col("_max")), F.lit(False))
-    return df.join(facts, key).withColumn(name, F.when(certain, is_top)).drop("_undated", "_max", "_ties")
+    return spread_attach(known, facts, [key], "inner", rows="_rows").withColumn(name, F.when(certain, is_top)).drop("_undated", "_max", "_ties")
 
 
 def pick_active(rows: DataFrame, key: str, flag: str, dates: Sequence[str]) -> DataFrame:

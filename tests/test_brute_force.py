@@ -1,13 +1,15 @@
 """Operators against plain Python on fixtures where one group holds most of the rows."""
 
+import hashlib
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from modelwarden.functions.hashing import digest
-from modelwarden.operators import bootstrap, evaluate, ordered, sampling, splits, trials
+from modelwarden.operators import bootstrap, evaluate, measures, ordered, sampling, splits, trials
 from modelwarden.operators.relate import key_closure
 
 RNG = random.Random(5)
@@ -57,6 +59,64 @@ def test_quantiles(skewed, rule):
             assert got[k][name] == pytest.approx(want), (k, name)
 
 
+def test_quantiles_of_many_values_stay_exact(spark):
+    """Coarse sketch, so that most values lie outside the kept bracket."""
+    rows = [("hot" if i % 3 else "b", (i * 7919) % 10007 / 8) for i in range(9000)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(6)
+    got = {r.k: r for r in ordered.exact_quantiles(df, ["k"], "v", {"x": 0.31, "y": 0.5, "z": 0.999}, rule="nearest", accuracy=200).collect()}
+    for k in ("hot", "b"):
+        vs = sorted(v for g, v in rows if g == k)
+        assert [got[k][c] for c in "xyz"] == [vs[math.floor(q * (len(vs) - 1) + 0.5)] for q in (0.31, 0.5, 0.999)]
+
+
+def test_quantiles_read_their_input_twice(spark, sf):
+    df = spark.read.parquet(f"{sf}/lineitem.parquet").select("l_extendedprice")
+    text = ordered.exact_quantiles(df, [], "l_extendedprice", {"a": 0.5})._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == 2
+
+
+def test_running_and_following_over_one_long_group(skewed):
+    b = ordered.balanced_buckets(skewed.withColumn("g", F.lit(1)), ["g"], "i", side=5)
+    known = F.when(F.col("v") > 5, F.col("v"))
+    got = {r.i: r for r in ordered.following(ordered.running(
+        b, ["g"], "_b", [F.col("i")], {"top": ("max", F.col("v")), "low": ("min", known), "known": ("last", known), "n": ("sum", F.lit(1))}), ["g"], "_b", [F.col("i")], "v", "next").collect()}
+    seen, last = [], None
+    for n, (_, i, v) in enumerate(ROWS, 1):
+        seen.append(v)
+        last = v if v > 5 else last
+        r = got[i]
+        assert (r.top, r.low, r.known, r.n) == (max(seen), min((x for x in seen if x > 5), default=None), last, n)
+        assert r.next == (ROWS[n][2] if n < len(ROWS) else None)
+
+
+def test_plateau_of_one_long_search(spark):
+    values = [RNG.random() ** 3 for _ in range(700)]
+    df = spark.createDataFrame([("s", i, v) for i, v in enumerate(values)], "k string, i int, v double").repartition(5)
+    got = {r.i: r for r in measures.running_plateau(df, "k", "i", "v", 0.05, 3).collect()}
+    best = [max(values[: i + 1]) for i in range(len(values))]
+    for i in range(len(values)):
+        gains = [best[j] - best[j - 1] for j in range(max(1, i - 2), i + 1)]
+        assert got[i].best == best[i] and got[i].plateau == (len(gains) == 3 and max(gains) < 0.05)
+
+
+def test_hot_key_is_dealt_to_many_tasks(spark):
+    rows = [("hot" if i % 3 == 0 else f"k{i}", i) for i in range(6000)]
+    df = spark.createDataFrame(rows, "k string, i int").repartition(6)
+    side = df.groupBy("k").agg(F.count("*").alias("n"), F.min("i").alias("low"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        joined = ordered.spread_attach(df, side, ["k"], "inner", rows="n", share=0.01)
+        tasks = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert joined.columns == ["k", "i", "low"] and sum(tasks) == 6000 and max(tasks) <= 2 * 6000 / 4
+        assert {(r.k, r.i): r.low for r in joined.collect()} == {(k, i): (0 if k == "hot" else i) for k, i in rows}
+        counted = ordered.spread_attach(df, side.drop("n"), ["k"])
+        assert counted.filter("low is null").count() == 0 and counted.count() == 6000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_smallest_n_takes_exactly_the_quota(skewed, spark):
     tagged = skewed.withColumn("h", digest(["i"], "s"))
     hashes = {r.i: r.h for r in tagged.collect()}
@@ -203,20 +263,70 @@ def test_configuration_rules():
         bad.validate()
 
 
-def test_class_base_weights_restore_totals(spark):
-    df = spark.createDataFrame([(str(i), int(i % 10 == 0), 1.0) for i in range(2000)], "row_id string, y int, weight double")
-    base = bootstrap.class_base(df, "row_id", 600, "s")
-    got = {r.y: (r.n, r.w) for r in base.groupBy("y").agg(F.count("*").alias("n"), F.sum("weight").alias("w")).collect()}
-    assert got[1] == (200, pytest.approx(200.0)) and got[0] == (400, pytest.approx(1800.0))
+def scored_rows(spark, n=1200):
+    """A third of the rows in one cluster, tied scores, unequal weights."""
+    rows = [(str(i), "c1", int(i % 4 == 0), ((i * 37) % 50 + 10 * (i % 4 == 0)) / 64.0, 1.0 + i % 3, "hot" if i % 3 == 0 else f"g{i // 5}") for i in range(n)]
+    return spark.createDataFrame(rows, "row_id string, candidate string, y int, score double, weight double, grp string")
+
+
+def draws_in_python(unit, replicates, seed):
+    out = {}
+    for r in range(replicates):
+        u = int(hashlib.md5(f"{seed}|{r // 4}|{unit}".encode()).hexdigest()[8 * (r % 4): 8 * (r % 4) + 8], 16)
+        out[r] = sum(u >= limit for limit in bootstrap.poisson_limits())
+    return out
+
+
+def auc_in_python(rows):
+    pairs = sum(wp * wn * (sp > sn) + wp * wn * (sp == sn) / 2 for yp, sp, wp in rows if yp for yn, sn, wn in rows if not yn)
+    return pairs / (sum(w for y, _, w in rows if y) * sum(w for y, _, w in rows if not y))
+
 
+def test_poisson_draws():
+    shares = np.diff([0, *bootstrap.poisson_limits()]) / 2**32
+    assert shares[:3] == pytest.approx([math.exp(-1), math.exp(-1), math.exp(-1) / 2]) and sum(k * p for k, p in enumerate(shares)) == pytest.approx(1, abs=1e-8)
 
-def test_bootstrap_draws_keep_class_sizes(spark):
-    df = spark.createDataFrame([(str(i), int(i % 4 == 0), 1.0) for i in range(80)], "row_id string, y int, weight double")
-    base = bootstrap.class_base(df, "row_id", 1000, "s")
-    preds = df.select("row_id", F.lit("c").alias("candidate"), (F.col("y") * 0.4 + F.rand(3) * 0.6).alias("score"))
-    reps = bootstrap.row_bootstrap(base, preds, "row_id", 5, "x").collect()
-    assert len(reps) == 5 and all(r.total_weight == 80.0 for r in reps)
-    assert len({round(r.auc, 9) for r in reps}) > 1
+
+def test_row_bootstrap_equals_plain_python(spark):
+    df = scored_rows(spark, 240)
+    local = df.collect()
+    times = {r.row_id: draws_in_python(r.row_id, 6, "x") for r in local}
+    got = {r.replicate: r for r in bootstrap.row_bootstrap(df, "row_id", 6, "x").collect()}
+    assert set(got) == set(range(6))
+    for k, r in got.items():
+        assert r.auc == pytest.approx(auc_in_python([(x.y, x.score, x.weight * times[x.row_id][k]) for x in local])) and r.auc_slack == 0
+    base = {(r.replicate, r.y): r for r in bootstrap.class_draws(df, "row_id", 6, "x").collect()}
+    for (k, y), r in base.items():
+        assert r.rows == sum(x.y == y for x in local) and (k < 0 or r.drawn == sum(times[x.row_id][k] for x in local if x.y == y))
+        assert r.weight * r.factor == pytest.approx(base[-1, y].weight)
+
+
+def test_cluster_bootstrap_equals_plain_python(spark):
+    df = scored_rows(spark)
+    local = df.collect()
+    stratum, times = {}, {}
+    for x in local:
+        stratum[x.grp] = max(stratum.get(x.grp, 0), x.y)
+        times[x.grp] = times.get(x.grp) or draws_in_python(x.grp, 3, "c")
+    for r in bootstrap.cluster_bootstrap(df, "grp", 3, "c").collect():
+        factor = {s: sum(v == s for v in stratum.values()) / max(1, sum(times[g][r.replicate] for g in stratum if stratum[g] == s)) for s in (0, 1)}
+        want = auc_in_python([(x.y, x.score, x.weight * times[x.grp][r.replicate] * factor[stratum[x.grp]]) for x in local])
+        assert r.auc == pytest.approx(want)
+
+
+def test_coarse_grid_states_what_it_hides(spark):
+    df = scored_rows(spark)
+    exact = {r.replicate: r.auc for r in bootstrap.row_bootstrap(df, "row_id", 2, "x").collect()}
+    for r in bootstrap.row_bootstrap(df, "row_id", 2, "x", bins=16).collect():
+        assert r.auc_slack > 0 and abs(r.auc - exact[r.replicate]) <= r.auc_slack + 1e-12
+
+
+def test_bootstrap_refuses_too_few_units(spark):
+    df = scored_rows(spark, 60)
+    with pytest.raises(ValueError):
+        bootstrap.row_bootstrap(df.filter("y = 0"), "row_id", 2, "x")
+    with pytest.raises(ValueError):
+        bootstrap.cluster_bootstrap(df.filter("grp in ('hot', 'g1')"), "grp", 2, "x")
 
 
 def test_quota_control_matches(spark):

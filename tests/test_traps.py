@@ -84,8 +84,11 @@ def test_ties(spark):
     same = scd(spark, ("k", D(2024, 1, 1), None, "I", "a"), ("k", D(2024, 1, 1), None, "I", "a"))
     assert state.read_state(same, ["k"], ["v"], "2024-02-01").count() == 1
     differ = scd(spark, ("k", D(2024, 1, 1), None, "I", "a"), ("k", D(2024, 1, 1), None, "I", "b"))
-    with pytest.raises(ValueError, match="ambiguous"):
-        state.read_state(differ, ["k"], ["v"], "2024-02-01")
+    with pytest.raises(Exception, match="ambiguous"):
+        state.read_state(differ, ["k"], ["v"], "2024-02-01").count()
+    assert sorted(r.v for r in state.read_state(differ, ["k"], ["v"], "2024-02-01", check=False).collect()) == ["a", "b"]
+    with pytest.raises(Exception, match="empty mandatory key"):
+        state.read_state(scd(spark, ("", D(2024, 1, 1), None, "I", "a")), ["k"], ["v"], "2024-02-01").count()
     candidates = state.state_candidates(differ, ["k"], ["v"], "2024-02-01")
     assert state.ambiguous_keys(candidates, ["k"]).first().states == 2
 
