@@ -168,7 +168,14 @@ def q_disagreement(s, f):
 def q_closure(s, f):
     r = reg(s, f)
     seeds = r.current("model").filter(F.col("model_subtype_name") == "BUILDING").select("model_sid")
-    return relate.key_closure(seeds, hops(r), "model")
+    return relate.key_closure(seeds, hops(r), "model", written)
+
+
+def written(df):
+    """The frame as a table in the shared folder."""
+    path = files.scratch_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def hops(r):
@@ -184,7 +191,8 @@ KINDS = {"model_sid": "model", "model_ver_sid": "version", "valid_sid": "valid",
 
 
 def seeds(r):
-    return r.current("model").filter("model_sid in ('3', '14', '15')").select("model_sid")
+    """Models of one subtype, about a fifth of all."""
+    return r.current("model").filter("model_subtype_name = 'BUILDING'").select("model_sid")
 
 
 def probe_tables(r):
@@ -199,13 +207,12 @@ def probe_tables(r):
 
 def q_coverage(s, f):
     r = reg(s, f)
-    return probe.coverage(s, probe_tables(r), relate.key_closure(seeds(r), hops(r), "model"), KINDS)
+    return probe.coverage(s, probe_tables(r), relate.key_closure(seeds(r), hops(r), "model", written), KINDS)
 
 
 def q_scoped(s, f):
     r = reg(s, f)
-    found = probe.scoped_tables(probe_tables(r), relate.key_closure(seeds(r), hops(r), "model"), KINDS)
-    return relate.union_named(*[d.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("table_name"), "rows") for n, d in found.items()])
+    return relate.scoped_counts(probe_tables(r), relate.key_closure(seeds(r), hops(r), "model", written), KINDS)
 
 
 def long(s, f):
@@ -220,7 +227,7 @@ def q_doc_links(s, f):
 
 def q_link_rows(s, f):
     r = reg(s, f)
-    return probe.link_rows(r.base("pages").select("page_id", "url"), "pages", ["page_id"], 25)
+    return probe.link_rows(r.base("pages").select("page_id", "url"), "pages")
 
 
 def q_enough(s, f):
@@ -297,12 +304,20 @@ def q_priority(s, f):
 
 
 def q_approx(s, f):
-    d = reg(s, f).base("lineitem")
-    return me.approx_duration_quantiles(d, F.col("l_returnflag"), F.col("l_quantity"), 0.9)
+    """Whether each sketched quantile lies within its stated rank error (1 / accuracy of the group)."""
+    d, accuracy = reg(s, f).base("lineitem"), 100
+    q = me.approx_duration_quantiles(d, F.col("l_returnflag"), F.col("l_extendedprice"), 0.9, accuracy).withColumnRenamed("dim_1_value", "l_returnflag")
+    at = d.join(q, "l_returnflag").groupBy("l_returnflag", "denominator").agg(
+        F.avg((F.col("l_extendedprice") < F.col("metric_value")).cast("double")).alias("below"), F.avg((F.col("l_extendedprice") <= F.col("metric_value")).cast("double")).alias("upto"))
+    return at.select("l_returnflag", "denominator", ((F.col("below") <= 0.9 + 1 / accuracy) & (F.col("upto") >= 0.9 - 1 / accuracy)).alias("holds"))
 
 
 def q_approx_distinct(s, f):
-    return profile.table_summary(reg(s, f).base("lineitem"), ["l_orderkey", "l_linenumber"], "lineitem")
+    """Whether the sketched number of keys lies within three standard errors (5 % each) of the exact one."""
+    d, keys = reg(s, f).base("lineitem"), ["l_orderkey", "l_linenumber"]
+    exact = profile.table_summary(d, keys, "lineitem", exact=True).select("source_table", F.col("distinct_keys").alias("exact"))
+    near = F.abs(F.col("distinct_keys") - F.col("exact")) <= F.col("exact") * 0.15
+    return profile.table_summary(d, keys, "lineitem").join(exact, "source_table").select("source_table", "key_columns", "source_row_count", near.alias("holds"))
 
 
 # --- sources --------------------------------------------------------------------------
@@ -417,7 +432,6 @@ def base_ctes():
             "c6": "select distinct sample_data_sid k from r_sample_data where valid_sid in (select k from c3) or montrg_auto_rslt_sid in (select k from c5)",
         }
     c |= closure("select model_sid k from k_model where model_subtype_name = 'BUILDING'")
-    c |= {k.replace("c", "s"): v.replace(" c", " s").replace("k from c", "k from s") for k, v in closure("select model_sid k from k_model where model_sid in ('3', '14', '15')").items()}
     cols = {"t_valid": ("k_valid", "valid_sid", "model_ver_sid", "valid_red_zone_comt_rsk_decsn_link_txt", "valid_rslt_name"), "t_metric": ("k_metric", "metric_sid", "sample_data_sid", "metric_name", "metric_val"),
             "t_model_ver": ("k_model_ver", "model_ver_sid", "model_sid", "model_ver_repstry_link_txt", "model_ver_repstry_commit_sid"), "t_genai": ("k_genai", "genai_sid", "genai_stts_name")}
     c["lng"] = " union all ".join(f"select '{t}' table_name, '{x}' column_name, {x} as val from {src} where trim({x}) <> ''" for t, (src, *xs) in cols.items() for x in xs)
@@ -450,6 +464,13 @@ def ORACLE():
         return ("select table_name, column_name, cast(hit_no as integer) hit_no, val as \"value\" from (select *, row_number() over (partition by table_name, column_name order by val) hit_no from (select distinct * from " + src
                 + f" where regexp_matches(val, '{LINK}') or (regexp_matches(column_name, '{LCOL}') and lower(trim(val)) not in ('','null','none','nan','-','[]','{{}}','$not_applicable$')))) where hit_no <= {n}")
 
+    from .development import ORACLE as development_oracle
+    from .evaluation import w as ev_with
+    from .modelling import ORACLE as modelling_oracle
+
+    scoped = ("select * from (select 't_valid' table_name, count(*) \"rows\" from k_valid where valid_sid in (select k from c3) or model_ver_sid in (select k from c1) union all select 't_metric', count(*) from k_metric where sample_data_sid in (select k from c6) union all "
+              "select 't_model_ver', count(*) from k_model_ver where model_ver_sid in (select k from c1) or model_sid in (select k from c0)) where \"rows\" > 0")
+
     def q(rule):
         if rule == "linear":
             e = [f"round(quantile_cont(l_extendedprice, {p}), 6) p{int(p * 100)}" for p in (0.1, 0.5, 0.9)]
@@ -533,8 +554,17 @@ def ORACLE():
         "probe_first_values": w("select table_name, column_name, cast(n as integer) value_no, val as \"value\" from (select *, row_number() over (partition by table_name, column_name order by val) n from (select distinct * from lng)) where n <= 10"),
         "probe_link_hits": w(hit_sql("lng", 15)),
         "probe_page_links": hit_sql("(select 'pages' table_name, 'page_id' column_name, cast(page_id as varchar) val from pages union all select 'pages', 'url', url from pages where trim(url) <> '')", 20),
-        "probe_scoped_rows": w("select 't_valid' table_name, count(*) \"rows\" from k_valid where valid_sid in (select k from s3) or model_ver_sid in (select k from s1) union all select 't_metric', count(*) from k_metric where sample_data_sid in (select k from s6) union all "
-                               "select 't_model_ver', count(*) from k_model_ver where model_ver_sid in (select k from s1) or model_sid in (select k from s0)"),
+        "probe_scoped_rows": w(scoped),
+        "probe_coverage": w("select t.table_name, case when relation_keys = '' then 'NO_RELATION_KEY' when \"rows\" > 0 then 'OK' else 'NO_MATCH' end status, relation_keys, null::varchar error from (values ('t_genai', ''), ('t_metric', 'sample_data_sid'), "
+                            "('t_model_ver', 'model_sid, model_ver_sid'), ('t_valid', 'model_ver_sid, valid_sid')) t(table_name, relation_keys) left join (" + scoped + ") x on x.table_name = t.table_name"),
+        "probe_link_rows": "select 'pages' table_name, to_json({'page_id': page_id, 'url': url})::varchar row_json from pages where coalesce(regexp_matches(cast(page_id as varchar), '" + LINK + "'), false) or coalesce(regexp_matches(url, '" + LINK
+                           + "'), false) or lower(trim(url)) not in ('','null','none','nan','-','[]','{}','$not_applicable$')",
+        "profile_summary_approx": "select 'lineitem' source_table, 'l_orderkey|l_linenumber' key_columns, count(*) source_row_count, true holds from lineitem",
+        "measure_approx_quantile": "select l_returnflag, count(*) denominator, true holds from lineitem group by 1",
+        "source_json_lines": ev_with("select fidelity, count(*) trials, cast(sum(n_features) as bigint) features from t group by 1"),
+        "source_partitioned_roles": f"select role, count(*) \"rows\" from ({modelling_oracle()['split_group']}) group by 1",
+        "audit_summary_sheet": f"select v.model_ver_sid, v.model_sid, {', '.join(f'coalesce(check_{i:02d}, 0) check_{i:02d}' for i in range(1, 29))}, a.* exclude (model_ver_sid) "
+                               f"from ({w('select * from ver')}) v left join ({development_oracle()['dev_violation_matrix']}) m using (model_ver_sid) left join ({w('select * from attempts')}) a using (model_ver_sid) where {truth('v.model_ver_prom_expl_flag')}",
         "source_csv": "select o_orderkey, o_orderstatus from orders",
         "source_saved_detail": w("select 1 query_id, count(*) \"rows\" from k_valid"),
         "source_inventory": "select cast(1 as bigint) files, count(*) \"rows\", cast(11 as integer) columns from lineitem",

@@ -9,7 +9,7 @@ from modelwarden.plans import development as dev
 from modelwarden.plans import engine
 from pyspark.sql import functions as F
 
-from .sqlkit import D, END, art, blank, clean, ctes, current, days, like, real, truth
+from .sqlkit import D, END, art, blank, clean, ctes, current, days, like, plain, real, truth, ts
 
 DEV = "BACKLOG|DEVELOPMENT|TRAIN_VALIDATION|VERIFICATION|AWAITING_VALIDATION"
 STARTED = "DEVELOPMENT|TRAIN_VALIDATION|VERIFICATION|AWAITING_VALIDATION"
@@ -223,10 +223,23 @@ def q_matrix(spark, sf):
     return violation_matrix(detail_all(spark, sf), "model_ver_sid", "query_id", list(range(1, 32)))
 
 
+INSIDE = "substr(md5(model_ver_sid), 1, 1) <> '0'"
+
+
 def q_invariants(spark, sf):
+    """Every rule against a summary, a detail, a perimeter and a catalogue that are damaged on purpose."""
     rules_, b = all_bases(spark, sf)
-    return engine.invariant_report(engine.summary(spark, b, rules_, AS_OF), engine.detail(b, rules_),
-                                   b["versions"], dev.ENTITIES, 31)
+    summary = engine.summary(spark, b, rules_, AS_OF)
+    summary = summary.withColumn("numerator", F.when(F.col("query_id") == 3, F.col("denominator") + 1).otherwise(F.col("numerator")))
+    detail = engine.detail(b, rules_)
+    detail = detail.withColumn("source_entity_type", F.when(F.col("query_id") == 5, "ELSE").otherwise(F.col("source_entity_type")))
+    return engine.invariant_report(summary, detail, b["versions"].filter(INSIDE), dev.ENTITIES, len(rules_) + 2)
+
+
+def invariants_sql():
+    return with_base(
+        f"select 'NUMERATOR_RANGE' invariant, count(*) \"rows\" from ({counts_sql(3)}) union all select 'UNKNOWN_ENTITY_TYPE', count(*) from ({dedup_detail()}) where query_id = 5 "
+        f"union all select 'OUTSIDE_PERIMETER', count(*) from ({dedup_detail()}) where model_ver_sid not in (select model_ver_sid from versions where {INSIDE}) union all select 'CONTROL_COUNT', 2")
 
 
 def q_placeholder(spark, sf):
@@ -252,15 +265,26 @@ def placeholder_sql():
 
 
 def q_enriched(spark, sf):
-    """Detail of the duration and repeated-metric controls with the figures behind them."""
-    b = bases(spark, sf, {"durations", "metric_groups"})
-    d9 = b["durations"].filter("above").select(
-        F.lit(9).alias("query_id"), "model_ver_sid", F.col("model_ver_sid").alias("source_entity_sid"),
-        F.round("limit", 2).alias("expected"), F.round("days", 2).alias("actual"))
-    d18 = b["metric_groups"].filter("repeats > 1").select(
-        F.lit(18).alias("query_id"), "model_ver_sid", F.concat_ws(":", "sample_data_sid", "metric_key").alias("source_entity_sid"),
-        F.lit(1.0).alias("expected"), F.col("repeats").cast("double").alias("actual"))
-    return d9.unionByName(d18)
+    r = Registry.of(spark, sf)
+    rules_, b = all_bases(spark, sf)
+    found = dev.enriched_detail(engine.detail(b, rules_), r.current("model_ver"), r.current("valid"), r.current("metric"), b["durations"], b["metric_groups"])
+    return plain(found)
+
+
+def enriched_sql():
+    dates = {"planned_start": PS, "actual_start": FS, "planned_end": PE, "actual_end": FE}
+    shown = {"planned_start": (1, 6, 7, 9), "actual_start": (2, 3, 4, 5, 6, 9), "planned_end": (1, 7, 8, 9), "actual_end": (2, 3, 4, 5, 8, 9)}
+    day = lambda a, b, ids, name: f"case when query_id in ({ids}) then round({days('v.' + a, 'v.' + b)}, 2) end {name}"
+    cols = [f"case when query_id in {shown[n]} then {ts('v.' + c)} end {n}" for n, c in dates.items()]
+    cols += [day(FS, PS, "6", "start_deviation_days"), day(FE, PE, "8, 9", "end_deviation_days"), day(PE, PS, "9", "planned_duration_days"), day(FE, FS, "9", "actual_duration_days"),
+             "round(p, 2) expected_days_p90", "round(u.dd, 2) checked_days", "m.metric_name", "m.metric_val metric_value", "g.repeats"]
+    cols += [f"{ts('x.' + c)} {n}" for n, c in (("validation_created", "valid_crtn_dttm"), ("validation_started", "valid_start_fact_dttm"), ("validation_ended", "valid_end_fact_dttm"))]
+    cols += ["x.valid_stts_name validation_status", "x.valid_rslt_name validation_result", "x.valid_dev_return_reason_txt return_reason"]
+    return with_base(
+        f"select d.query_id, d.model_ver_sid, d.source_entity_type, d.source_entity_sid, d.issue_name, {', '.join(cols)} from ({dedup_detail()}) d left join mv v on v.model_ver_sid = d.model_ver_sid "
+        "left join durations u on d.query_id = 9 and u.model_ver_sid = d.model_ver_sid left join metric m on d.query_id = 17 and m.metric_sid = d.source_entity_sid "
+        "left join metric_groups g on d.query_id = 18 and g.model_ver_sid = d.model_ver_sid and g.sample_data_sid || ':' || g.metric_key = d.source_entity_sid "
+        "left join valid x on d.query_id in (23, 24, 25) and x.valid_sid = d.source_entity_sid and x.model_ver_sid = d.model_ver_sid")
 
 
 def q_schedule(spark, sf):
@@ -300,10 +324,8 @@ def ORACLE():
         "dev_violation_matrix": with_base(
             "select model_ver_sid, " + ", ".join(f"cast(max(case when query_id = {i} then 1 else 0 end) as integer) check_{i:02d}" for i in range(1, 32))
             + f" from ({dedup_detail()}) group by 1"),
-        "dev_invariants": "select 'x' invariant, cast(0 as bigint) \"rows\" where false",
+        "dev_invariants": invariants_sql(),
         "dev_not_assessable": placeholder_sql(),
-        "dev_detail_enriched": with_base(
-            "select 9 query_id, model_ver_sid, model_ver_sid source_entity_sid, round(p, 2) expected, round(dd, 2) actual from durations where dd > p "
-            "union all select 18, model_ver_sid, sample_data_sid || ':' || metric_key, 1.0::double, repeats::double from metric_groups where repeats > 1"),
+        "dev_detail_enriched": enriched_sql(),
         "dev_schedule_columns": schedule_sql(),
     }

@@ -188,7 +188,12 @@ def rounded(df):
 
 
 def q_manifest(s, f):
-    return sp.manifest(modelling(s, f), cfg("group_temporal"), late(s, f))
+    """What the manifest states, one row per role."""
+    text = sp.manifest(modelling(s, f), cfg("group_temporal"), late(s, f))
+    shape = ("mode string, seed int, group_columns string, time_column string, input_rows bigint, assigned_rows bigint, purged_rows bigint, unaccounted_rows bigint, "
+             "stats array<struct<role:string,rows:bigint,positives:bigint,negatives:bigint,groups:bigint>>")
+    return text.select(F.from_json("manifest", shape).alias("m")).select("m.*").select(
+        "mode", "group_columns", "time_column", "input_rows", "assigned_rows", "purged_rows", "unaccounted_rows", F.inline("stats"))
 
 
 QUERIES = {
@@ -320,6 +325,9 @@ def ORACLE():
                               "count(distinct o_custkey) \"groups\" from role_gt group by 1"),
         "split_group_overlap": w(pairs),
         "split_row_accounting": w("select count(*) input_rows, count(*) filter (role <> 'purged') assigned_rows, count(*) filter (role = 'purged') purged_rows, cast(0 as bigint) unaccounted_rows from role_gt"),
+        "split_manifest": w("select 'group_temporal' as mode, 'o_custkey' group_columns, 't' time_column, input_rows, assigned_rows, input_rows - assigned_rows purged_rows, cast(0 as bigint) unaccounted_rows, role, \"rows\", positives, negatives, \"groups\" from "
+                            "(select role, count(*) \"rows\", count(*) filter (y = 1) positives, count(*) filter (y = 0) negatives, count(distinct o_custkey) \"groups\" from role_gt group by 1), "
+                            "(select count(*) input_rows, count(*) filter (role <> 'purged') assigned_rows from role_gt)"),
         "split_class_problems": w("select role, \"rows\", positives, case when positives = 0 or positives = \"rows\" then 'ONE_CLASS' else 'FEW_POSITIVES' end problem from "
                                   "(select role, count(*) \"rows\", count(*) filter (y = 1) positives from role_gt group by 1) where positives < 600 or positives = \"rows\""),
         "split_input_checks": w("select count(*) \"rows\", count(*) filter (y is null) target_nulls, count(*) filter (t is null) time_nulls, count(*) filter (o_custkey is null) group_nulls, "

@@ -86,15 +86,23 @@ def dist(src, d1, d2):
             f"null::bigint denominator from {src} group by 1, 2")
 
 
+class Gaps(str):
+    """SQL text that knows its source and its (name, applies, bad) indicators."""
+
+    def of(self, src, inds):
+        self.src, self.inds = src, inds
+        return self
+
+
 def gap(src, bad, d1, d2):
-    return (f"select {d1} dim_1_value, {d2} dim_2_value, round(100.0 * count(*) filter ({bad}) / count(*), 6) metric_value, "
-            f"count(*) filter ({bad}) numerator, count(*) denominator from {src} group by 1, 2")
+    return Gaps(f"select {d1} dim_1_value, {d2} dim_2_value, round(100.0 * count(*) filter ({bad}) / count(*), 6) metric_value, "
+            f"count(*) filter ({bad}) numerator, count(*) denominator from {src} group by 1, 2").of(src, [(None, "true", bad)])
 
 
 def multi(src, d2, inds):
-    return " union all ".join(
+    return Gaps(" union all ".join(
         f"(select '{n}' dim_1_value, {d2} dim_2_value, round(100.0 * count(*) filter ({b}) / count(*), 6) metric_value, "
-        f"count(*) filter ({b}) numerator, count(*) denominator from {src} where {a} group by 2)" for n, a, b in inds)
+        f"count(*) filter ({b}) numerator, count(*) denominator from {src} where {a} group by 2)" for n, a, b in inds)).of(src, inds)
 
 
 def quant(src, d1, expr, qs=(("p50", 0.5), ("p90", 0.9))):
@@ -148,6 +156,8 @@ def sql():
     swap = multi("s_metric", dim("sample_data_type_name"), [
         ("metric_calc_disabled", "true", truth("sample_data_not_metric_calc_flag")),
         ("metric_missing_unexplained", "true", f"not {truth('sample_data_not_metric_calc_flag')} and not has_metric")])
+    closing = multi("gw", dim(W + "rslt_name"), [("report_missing", "true", art(W + "report_sid")),
+                                                 ("alt_metric_missing", "true", f"{truth(W + 'alt_flag')} and ({blank(W + 'alt_metric_name')} or {blank(W + 'alt_metric_val')})")])
     return {
         1: dist("versions", sig, stat), 2: dist("vmi", dim("model_type_name"), dim("model_ml_task_name")),
         3: dist(f"vmi where {truth('model_rsk_flag')}", dim("model_rsk_type_name"), dim("model_rsk_sgmnt_name")),
@@ -159,7 +169,7 @@ def sql():
         8: gap("evidence", art(P + "dev_report_sid"), sig, stat),
         9: multi("em", sig, [("data_type", "true", blank(P + "data_type_name")), tgt]),
         10: gap("e_sample", "not has_child", sig, stat), 11: gap("e_oot", "not has_child", sig, stat),
-        12: f"select dim_2_value dim_1_value, dim_1_value dim_2_value, metric_value, numerator, denominator from ({swap})",
+        12: Gaps(f"select dim_2_value dim_1_value, dim_1_value dim_2_value, metric_value, numerator, denominator from ({swap})").of(swap.src, swap.inds),
         13: multi("evidence", clean(P + "dev_dprtmt_name"), [
             ("open_overdue", "true", f"{overdue(pe)} and not {real(fe)}"), ("completed_late", "true", f"{real(pe)} and {real(fe)} and {fe} > {pe}")]),
         14: quant(f"(select * from t_model_ver where {real(fs)} and {real(fe)})", clean(P + "dev_dprtmt_name"), days(fe, fs)),
@@ -212,9 +222,7 @@ def sql():
         45: multi("gv_sample", gsig, [("sample_missing", "true", "not has_child"),
                                       ("data_knowledge_level_missing", "true", blank(G + "sample_data_knowledge_lvl_name"))]),
         46: dist("gvl", f"coalesce({W}rslt_name, 'NO_VALIDATION')", gsig),
-        47: multi("gw", dim(W + "rslt_name"), [("report_missing", "true", art(W + "report_sid")),
-                                               ("alt_metric_missing", "true", f"{truth(W + 'alt_flag')} and ({blank(W + 'alt_metric_name')} or {blank(W + 'alt_metric_val')})")])
-            + f" union all select 'duration_p90_days', dim_1_value, metric_value, numerator, denominator from ({quant('gw', dim(W + 'rslt_name'), gdays, (('p90', 0.9),))})",
+        47: Gaps(closing + f" union all select 'duration_p90_days', dim_1_value, metric_value, numerator, denominator from ({quant('gw', dim(W + 'rslt_name'), gdays, (('p90', 0.9),))})").of(closing.src, closing.inds),
         48: multi("grun", gsig, [("model_monitoring_flag_missing", "true", blank(mf)), ("data_monitoring_flag_missing", "true", blank(df)),
                                  ("model_exclusion_reason_missing", falsehood(mf), blank(G + "montrg_auto_exclude_reason_model_array")),
                                  ("data_exclusion_reason_missing", falsehood(df), blank(G + "montrg_auto_exclude_reason_data_array")),
@@ -258,56 +266,77 @@ def one(i):
     return run
 
 
-def q_details(spark, sf):
+def united(frames):
     from functools import reduce
 
+    return reduce(lambda a, b: a.unionByName(b), frames)
+
+
+def q_details(spark, sf):
+    """Offending rows of every query that has a numerator."""
     c = context(spark, sf)
-    qs = queries(spark)
-    return reduce(lambda a, b: a.unionByName(b), [pf.details(qs[i], c) for i in (5, 6, 13, 18, 44)])
+    return united([pf.details(q, c) for q in queries(spark).values() if q.kind in ("gap", "multi")])
 
 
 def q_shape(spark, sf):
-    from functools import reduce
-
+    """All queries in the common shape, united."""
     c = context(spark, sf)
-    qs = queries(spark)
-    parts = [pf.labelled(qs[i], pf.result(qs[i], c), AS_OF) for i in (1, 8, 39)]
-    return rounded(reduce(lambda a, b: a.unionByName(b), parts)).drop("query_name").withColumn("as_of_dt", F.col("as_of_dt").cast("string"))
+    parts = [pf.labelled(q, pf.result(q, c), AS_OF) for q in queries(spark).values()]
+    return rounded(united(parts)).drop("query_name").withColumn("as_of_dt", F.col("as_of_dt").cast("string"))
+
+
+#: What a single rate counts, what the rows of a query are (versions, where not named), and results that name no version.
+ISSUES = {
+    6: "repository_missing", 7: "commit_missing", 8: "development_report_missing", 10: "sample_missing", 11: "oot_sample_missing", 16: "completed_validation_missing",
+    18: "validation_open_too_long", 19: "periodic_validation_overdue", 22: "validation_without_sample", 23: "non_tabular_source", 24: "validation_report_missing",
+    25: "owner_acceptance_missing", 26: "committee_decision_missing", 29: "agent_flag_missing"}
+SOURCES = dict.fromkeys((18, 19, 22, 23, 24, 25, 26, 28, 29, 30), "VALID") | {12: "SAMPLE_DATA", 40: "MODEL_VER_PROM", 47: "GENAI_VER_VALID"}
+NO_VERSION = (34, 35, 36, 37, 38, 41)
 
 
 def details_sql():
-    P, G = "model_ver_", "genai_ver_"
-    pe, fe = P + "dev_end_plan_dttm", P + "dev_end_fact_dttm"
-    tgt = (f"not {truth(P + 'llm_flag')} and not {like('model_type_name', 'CLUSTER|КЛАСТЕР|UNSUPERVISED|БЕЗ УЧИТЕЛЯ|EMBEDDING|ЭМБЕДДИНГ')} "
-           f"and {blank(P + 'tgt_txt')}")
-    grun = like(G + "stts_name", "PILOT|EXPLOIT|PROD|RELEASE|PERMITTED")
-    grepo = G + "repstry_link_txt"
-    mv = ("MODEL", "model_ver_sid", "MODEL_VER", "model_ver_sid")
-    gv = ("GENAI", "genai_ver_sid", "GENAI_VER", "genai_ver_sid")
-    rows = [
-        (5, mv, "vm", "owner_department", blank(P + "owner_dprtmt_name")), (5, mv, "vm", "method", blank(P + "method_name")),
-        (5, mv, "vm", "significance", blank(P + "signfcnt_ctgry_code")), (5, mv, "vm", "target", tgt),
-        (6, mv, "evidence", "repository_missing", art(P + "repstry_link_txt")),
-        (13, mv, "evidence", "open_overdue", f"{overdue(pe)} and not {real(fe)}"),
-        (13, mv, "evidence", "completed_late", f"{real(pe)} and {real(fe)} and {fe} > {pe}"),
-        (18, ("MODEL", "model_ver_sid", "VALID", "valid_sid"), "open_valid", "validation_open_too_long",
-         f"{real('anchor')} and date_diff('day', cast(anchor as date), {D}) > 90"),
-        (44, gv, "gvo", "owner", blank("genai_owner_dprtmt_name")), (44, gv, "gvo", "repository", art(grepo)),
-        (44, gv, "gvo", "commit", f"not {art(grepo)} and {art(G + 'repstry_commit_link_txt')} and {art(G + 'distr_commit_link_txt')}"),
-        (44, gv, "gvo", "development_report", art(G + "dev_report_sid")), (44, gv, "gvo", "release", f"{grun} and {art(G + 'release_link_txt')}"),
-    ]
-    return wrap(" union ".join(
-        f"(select {i} query_id, '{e}' entity_type, {ver} version_sid, '{kind}' source_entity_type, {sid} source_entity_sid, '{issue}' issue_name "
-        f"from {src} where ({cond}) and not {blank(ver)})" for i, (e, ver, kind, sid), src, issue, cond in rows))
+    parts = []
+    for i, text in sql().items():
+        if not isinstance(text, Gaps) or i in NO_VERSION:
+            continue
+        entity = "GENAI" if i >= 43 else "MODEL"
+        source = SOURCES.get(i, "GENAI_VER" if entity == "GENAI" else "MODEL_VER")
+        ver = "genai_ver_sid" if entity == "GENAI" else "model_ver_sid"
+        parts += [
+            f"(select {i} query_id, '{entity}' entity_type, cast({ver} as varchar) version_sid, '{source}' source_entity_type, cast({source.lower()}_sid as varchar) source_entity_sid, "
+            f"'{name or ISSUES[i]}' issue_name from {text.src} where ({applies}) and ({bad}) and not {blank(ver)})" for name, applies, bad in text.inds]
+    return wrap(" union ".join(parts))
+
+
+MEASURES = {14: "duration_days", 17: "validation_count", 20: "duration_days", 21: "return_count", 27: "problem_count", 31: "validation_count", 32: "validation_count",
+            36: "result_count_or_gap_pct", 38: "result_count_or_gap_pct", 39: "problem_count", 42: "orphan_rate_pct", 47: "risk_rate_pct_or_days"}
+DOMAINS = {
+    "portfolio": (1, 2, 3, 4), "documentation": (5, 8), "reproducibility": (6, 7), "data_governance": (9, 10, 11, 12, 15), "development": (13, 14),
+    "validation": (16, 17, 18, 19, 20, 21, 22, 23, 24, 25, 26, 27, 28, 32), "agent_validation": (29, 30, 31), "monitoring": (33, 34, 35, 36, 37, 38, 39),
+    "implementation": (40, 41), "data_quality": (42,), "genai_portfolio": (43,), "genai_governance": (44,), "genai_data": (45,), "genai_validation": (46, 47),
+    "genai_monitoring": (48,), "genai_metrics": (49,), "genai_usage": (50,)}
+DIMS = {
+    ("significance", "status"): (1, 8, 10, 11, 16), ("model_type", "ml_task"): (2,), ("risk_type", "risk_segment"): (3,), ("owner_department", "significance"): (4,),
+    ("missing_field", "significance"): (5, 9, 44), ("significance", "dev_source"): (6, 7), ("sample_type", "gap_type"): (12,), ("overdue_type", "department"): (13,),
+    ("department", "statistic"): (14, 20), ("indicator", "significance"): (15, 28, 33, 45, 48, 49, 50), ("result", "significance"): (17,), ("department", "status"): (18, 19, 34),
+    ("return_reason", "department"): (21,), ("result", "type"): (22, 23), ("result", "department"): (24,), ("department", "result"): (25, 26), ("problem", "result"): (27,),
+    ("type", "result"): (29,), ("missing_field", "validation_type"): (30,), ("validation_type", "status"): (31,), ("reuse_level", "reason"): (32,),
+    ("schedule_gap", "schedule_status"): (35,), ("indicator_or_result", "result"): (36,), ("indicator", "status"): (37,), ("indicator", "result"): (38, 47),
+    ("channel", "problem"): (39,), ("indicator", "prom_status"): (40,), ("implementation_type", "status"): (41,), ("relation", ""): (42,),
+    ("portfolio_attribute", "value"): (43,), ("validation_result", "significance"): (46,)}
 
 
 def shape_sql():
-    s = sql()
-    meta = {1: ("portfolio", "MODEL", "version_count", "significance", "status"), 8: ("documentation", "MODEL", "risk_rate_pct", "significance", "status"),
-            39: ("monitoring", "MODEL", "problem_count", "channel", "problem")}
-    return wrap(" union all ".join(
-        f"(select {i} query_id, '{d}' risk_domain, '{e}' entity_type, '{mt}' metric_name, '{a}' dim_1_name, '{b}' dim_2_name, q.*, '{AS_OF}' as_of_dt from ({s[i]}) q)"
-        for i, (d, e, mt, a, b) in meta.items()))
+    domain = {i: d for d, ids in DOMAINS.items() for i in ids}
+    dims = {i: d for d, ids in DIMS.items() for i in ids}
+    parts = []
+    for i, text in sql().items():
+        measure = MEASURES.get(i, "risk_rate_pct" if isinstance(text, Gaps) else "version_count")
+        entity = "ALL" if i == 42 else "GENAI" if i >= 43 else "MODEL"
+        parts.append(
+            f"(select {i} query_id, '{domain[i]}' risk_domain, '{entity}' entity_type, '{measure}' metric_name, '{dims[i][0]}' dim_1_name, coalesce(q.dim_1_value, '$NULL$') dim_1_value, "
+            f"'{dims[i][1]}' dim_2_name, coalesce(q.dim_2_value, '$ALL$') dim_2_value, round(q.metric_value, 6) metric_value, q.numerator, q.denominator, '{AS_OF}' as_of_dt from ({text}) q)")
+    return wrap(" union all ".join(parts))
 
 
 QUERIES = {f"portfolio_{i:02d}": one(i) for i in range(1, 51)} | {"portfolio_details": q_details, "portfolio_result_shape": q_shape}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -250,3 +250,48 @@ def schedule_columns(mv: DataFrame) -> DataFrame:
         d(FACT_END, FACT_START).alias("actual_duration_days"),
         days_late(FACT_END, PLAN_END).alias("end_days_late"),
     )
+
+
+#: Which of the four development dates explain a finding of which control.
+DATES_OF = {
+    1: (PLAN_START, PLAN_END), 2: (FACT_START, FACT_END), 3: (FACT_START, FACT_END), 4: (FACT_START, FACT_END), 5: (FACT_START, FACT_END),
+    6: (PLAN_START, FACT_START), 7: (PLAN_START, PLAN_END), 8: (PLAN_END, FACT_END), 9: (PLAN_START, FACT_START, PLAN_END, FACT_END),
+}
+RETURNED = (23, 24, 25)
+
+
+def enriched_detail(detail: DataFrame, mv: DataFrame, valid: DataFrame, metric: DataFrame, durations: DataFrame, metric_groups: DataFrame) -> DataFrame:
+    """Detail rows with the figures behind them; a column is filled only for the controls that it explains.
+
+    Dates for the timeline controls, deviations in days, the department's p90, raw metric values, numbers of
+    repeats, and the validation of a return. Every side has one row per key.
+    """
+    q = F.col("query_id")
+
+    def only(ids: Sequence[int], c: str, name: str) -> Column:
+        return F.when(q.isin(*ids), F.col(c)).alias(name)
+
+    plan = mv.select("model_ver_sid", PLAN_START, FACT_START, PLAN_END, FACT_END).join(schedule_columns(mv).drop("end_days_late"), "model_ver_sid")
+    long = durations.select(F.col("model_ver_sid").alias("_dv"), F.round("limit", 2).alias("_p90"), F.round("days", 2).alias("_days"))
+    values = metric.select(F.col("metric_sid").alias("_ms"), F.col("metric_name").alias("_mn"), F.col("metric_val").alias("_mv"))
+    repeats = metric_groups.select(F.col("model_ver_sid").alias("_gv"), F.concat_ws(":", "sample_data_sid", "metric_key").alias("_gs"), F.col("repeats").alias("_repeats"))
+    checks = valid.select(
+        F.col("valid_sid").alias("_vs"), F.col("model_ver_sid").alias("_vv"), "valid_crtn_dttm", "valid_start_fact_dttm", "valid_end_fact_dttm", "valid_stts_name",
+        "valid_rslt_name", "valid_dev_return_reason_txt")
+    sid, ver = F.col("source_entity_sid"), F.col("model_ver_sid")
+    rows = (
+        detail.select("query_id", "model_ver_sid", "source_entity_type", "source_entity_sid", "issue_name").join(plan, "model_ver_sid", "left")
+        .join(long, (q == 9) & (ver == F.col("_dv")), "left").join(values, (q == 17) & (sid == F.col("_ms")), "left")
+        .join(repeats, (q == 18) & (ver == F.col("_gv")) & (sid == F.col("_gs")), "left")
+        .join(checks, q.isin(*RETURNED) & (sid == F.col("_vs")) & (ver == F.col("_vv")), "left"))
+    dates = {c: [i for i, cols in DATES_OF.items() if c in cols] for c in (PLAN_START, FACT_START, PLAN_END, FACT_END)}
+    return rows.select(
+        "query_id", "model_ver_sid", "source_entity_type", "source_entity_sid", "issue_name",
+        only(dates[PLAN_START], PLAN_START, "planned_start"), only(dates[FACT_START], FACT_START, "actual_start"),
+        only(dates[PLAN_END], PLAN_END, "planned_end"), only(dates[FACT_END], FACT_END, "actual_end"),
+        only((6,), "start_deviation_days", "start_deviation_days"), only((8, 9), "end_deviation_days", "end_deviation_days"),
+        only((9,), "planned_duration_days", "planned_duration_days"), only((9,), "actual_duration_days", "actual_duration_days"),
+        F.col("_p90").alias("expected_days_p90"), F.col("_days").alias("checked_days"), F.col("_mn").alias("metric_name"), F.col("_mv").alias("metric_value"),
+        F.col("_repeats").alias("repeats"), F.col("valid_crtn_dttm").alias("validation_created"), F.col("valid_start_fact_dttm").alias("validation_started"),
+        F.col("valid_end_fact_dttm").alias("validation_ended"), F.col("valid_stts_name").alias("validation_status"), F.col("valid_rslt_name").alias("validation_result"),
+        F.col("valid_dev_return_reason_txt").alias("return_reason"))

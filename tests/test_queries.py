@@ -11,6 +11,7 @@ TWINS = (
     "dev_control_09", "dev_control_16", "portfolio_05", "portfolio_20", "field_statistics", "log_reversals", "log_change_sequence_certain",
     "split_group_temporal", "sample_category_quota", "drift_psi_numeric", "eval_frozen_threshold", "boot_rows", "trial_pareto_three", "text_predicates",
     "fold_jaccard", "trial_confirmation_summary", "state_certainty", "life_card", "life_card_business_names", "life_event_log", "log_link_stats",
+    "dev_control_27", "dev_not_assessable", "portfolio_36", "card_flags", "join_closure", "boot_clusters", "boot_winner", "state_read", "audit_attempts", "trial_running_plateau",
 )
 
 
