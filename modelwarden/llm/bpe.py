@@ -22,11 +22,10 @@ import tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from modelwarden.llm.common import slices
+from modelwarden.llm.common import KEPT, released, slices
 
 END = "\ue000"
 RECENT = regex.compile(r"[^\x00-\u052f\u2000-\u206f]")
-_MODELS: dict[int, "Bpe"] = {}
 
 
 def byte_alphabet() -> list[str]:
@@ -162,11 +161,11 @@ def token_names(spec: dict) -> list[str]:
 
 def _model(text: str) -> Bpe:
     """One model per worker and file; the first use in a worker builds it."""
-    key = hash(text)
-    if key not in _MODELS:
-        _MODELS.clear()
-        _MODELS[key] = Bpe(json.loads(text))
-    return _MODELS[key]
+    key = ("bpe", hash(text))
+    if key not in KEPT:
+        KEPT.clear()
+        KEPT[key] = Bpe(json.loads(text))
+    return KEPT[key]
 
 
 def _with(schema: T.StructType, *fields: tuple[str, T.DataType]) -> T.StructType:
@@ -191,7 +190,7 @@ def encode(docs: DataFrame, file: str, text: str = "text", ids: str = "ids") ->
             values = pa.array(np.frombuffer(b"".join(codes), np.int32))
             yield _replaced(batch, ids, pa.ListArray.from_arrays(pa.array(ends), values))
 
-    return docs.mapInArrow(run, _with(docs.schema, (ids, T.ArrayType(T.IntegerType()))))
+    return docs.mapInArrow(released(run, keep=True), _with(docs.schema, (ids, T.ArrayType(T.IntegerType()))))
 
 
 def decode(docs: DataFrame, file: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -210,7 +209,7 @@ def decode(docs: DataFrame, file: str, ids: str = "ids", text: str = "decoded")
                 shown = [" ".join([names[i] for i in x.as_py() or [] if i is not None and 0 <= i < size and names[i]]) for x in batch.column(ids)]
                 yield _replaced(batch, text, pa.array(shown, pa.string()))
 
-    return docs.mapInArrow(run, _with(docs.schema, (text, T.StringType())))
+    return docs.mapInArrow(released(run, keep=True), _with(docs.schema, (text, T.StringType())))
 
 
 def _replaced(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +18,32 @@ from pyspark.sql import functions as F
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+#: Models that a Python worker keeps for the next task of the same operator.
+KEPT: dict = {}
+
+
+def trim() -> None:
+    """Gives memory that the worker no longer uses back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def released(run: Callable, keep: bool = False) -> Callable:
+    """An Arrow function whose worker, reused by later stages, starts without models of other operators and ends trimmed."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keep:
+            KEPT.clear()
+        try:
+            yield from run(batches)
+        finally:
+            trim()
+
+    return wrapped
+
+
 def plain_lower(text: Column) -> Column:
     """A-Z in lower case, all else as it is. `lower` does that for ASCII texts, and faster."""
     return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))

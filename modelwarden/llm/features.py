@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from modelwarden.llm.common import lowered, slices, span_hashes, spread, utf8, word_bounds
+from modelwarden.llm.common import lowered, released, slices, span_hashes, spread, utf8, word_bounds
 
 #: Word bytes: ASCII letters and digits, and all bytes of other characters.
 LETTERS = np.array([chr(c).isalnum() or c > 127 for c in range(128)] + [True] * 128)
@@ -124,7 +124,7 @@ def sampled_features(sample: DataFrame, featurise) -> tuple[np.ndarray, np.ndarr
             lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(codes[fresh].view(np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column("y"), lists], ["y", "codes"])
 
-    got = sample.mapInArrow(run, "y int, codes array<long>").toArrow()
+    got = sample.mapInArrow(released(run), "y int, codes array<long>").toArrow()
     lists = got["codes"].combine_chunks()
     if isinstance(lists, pa.ChunkedArray):
         lists = pa.concat_arrays(lists.chunks) if lists.num_chunks else pa.array([], pa.list_(pa.int64()))
@@ -165,4 +165,4 @@ def scored(docs: DataFrame, model: Linear, featurise, threshold: float, doc: str
             )
 
     schema = T.StructType([*(docs.schema[c] for c in kept), T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
-    return docs.select(*kept).mapInArrow(run, schema)
+    return docs.select(*kept).mapInArrow(released(run), schema)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from modelwarden.llm.common import components, lowered, slices, span_hashes, spread, stored, utf8, word_bounds
+from modelwarden.llm.common import components, lowered, released, slices, span_hashes, spread, stored, utf8, word_bounds
 
 #: Words are runs of anything but blanks.
 INK = np.array([c not in (9, 10, 11, 12, 13, 32) for c in range(256)])
@@ -98,7 +98,7 @@ def _profile(docs: DataFrame, least: int = 2) -> DataFrame:
                 ["kind", "doc", "twin", "size", "id"],
             )
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(released(run), schema)
 
 
 PACKED = "block int, codes binary, ids binary, sizes binary"
@@ -142,7 +142,7 @@ def _entries(docs: DataFrame, frequent: np.ndarray, counts: np.ndarray, blocks:
                 block = np.where(parts > 1, blocks + (spread(codes, 52) ^ spread(ids[rows].view(np.uint64) % np.maximum(parts, 1).astype(np.uint64), 53)).astype(np.int64) % (1 << 20), block)
             yield _pack(block, codes, ids[rows], sizes[rows])
 
-    return docs.mapInArrow(run, PACKED)
+    return docs.mapInArrow(released(run), PACKED)
 
 
 def _runs(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -293,7 +293,7 @@ def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
                 linked[i] = 100 * both >= 80 * (len(x) + len(y) - both)
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(linked)) for c in ("a", "b")], ["a", "b"])
 
-    return both.select("a", "b", "a_text", "b_text").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "a_text", "b_text").mapInArrow(released(run), "a long, b long")
 
 
 def similar_groups(
