@@ -12,6 +12,7 @@ from modelwarden.operators import measures as me
 from modelwarden.operators import ordered
 from modelwarden.operators import probe, profile, relate
 from modelwarden.operators import state as st
+from modelwarden.plans import development as dev
 from modelwarden.plans import portfolio as pf
 from modelwarden.sources import catalog, contract, files
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from .development import only
 from .sqlkit import (
     D, END, art, blank, category, ctes, current, falsehood, filled, has_value, is_na, like, live, location, low, norm, placeholder, plain,
-    real, required, truth, ts,
+    real, required, truth, ts, written,
 )
 from .sqlkit import clean as clean_sql
 
@@ -64,7 +65,9 @@ def q_scopes(s, f):
     d = reg(s, f).current("model_ver").select("model_ver_sid", "model_ver_stts_name")
     return relate.union_named(*[
         pr.status_scope(d, "model_ver_stts_name", inc, exc).select(F.lit(n).alias("scope"), "model_ver_sid")
-        for n, inc, exc in (("active", None, pf.CLOSED), ("evidence", pf.EVIDENCE_DUE, pf.CLOSED), ("deploy", pf.DEPLOY, None))
+        for n, inc, exc in (
+            ("active", None, pf.CLOSED), ("evidence", pf.EVIDENCE_DUE, pf.CLOSED), ("deploy", pf.DEPLOY, None), ("validation", pf.VALIDATION_DUE, pf.CLOSED),
+            ("development", dev.DEV_STATUS, dev.CLOSED_MODEL_STATUS), ("started", dev.STARTED_STATUS, dev.CLOSED_MODEL_STATUS), ("gate", dev.GATE_STATUS, dev.CLOSED_MODEL_STATUS))
     ]).groupBy("scope").agg(F.count(F.lit(1)).alias("versions"))
 
 
@@ -171,13 +174,6 @@ def q_closure(s, f):
     return relate.key_closure(seeds, hops(r), "model", written)
 
 
-def written(df):
-    """The frame as a table in the shared folder."""
-    path = files.scratch_folder(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def hops(r):
     return [
         ("model", r.raw("model_ver"), "model_sid", "model_ver_sid", "version"), ("version", r.raw("model_ver_prom"), "model_ver_sid", "model_ver_prom_sid", "prom"),
@@ -468,6 +464,14 @@ def ORACLE():
     from .evaluation import w as ev_with
     from .modelling import ORACLE as modelling_oracle
 
+    from .development import DEV, GATE, STARTED
+    from .portfolio import CLOSED, DEPLOY, DUE
+
+    st_name = "model_ver_stts_name"
+    is_open, audited = f"not {like(st_name, CLOSED)}", f"not {like(st_name, 'CANCEL|ARCHIV|REJECT')}"
+    scopes = {
+        "active": is_open, "evidence": f"{like(st_name, 'DEVELOPMENT|' + DUE)} and {is_open}", "deploy": like(st_name, DEPLOY), "validation": f"{like(st_name, DUE)} and {is_open}",
+        "development": f"{like(st_name, DEV)} and {audited}", "started": f"{like(st_name, STARTED)} and {audited}", "gate": f"{like(st_name, GATE)} and {audited}"}
     scoped = ("select * from (select 't_valid' table_name, count(*) \"rows\" from k_valid where valid_sid in (select k from c3) or model_ver_sid in (select k from c1) union all select 't_metric', count(*) from k_metric where sample_data_sid in (select k from c6) union all "
               "select 't_model_ver', count(*) from k_model_ver where model_ver_sid in (select k from c1) or model_sid in (select k from c0)) where \"rows\" > 0")
 
@@ -503,9 +507,7 @@ def ORACLE():
                             "cast(date_diff('day', cast(start_day as date), cast(end_day as date)) as integer) days_late from r_text_probe"),
         "date_age_anchor": w(f"select valid_sid, {ts('case when ' + like('valid_stts_name', 'BACKLOG') + ' then valid_crtn_dttm else coalesce(valid_start_fact_dttm, valid_crtn_dttm) end')} anchor from k_valid"),
         "date_unparsed": w(f"select row_sid, date_text from r_text_probe where not {blank('date_text')} and {parsed} is null"),
-        "text_status_scopes": w("select 'active' as scope, count(*) versions from k_model_ver where not {0} union all select 'evidence', count(*) from k_model_ver where {1} and not {0} union all select 'deploy', count(*) from k_model_ver where {2}".format(
-            like("model_ver_stts_name", "DONE|COMPLETE|CLOSED|CANCEL|REJECT|ARCHIV"), like("model_ver_stts_name", "DEVELOPMENT|VERIFICATION|AWAITING_VALIDATION|TRAIN_VALIDATION|DECISION_MAKING|OWNER_APPROVE|PERMITTED|PREPARATION_EXPLOIT"),
-            like("model_ver_stts_name", "DECISION_MAKING|OWNER_APPROVE|PILOTING_PERMITTED|PREPARATION_EXPLOIT|EXPLOIT_PERMITTED"))),
+        "text_status_scopes": w(" union all ".join(f"(select '{n}' as scope, count(*) versions from k_model_ver where {cond})" for n, cond in scopes.items())),
         "text_mask": "select c_custkey, 'sha256:' || sha256(c_name) masked, substr(sha256('|' || c_name || '|' || c_mktsegment), 1, 16) person, cast(('0x' || substr(md5('s1|' || c_custkey), 1, 8)) as bigint) bucket from customer",
         "text_pseudonymise": "select count(distinct c_name) people, count(*) \"rows\" from customer",
         "text_drop_personal": w("select model_ver_sid, model_ver_stts_name from r_model_ver"),

@@ -7,12 +7,11 @@ from functools import lru_cache
 from modelwarden.demo import AS_OF, Registry, duck_sql
 from modelwarden.operators import reconcile as rec
 from modelwarden.plans import card, fields
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .development import only
 from .sqlkit import (
-    D, category, ctes, current, filled, has_value, is_na, live, location, low, norm, plain, required, state, truth, ts,
+    D, category, ctes, current, filled, has_value, is_na, live, location, low, norm, plain, required, state, truth, ts, written,
 )
 
 
@@ -28,12 +27,12 @@ def full_card(spark, sf):
     key = (spark.sparkContext.applicationId, sf)
     if key not in _FULL:
         _FULL.clear()
-        _FULL[key] = card.build_card(reg(spark, sf).raw, AS_OF, DataFrame.persist).persist()
+        _FULL[key] = card.build_card(reg(spark, sf).raw, AS_OF, written).persist()
     return _FULL[key]
 
 
 def q_card(spark, sf):
-    return plain(card.build_card(reg(spark, sf).raw, AS_OF, DataFrame.persist))
+    return plain(card.build_card(reg(spark, sf).raw, AS_OF, written))
 
 
 def true3(x):
@@ -161,6 +160,7 @@ def rec_sql():
         "card_key_coverage": base + f"select model_ver_sid, 'MISSING_FROM_REPORT' problem from ({miss})",
         "card_cell_mismatches": base + mism,
         "card_distribution": base + distr,
+        "card_problems": problems_sql(),
         "card_verdict": base + f"select (select count(*) from edit_) report_rows, (select count(*) from card_full) control_rows, (select count(*) from ({miss})) missing_from_report, "
                         f"cast(0 as bigint) unexpected_in_report, (select count(*) from ({mism})) cell_mismatches, "
                         f"(select count(*) from ({distr}) where report_count <> control_count) distribution_mismatches, 'FAILED' status",
@@ -275,7 +275,41 @@ def field_oracles():
     }
 
 
+def q_problems(spark, sf):
+    """History with start days cut to years and versions' production records joined under their model, so that states collide."""
+    def raw(name):
+        d = reg(spark, sf).raw(name)
+        if name == "model_ver_prom":
+            d = d.withColumn("model_ver_sid", F.when(F.col("model_ver_sid").cast("int") % 40 != 0, (F.col("model_ver_sid").cast("int") % 40).cast("string")))
+        return d.withColumn("start_dt", F.trunc("start_dt", "YEAR")) if "start_dt" in d.columns else d
+
+    return card.card_problems(raw, AS_OF)
+
+
+def problems_sql():
+    parts = []
+    for name, (keys, nullable, fields) in card.CARD_STATES.items():
+        log = name == "ent_param_chg"
+        order = "start_dttm desc, ctl_datechange desc nulls last" if log else "start_dt desc, ctl_datechange desc nulls last"
+        inside = (f"start_dttm <= timestamp '{AS_OF} 23:59:59' and coalesce(end_dttm >= timestamp '{AS_OF} 23:59:59', true) and upper(trim(ent_type_name)) = 'MODEL_VERSION' and upper(trim(ent_param_chg_sid)) = '{card.CODE_PARAMETER}'"
+                  if log else f"start_dt <= date '{AS_OF}' and coalesce(end_dt >= date '{AS_OF}', true)")
+        names = ", ".join(keys)
+        src = f"({duck_sql(name)})"
+        if name == "model_ver_prom":
+            src = f"(select * replace (case when model_ver_sid::int % 40 <> 0 then (model_ver_sid::int % 40)::varchar end as model_ver_sid) from {src})"
+        if not log:
+            src = f"(select * replace (cast(date_trunc('year', start_dt) as date) as start_dt) from {src})"
+        rows = f"select distinct {', '.join([*keys, *fields])}, ctl_action from (select *, dense_rank() over (partition by {names} order by {order}) r from {src} where {inside}) where r = 1"
+        if name == "model_ver_prom":
+            links = f"select distinct model_ver_sid, model_ver_prom_repstry_commit_link_txt link from ({rows}) where {live()} and {required('model_ver_sid')}"
+        empty = " or ".join(f"not coalesce({required(k)}, false)" for k in keys if k not in nullable)
+        parts.append(f"(select '{name}' source_table, concat_ws('|', {names}) entity_key, case when {empty} then 'EMPTY_KEY' else 'AMBIGUOUS_STATE' end problem from ({rows}) group by {names} having count(*) > 1 or {empty})")
+    parts.append(f"(select 'model_ver_prom' source_table, model_ver_sid entity_key, 'SEVERAL_COMMIT_LINKS' problem from ({links}) group by 2 having count(distinct link) > 1)")
+    return " union all ".join(parts)
+
+
 QUERIES = {
+    "card_problems": q_problems,
     "card_flags": q_card, "card_flag_counts": q_flag_counts, "card_key_coverage": q_coverage, "card_cell_mismatches": q_cells,
     "card_distribution": q_distribution, "card_verdict": q_verdict, "card_report_invariants": q_invariants,
     "field_statuses": statuses, "field_statistics": q_field_stats, "field_labels": q_field_labels, "field_reference_links": q_links,

@@ -9,7 +9,7 @@ from modelwarden.plans import development as dev
 from modelwarden.plans import engine
 from pyspark.sql import functions as F
 
-from .sqlkit import D, END, art, blank, clean, ctes, current, days, like, plain, real, truth, ts
+from .sqlkit import D, END, art, blank, clean, ctes, current, days, like, plain, real, truth, ts, written
 
 DEV = "BACKLOG|DEVELOPMENT|TRAIN_VALIDATION|VERIFICATION|AWAITING_VALIDATION"
 STARTED = "DEVELOPMENT|TRAIN_VALIDATION|VERIFICATION|AWAITING_VALIDATION"
@@ -160,7 +160,7 @@ def bases(spark, sf, names=None):
 def all_bases(spark, sf):
     """All base frames over slices that are derived once and kept for the several readers."""
     r = Registry.of(spark, sf)
-    slices = [r.current(t).select(*cols).persist() for t, cols in dev.COLUMNS.items()]
+    slices = [written(r.current(t).select(*cols)) for t, cols in dev.COLUMNS.items()]
     return controls(spark), {k: make() for k, make in dev.bases(*slices).items()}
 
 

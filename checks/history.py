@@ -254,7 +254,7 @@ def ORACLE():
         "log_changes_by_version": w(f"select model_ver_sid, count(*) change_count, count(distinct parameter_sid) changed_parameters, {ts('min(change_dttm)')} first_change, {ts('max(change_dttm)')} last_change from hist group by 1"),
         "log_changes_by_parameter": w("select parameter_sid, count(*) change_count, count(distinct model_ver_sid) version_count from hist group by 1"),
         "life_card": w("select * from card_l"),
-        "life_card_business_names": w("select " + ", ".join(f'{x} as "{x.upper()}"' for x in card_order) + " from card_l"),
+        "life_card_business_names": w("select " + ", ".join(f'{x} as "{x.upper()}|{text}"' for x, text in lc.HEADINGS.items()) + " from card_l"),
         "life_status_history": w(
             f"select t.busn_task_sid, case upper(trim(ent_param_chg_val)) when 'V0' then 'Planned' when 'V1' then 'Running' else ent_param_chg_val end life_stage, {ts('start_dttm')} start_dttm, "
             f"{ts('capped')} end_dttm from tasks t left join (select * from cap where ent_param_chg_sid = 'BUSINESS_TASK_STATUS' and start_dttm < timestamp '{CUTOFF}') c on c.ent_sid = t.busn_task_sid"),

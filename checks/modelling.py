@@ -196,7 +196,40 @@ def q_manifest(s, f):
         "mode", "group_columns", "time_column", "input_rows", "assigned_rows", "purged_rows", "unaccounted_rows", F.inline("stats"))
 
 
+def auto(time, groups):
+    return sp.SplitConfig(keys=("o_orderkey",), target="y", fractions=LATE if time else SHARES, time="t" if time else None, groups=("o_custkey",) if groups else (), seed=SEED)
+
+
+def q_auto(s, f):
+    """Roles under the mode that the configuration implies, for all four combinations of time and groups."""
+    found = None
+    for time in (False, True):
+        for groups in (False, True):
+            c = auto(time, groups)
+            part = sp.split(modelling(s, f), c).groupBy("role").agg(F.count(F.lit(1)).alias("rows")).select(F.lit(c.resolved()).alias("mode"), "role", "rows")
+            found = part if found is None else found.unionByName(part)
+    return found
+
+
+def q_rules(s, f):
+    """Configurations tried on the table: usable ones with their rows per role, others with what is wrong."""
+    trials = {
+        "no_train": auto(False, False).__class__(keys=("o_orderkey",), target="y", fractions={"train": 0.0, "valid": 1.0 - 1e-9}, mode="random"),
+        "sum": sp.SplitConfig(keys=("o_orderkey",), target="y", fractions={"train": 0.5, "valid": 0.2}, mode="random"),
+        "oot_without_time": sp.SplitConfig(keys=("o_orderkey",), target="y", fractions={"train": 0.5, "valid": 0.3, "oot": 0.2}, mode="random"),
+        "group_without_columns": sp.SplitConfig(keys=("o_orderkey",), target="y", fractions=SHARES, mode="group"), "sound": cfg("random"),
+    }
+    found = None
+    for name, c in trials.items():
+        bad = c.problems()
+        rows = sp.split(modelling(s, f), c).groupBy("role") if not bad else modelling(s, f).groupBy(F.lit(None).cast("string").alias("role"))
+        part = rows.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("configuration"), F.lit("; ".join(bad)).alias("problems"), "role", "rows")
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
 QUERIES = {
+    "split_auto": q_auto, "split_config_rules": q_rules,
     "split_random": roles("random"), "split_stratified": roles("stratified"), "split_group": roles("group"),
     "split_temporal": roles("temporal"), "split_group_temporal": roles("group_temporal"), "split_time_cutoffs": q_time_cutoffs,
     "split_statistics": lambda s, f: plain(sp.split_statistics(late(s, f), ["role"], "y", "t", ["o_custkey"])),
@@ -218,7 +251,7 @@ QUERIES = {
     "feature_universe": q_universe,
     "feature_fill_categorical": lambda s, f: fe.fill_categorical(modelling(s, f), ["grade", "c_mktsegment"]).select("o_orderkey", "grade", "c_mktsegment"),
     "feature_categorical_nulls": lambda s, f: fe.categorical_nulls(modelling(s, f), list(CAT)),
-    "feature_binary_target": lambda s, f: fe.binary_target(modelling(s, f).filter("o_orderstatus <> 'P'"), "o_orderstatus", "F").groupBy("o_orderstatus", "y").agg(
+    "feature_binary_target": lambda s, f: fe.binary_target(modelling(s, f).withColumn("o_orderstatus", F.when(F.col("o_orderstatus") == "F", "F").otherwise("open")), "o_orderstatus", "F").groupBy("o_orderstatus", "y").agg(
         F.count(F.lit(1)).alias("rows")),
     "feature_entity_aggregates": lambda s, f: rounded(entity_features(modelling(s, f).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus"),
                                                                       "o_custkey", "o_totalprice", "o_orderstatus")),
@@ -325,6 +358,9 @@ def ORACLE():
                               "count(distinct o_custkey) \"groups\" from role_gt group by 1"),
         "split_group_overlap": w(pairs),
         "split_row_accounting": w("select count(*) input_rows, count(*) filter (role <> 'purged') assigned_rows, count(*) filter (role = 'purged') purged_rows, cast(0 as bigint) unaccounted_rows from role_gt"),
+        "split_auto": w(" union all ".join(f"(select '{m}' as mode, role, count(*) \"rows\" from {t} group by 2)" for m, t in (("stratified", "role_strat"), ("group", "role_group"), ("temporal", "role_temporal"), ("group_temporal", "role_gt")))),
+        "split_config_rules": w("select 'sound' as configuration, '' problems, role, count(*) \"rows\" from role_random group by 3 union all select c, p, null, (select count(*) from role_random) from (values "
+                                "('no_train', 'train and valid need a positive fraction'), ('sum', 'fractions sum to 1'), ('oot_without_time', 'an out-of-time part needs a temporal mode'), ('group_without_columns', 'group needs group columns')) v(c, p)"),
         "split_manifest": w("select 'group_temporal' as mode, 'o_custkey' group_columns, 't' time_column, input_rows, assigned_rows, input_rows - assigned_rows purged_rows, cast(0 as bigint) unaccounted_rows, role, \"rows\", positives, negatives, \"groups\" from "
                             "(select role, count(*) \"rows\", count(*) filter (y = 1) positives, count(*) filter (y = 0) negatives, count(distinct o_custkey) \"groups\" from role_gt group by 1), "
                             "(select count(*) input_rows, count(*) filter (role <> 'purged') assigned_rows from role_gt)"),
@@ -363,7 +399,7 @@ def ORACLE():
         "feature_universe": w(" union all ".join(f"(select '{c}' feature, {str(c in CAT).lower()} categorical, count({c}) filled from m)" for c in (*NUM, *CAT))),
         "feature_fill_categorical": w("select o_orderkey, coalesce(grade, '__MISSING__') grade, c_mktsegment from m"),
         "feature_categorical_nulls": w(" union all ".join(f"(select '{c}' column_name, count(*) filter ({c} is null) null_count from m)" for c in CAT)),
-        "feature_binary_target": w("select o_orderstatus, cast(o_orderstatus = 'F' as integer) y, count(*) \"rows\" from m where o_orderstatus <> 'P' group by 1, 2"),
+        "feature_binary_target": w("select case when o_orderstatus = 'F' then 'F' else 'open' end o_orderstatus, cast(o_orderstatus = 'F' as integer) y, count(*) \"rows\" from m group by 1, 2"),
         "feature_entity_aggregates": w(
             "select o_orderkey, o_custkey, o_totalprice, o_orderstatus, round(s, 6) amount_sum, round(a, 6) amount_mean, n row_count, d category_count, x amount_max from m join "
             "(select o_custkey, sum(o_totalprice) s, avg(o_totalprice) a, count(*) n, count(distinct o_orderstatus) d, max(o_totalprice) x from m group by 1) using (o_custkey)"),

@@ -147,3 +147,12 @@ def plain(df):
         else F.col(c).cast("string").alias(c) if kinds[c] == "date" else F.col(c)
         for c in df.columns
     ])
+
+
+def written(df):
+    """Spark side: the frame as a table in the shared folder, so that its readers do not derive it again."""
+    from modelwarden.sources.files import scratch_folder
+
+    path = scratch_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -141,6 +141,8 @@ def layout(d: Dialect) -> dict[str, Table]:
         "model_rsk_sgmnt_name": "c_mktsegment",
         "model_stts_name": d.pick(["ACTIVE", "CLOSED"], n(1, 6)),
         "model_other_docs_sid": d.pick([None, "$not_applicable$", "doc-1", "[]"], n(1, 7)),
+        "model_conf_ctgry_name": d.pick(["K1", "K2", None], n(1, 8)),
+        "model_sel_secret_flag": d.pick(flag, n(1, 9)),
         **meta("date '2001-01-01'"),
     }, keys=("model_sid",))
 
@@ -191,6 +193,10 @@ def layout(d: Dialect) -> dict[str, Table]:
         "model_ver_montrg_last_rslt_name": d.pick(["GREEN", None, "отсутствует", "YELLOW", None], n(3, 8)),
         "model_ver_busn_proc_code": d.pick(["BP-1", None, "BP-2", "n/a"], n(1, 9)),
         "model_ver_crtn_dttm": maybe_ts(d.day(odate, "-20"), 1, 8, 60),
+        "model_ver_signfcnt_ctgry_descr_txt": hide("'because of ' || o_orderpriority", 3, 9, 900),
+        "model_ver_prevalid_report_file_sid": hide("'pf-' || cast(o_orderkey as string)", 1, 6, 1500),
+        "model_ver_prevalid_report_link_sid": hide("'pl-' || cast(o_orderkey as string)", 1, 7, 2500),
+        "model_ver_prevalid_report_link_txt": d.pick(["https://docs.example/pre", None, "-"], n(2, 1)),
         **meta(vstart, f"case when v = 1 and {d.num('h0', 1)} < 3000 then {d.day(odate, f'40 + {d.num('h0', 0)} % 60')} else date '9999-12-31' end"),
     }, where=f"v = 1 or {d.num('h0', 1)} < 3000", repeat=2, keys=("model_ver_sid",))
 
@@ -231,6 +237,7 @@ def layout(d: Dialect) -> dict[str, Table]:
         "model_ver_prom_crtn_dttm": maybe_ts(d.day(odate, "150"), 1, 6),
         "model_ver_prom_distr_end_dttm": maybe_ts(d.day(odate, "140 + " + n(1, 8) + " % 60"), 1, 8),
         "model_ver_prom_dev_block_name": d.pick(["Block 1", None], n(1, 7)),
+        "model_ver_prom_dev_dprtmt_name": d.pick(dept, n(1, 9)),
         **meta(d.day(odate, "100")),
     }, where=f"{d.num('h1', 9)} < 3600", keys=("model_ver_prom_sid",))
 
@@ -375,6 +382,7 @@ def layout(d: Dialect) -> dict[str, Table]:
         "busn_task_start_dttm": maybe_ts(d.day("date '2002-02-01'", n(1, 2) + " % 900"), 1, 2, 1500),
         "busn_task_end_dttm": maybe_ts(d.day("date '2002-06-01'", n(1, 3) + " % 900"), 1, 3, 1000),
         "busn_task_employer_block_name": d.pick(["Block 5", None], n(1, 4)),
+        "busn_task_employer_dprtmt_name": d.pick(["Retail", None, "Cards"], n(1, 5)),
         **meta("date '2002-01-01'"),
     }, keys=("busn_task_sid",))
     out["model_ver_x_busn_task"] = Table("orders", "'xb' || " + okey, {

@@ -26,25 +26,91 @@ STAGES = {
 
 # Steps of the card after model and version: (table, key joined on, columns taken).
 CARD_STEPS = (
-    ("model_ver_anlt_dtl", "model_ver_sid", ("model_ver_prom_expl_flag", "model_stts_name")),
+    ("model_ver_anlt_dtl", "model_ver_sid", ("model_ver_stts_name", "model_stts_name", "model_ver_prom_expl_flag")),
     ("model_ver_x_busn_task", "model_ver_sid", ("busn_task_sid",)),
     ("model_ver_prom", "model_ver_sid", ("model_ver_prom_sid", "model_ver_prom_stts_name", "model_ver_prom_instr_name",
-                                         "model_ver_prom_sys_name", "model_ver_prom_crtn_dttm", "model_ver_prom_dev_block_name")),
+                                         "model_ver_prom_sys_name", "model_ver_prom_crtn_dttm", "model_ver_prom_dev_block_name", "model_ver_prom_dev_dprtmt_name")),
     ("model_ver_x_montrg_manual", "model_ver_sid", ("montrg_manual_sid",)),
     ("model_ver_x_montrg_auto", "model_ver_sid", ("montrg_auto_sid",)),
     ("valid", "model_ver_sid", ("valid_sid", "valid_crtn_dttm", "valid_report_sid", "valid_dprtmt_name")),
-    ("busn_task", "busn_task_sid", ("busn_task_name", "busn_task_claim_descr_txt", "busn_task_crtn_dttm", "busn_task_employer_block_name")),
+    ("busn_task", "busn_task_sid", ("busn_task_name", "busn_task_claim_descr_txt", "busn_task_crtn_dttm", "busn_task_employer_block_name",
+                                   "busn_task_employer_dprtmt_name")),
     ("montrg_manual_rslt", "montrg_manual_sid", ("montrg_manual_rslt_start_dttm", "montrg_manual_rslt_end_dttm", "montrg_manual_rslt_report_sid")),
     ("montrg_auto", "montrg_auto_sid", ("montrg_auto_crtn_dttm", "montrg_auto_end_dttm", "montrg_auto_dprtmt_name")),
     ("valid_it", "model_ver_prom_sid", ("valid_it_sid", "valid_it_start_dttm", "valid_it_end_dttm", "valid_it_crtn_dttm", "valid_it_rslt_name", "valid_it_dprtmt_name")),
 )
-MODEL_COLUMNS = ("model_name", "model_code", "model_type_name", "model_subtype_name", "model_rsk_flag", "model_rsk_type_name", "model_rsk_sgmnt_name")
+MODEL_COLUMNS = ("model_name", "model_code", "model_type_name", "model_subtype_name", "model_rsk_flag", "model_rsk_type_name", "model_rsk_sgmnt_name",
+                 "model_conf_ctgry_name", "model_sel_secret_flag")
 VERSION_COLUMNS = (
-    "model_ver_sid", "model_sid", "model_ver_stts_name", "model_ver_signfcnt_lvl_name", "model_ver_signfcnt_ctgry_code",
+    "model_ver_sid", "model_sid", "model_ver_signfcnt_lvl_name", "model_ver_signfcnt_ctgry_code", "model_ver_signfcnt_ctgry_descr_txt",
     "model_ver_dev_start_fact_dttm", "model_ver_dev_end_fact_dttm", "model_ver_dev_sys_name", "model_ver_data_mart_link_txt",
-    "model_ver_crtn_dttm", "model_ver_dev_report_sid", "model_ver_dev_block_name", "model_ver_dev_dprtmt_name", "model_ver_prevalid_dttm",
+    "model_ver_crtn_dttm", "model_ver_dev_report_sid", "model_ver_prevalid_report_file_sid", "model_ver_prevalid_report_link_sid",
+    "model_ver_prevalid_report_link_txt", "model_ver_dev_block_name", "model_ver_dev_dprtmt_name", "model_ver_prevalid_dttm",
 )
 
+# --- fixed values: report headings of the card, in report order; a heading is the upper-case column name, a bar and this text ---
+HEADINGS = {
+    "model_name": "Наименование модели",
+    "model_rsk_flag": "Флаг риск-модели",
+    "model_rsk_type_name": "Тип риска модели",
+    "model_rsk_sgmnt_name": "Наименование риск-сегмента модели",
+    "model_type_name": "Тип модели",
+    "model_subtype_name": "Подтип модели",
+    "model_code": "Код модели",
+    "model_conf_ctgry_name": "Категория конфиденциальности информации о модели",
+    "model_sel_secret_flag": "Флаг коммерческой тайны",
+    "model_sid": "Идентификатор модели",
+    "model_ver_signfcnt_lvl_name": "Наименование степени значимости версии модели",
+    "model_ver_dev_start_fact_dttm": "Фактическая дата-время начала разработки версии модели",
+    "model_ver_signfcnt_ctgry_code": "Наименование категории значимости версии модели",
+    "model_ver_signfcnt_ctgry_descr_txt": "Обоснование категории значимости версии модели",
+    "model_ver_dev_end_fact_dttm": "Фактическая дата-время окончания разработки версии модели",
+    "model_ver_dev_sys_name": "Система в которой разрабатывалась версия модели",
+    "model_ver_data_mart_link_txt": "Ссылка на витрину данных для обучения версии модели",
+    "model_ver_crtn_dttm": "Дата-время создания версии модели",
+    "model_ver_dev_report_sid": "Идентификатор отчета о разработке версия модели",
+    "model_ver_prevalid_report_file_sid": "Идентификатор файла с отчетом о превалидации версии модели",
+    "model_ver_prevalid_report_link_sid": "Идентификатор ссылки на отчет о превалидации версии модели",
+    "model_ver_prevalid_report_link_txt": "Ссылка на отчет о превалидации",
+    "model_ver_dev_block_name": "Наименование блока разработки версии модели",
+    "model_ver_dev_dprtmt_name": "Наименование подразделения разработки версии модели",
+    "model_ver_sid": "Идентификатор версии модели",
+    "model_ver_stts_name": "Наименование статуса версии модели",
+    "model_stts_name": "Статус модели",
+    "model_ver_prom_expl_flag": "Флаг нахождения версии модели в эксплуатации",
+    "busn_task_sid": "Идентификатор бизнес-задачи",
+    "model_ver_prom_instr_name": "Среда (инструмент) исполнения промышленной версии модели",
+    "model_ver_prom_sys_name": "Система в которой реализована промышленная версия модели",
+    "model_ver_prom_sid": "Идентификатор промышленной версии модели",
+    "model_ver_prom_stts_name": "Статус промышленной версии модели",
+    "model_ver_prom_crtn_dttm": "Дата-время создания промышленной версии модели",
+    "model_ver_prom_dev_block_name": "Блок разработки промышленной версии модели",
+    "model_ver_prom_dev_dprtmt_name": "Подразделение разработки промышленной версии модели",
+    "montrg_manual_sid": "Идентификатор ручного мониторинга",
+    "montrg_auto_sid": "Идентификатор автоматического мониторинга",
+    "valid_crtn_dttm": "Дата-время создания валидации",
+    "valid_sid": "Идентификатор валидации",
+    "valid_report_sid": "Идентификатор отчета о валидации",
+    "valid_dprtmt_name": "Подразделение, проводящее валидацию",
+    "busn_task_name": "Наименование бизнес-задачи",
+    "busn_task_claim_descr_txt": "Описание требований бизнес-задачи",
+    "busn_task_crtn_dttm": "Дата-время создания бизнес-задачи",
+    "busn_task_employer_block_name": "Блок заказчика бизнес-задачи",
+    "busn_task_employer_dprtmt_name": "Наименование подразделения заказчика бизнес-задачи",
+    "montrg_manual_rslt_end_dttm": "Дата-время окончания процесса ручного мониторинга в рамках которого получен текущий результат",
+    "montrg_manual_rslt_start_dttm": "Дата-время начала процесса ручного мониторинга в рамках которого получен текущий результат",
+    "montrg_manual_rslt_report_sid": "Идентификатор отчёта о результате ручного мониторинга",
+    "montrg_auto_crtn_dttm": "Дата-время создания автоматического мониторинга",
+    "montrg_auto_end_dttm": "Дата-время окончания мониторинга",
+    "montrg_auto_dprtmt_name": "Наименование подразделения проводящего автоматического мониторинга",
+    "valid_it_end_dttm": "Дата-время окончания ИТ-валидации",
+    "valid_it_start_dttm": "Дата-время начала ИТ-валидации",
+    "valid_it_crtn_dttm": "Дата-время создания ИТ-валидации",
+    "valid_it_rslt_name": "Результат ИТ-валидации",
+    "valid_it_dprtmt_name": "Подразделение проводящее ИТ-валидацию",
+}
+# ---------------------------------------------------------------------------------------------------------------------------------
+
 
 def newest_first(df: DataFrame, key: str) -> list[Column]:
     """Newest by start date; every further column breaks ties so that the choice is total."""
@@ -65,9 +131,8 @@ def assemble_card(table: Table) -> DataFrame:
 
 
 def business_names(card: DataFrame) -> DataFrame:
-    """Upper-case report headings in a fixed column order."""
-    order = [*MODEL_COLUMNS, *VERSION_COLUMNS, *[c for _, _, fields in CARD_STEPS for c in fields]]
-    return card.select(*[F.col(c).alias(c.upper()) for c in order if c in card.columns])
+    """The card under its report headings, in report order."""
+    return card.select(*[F.col(c).alias(f"{c.upper()}|{text}") for c, text in HEADINGS.items()])
 
 
 def status_history(ids: DataFrame, id_col: str, log: DataFrame, parameter: str, cutoff: str, as_of: str,
