@@ -351,9 +351,42 @@ def q_roles_written(s, f):
 
 
 def q_export(s, f):
+    """All trials, written in parts of 1 000 rows and read again."""
     from .evaluation import trials
 
-    return files.export_limited(trials(s, f).select("trial_id", "features"), 10_000_000)
+    path = files.scratch_folder(s) + "/export"
+    files.export_in_parts(trials(s, f).select("trial_id", "features"), path, 1000)
+    return s.read.option("header", True).option("escape", '"').schema("trial_id bigint, features string").csv(path)
+
+
+_AUDIT: dict = {}
+
+
+def audit_frames(s, f):
+    """The audit of one folder, its slices written once per session."""
+    from modelwarden.plans.audit import run_audit
+
+    key = (s.sparkContext.applicationId, f)
+    if key not in _AUDIT:
+        _AUDIT.clear()
+        r = reg(s, f)
+        _AUDIT[key] = run_audit(r.current, r.raw, AS_OF, hold=written)
+    return _AUDIT[key]
+
+
+def q_report(s, f):
+    return plain(audit_frames(s, f)["version_report"].select(
+        "model_ver_sid", "model_sid", "model_ver_stts_name", "failed_controls", "failed_high_controls", "change_count", "changed_parameters", "last_change"))
+
+
+def q_diagnostics(s, f):
+    return audit_frames(s, f)["run_diagnostics"].select("versions", "models", "status_disagreement")
+
+
+def q_audit_rows(s, f):
+    """Rows of every frame of the audit."""
+    frames = audit_frames(s, f)
+    return relate.union_named(*[d.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("frame"), "rows") for n, d in frames.items()])
 
 
 def q_contract(s, f):
@@ -377,7 +410,8 @@ QUERIES = {
     "state_version_problems": lambda s, f: st.version_problems(versions(s, f), AS_OF).groupBy("problem").agg(F.count(F.lit(1)).alias("rows")),
     "state_certainty": lambda s, f: plain(q_certainty(s, f)), "state_duplicates": lambda s, f: st.duplicate_keys(reg(s, f).base("lineitem"), ["l_orderkey", "l_linenumber"]),
     "state_display": lambda s, f: plain(st.latest_display(reg(s, f).raw("valid").select("valid_sid", "start_dt", "ctl_loading", "valid_rslt_name"), ["valid_sid"])),
-    "audit_red_in_production": q_red, "audit_attempts": q_attempts, "audit_summary_sheet": q_summary_sheet, "audit_status_disagreement": q_disagreement,
+    "audit_red_in_production": q_red, "audit_attempts": q_attempts, "audit_version_report": q_report, "audit_run_diagnostics": q_diagnostics, "audit_frame_rows": q_audit_rows,
+    "audit_summary_sheet": q_summary_sheet, "audit_status_disagreement": q_disagreement,
     "join_closure": q_closure, "join_flags": q_enough, "join_resolve_parent": q_resolved, "join_key_overlap": q_overlap, "join_first_by": q_first,
     "join_residual": q_residual, "join_set_flow": q_set_flow,
     "measure_missingness": q_missingness, "measure_quantile_disc": q_quantiles("disc"), "measure_quantile_nearest": q_quantiles("nearest"),
@@ -464,6 +498,19 @@ def ORACLE():
     from .evaluation import w as ev_with
     from .modelling import ORACLE as modelling_oracle
 
+    from .history import ORACLE as history_oracle
+
+    devs, hist = development_oracle(), history_oracle()
+    audited_rows = w("select v.* from opened o join k_model_ver v using (model_ver_sid)")
+    differ = w("select v.model_ver_sid from k_model_ver v join (select model_ver_sid, max(model_ver_stts_name) st from k_model_ver_anlt_dtl group by 1) a using (model_ver_sid) where st is not null and st is distinct from v.model_ver_stts_name")
+    sequence = f"select * from ({hist['log_change_sequence_certain']}) where model_ver_sid in (select model_ver_sid from ({audited_rows}))"
+    changes = f"select model_ver_sid, count(*) change_count, count(distinct parameter_sid) changed_parameters, max(change_dttm) last_change from ({sequence}) group by 1"
+    summary_rows = " union all ".join(f"select query_id, dim_1_value, dim_2_value from ({devs[f'dev_control_{i:02d}']})" for i in range(1, 32))
+    counted = {
+        "version_context": audited_rows, "risk_summary": summary_rows, "risk_details": devs["dev_control_detail"], "control_rollup": devs["dev_control_rollup"],
+        "version_report": audited_rows, "issue_rollup": devs["dev_issue_rollup"], "model_change_log": sequence, "change_summary": f"select distinct parameter_sid from ({sequence})",
+        "red_production": w(f"select valid_sid from certc where {like('valid_rslt_name', 'КРАСН|RED')} and model_ver_sid in (select model_ver_sid from opened where {truth('model_ver_prom_expl_flag')})"),
+        "run_diagnostics": "select 1", "invariants": "select 1 where false"}
     from .development import DEV, GATE, STARTED
     from .portfolio import CLOSED, DEPLOY, DUE
 
@@ -532,6 +579,10 @@ def ORACLE():
         "state_display": w("select valid_sid, cast(start_dt as varchar) start_dt, ctl_loading, valid_rslt_name from (select *, row_number() over (partition by valid_sid order by start_dt desc, ctl_loading desc, valid_rslt_name nulls last) r from r_valid) where r = 1"),
         "audit_red_in_production": w(f"select valid_sid, model_ver_sid, is_latest from certc where {like('valid_rslt_name', 'КРАСН|RED')} and model_ver_sid in (select model_ver_sid from k_model_ver_anlt_dtl where {truth('model_ver_prom_expl_flag')})"),
         "audit_attempts": w("select * from attempts"),
+        "audit_version_report": f"select v.model_ver_sid, v.model_sid, v.model_ver_stts_name, coalesce(failed_controls, 0) failed_controls, coalesce(failed_high_controls, 0) failed_high_controls, coalesce(change_count, 0) change_count, "
+                                f"coalesce(changed_parameters, 0) changed_parameters, last_change from ({audited_rows}) v left join ({devs['dev_version_rollup']}) d using (model_ver_sid) left join ({changes}) c using (model_ver_sid)",
+        "audit_run_diagnostics": f"select count(*) versions, count(distinct model_sid) models, count(*) filter (model_ver_sid in ({differ})) status_disagreement from ({audited_rows})",
+        "audit_frame_rows": " union all ".join(f"select '{n}' frame, count(*) \"rows\" from ({q_})" for n, q_ in counted.items()),
         "audit_status_disagreement": w("select count(*) versions from k_model_ver v join k_model_ver_anlt_dtl a using (model_ver_sid) where a.model_ver_stts_name is not null and a.model_ver_stts_name is distinct from v.model_ver_stts_name"),
         "join_closure": w(" union all ".join(f"select '{k}' kind, k as \"key\" from c{i}" for i, k in enumerate(("model", "version", "prom", "valid", "auto", "auto_result", "sample")))),
         "join_flags": w(f"select v.model_ver_sid, any_alt, coalesce(located, 0) located from (select model_ver_sid, cast(max(cast({truth('valid_alt_flag')} as integer)) as integer) any_alt from k_valid where model_ver_sid is not null group by 1) v left join "
