@@ -90,9 +90,15 @@ class Bpe:
         fits = self.fits
         if len(fits) > 200_000:
             fits.clear()
+        known = fits.get
         for end, (token, size, closed) in self.automaton.iter(text + END):
-            stop = n if closed else end + 1
-            if last[stop] >= 0 or (stop == n) != closed:
+            if closed:
+                stop = n
+            else:
+                stop = end + 1
+                if stop >= n:  # the end mark's own place, or a token that would have to close the piece
+                    continue
+            if last[stop] >= 0:
                 continue
             start = stop - size
             if start:
@@ -100,7 +106,7 @@ class Bpe:
                 if before < 0:
                     continue
                 key = before << 20 | token
-                fit = fits.get(key)
+                fit = known(key)
                 if fit is None:
                     fit = fits[key] = self.compatible(before, token)
                 if not fit:
@@ -123,20 +129,26 @@ class Bpe:
         return self.pieces(text.lower())
 
     def segment(self, text: str) -> list[bytes]:
-        out, young, old = [], self.young, self.old
-        for piece in self.cut(text):
-            code = young.get(piece)
+        pieces = self.cut(text)
+        codes = list(map(self.young.get, pieces))
+        young, old = self.young, self.old
+        for at in [k for k, code in enumerate(codes) if code is None]:
+            piece = pieces[at]
+            code = young.get(piece) or old.get(piece)  # the piece may stand in the text twice
             if code is None:
-                code = old.get(piece)
-                if code is None:
-                    marked = piece[0] == END
-                    code = self.encode_piece(piece[1:] if marked else "".join(map(self.table.__getitem__, piece.encode("utf-8"))))
-                if len(piece) <= 64:
-                    young[piece] = code
-            out.append(code)
+                if piece.isascii() and piece.isprintable():
+                    shown = piece  # printable ASCII stands for itself
+                elif piece[0] == END:
+                    shown = piece[1:]
+                else:
+                    shown = "".join(map(self.table.__getitem__, piece.encode("utf-8")))
+                code = self.encode_piece(shown)
+            if len(piece) <= 64:
+                young[piece] = code
+            codes[at] = code
         if len(young) > self.cache:
             self.young, self.old = {}, young
-        return out
+        return codes
 
     def encode(self, text: str) -> bytes:
         if self.special_pattern is None or "<" not in text:

@@ -22,9 +22,10 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 KEPT: dict = {}
 
 
-def trim() -> None:
+def trim(collect: bool = True) -> None:
     """Gives memory that the worker no longer uses back to the system."""
-    gc.collect()
+    if collect:
+        gc.collect()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # another C library
         ctypes.CDLL("libc.so.6").malloc_trim(0)
@@ -34,12 +35,13 @@ def released(run: Callable, keep: bool = False) -> Callable:
     """An Arrow function whose worker, reused by later stages, starts without models of other operators and ends trimmed."""
 
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not keep:
+        if KEPT and not keep:
             KEPT.clear()
+            trim()
         try:
             yield from run(batches)
         finally:
-            trim()
+            trim(collect=not keep)  # a kept model has very many objects to walk
 
     return wrapped
 
