@@ -15,7 +15,7 @@ from .development import only
 from .sqlkit import bucket, ctes
 
 BY = ["candidate"]
-REPLICATES = 48
+REPLICATES = 24
 RULE = dict(objective="max_precision", min_precision=0.30, min_recall=0.40)
 
 
