@@ -34,3 +34,20 @@ def test_detail_without_dimensions_keeps_the_other_columns(spark):
     found = {(r.query_id, r.issue_name, r.model_ver_sid, r.severity, r.dim_1_value) for r in whole.collect()}
     assert found == {(1, "fixed", "a", "HIGH", "x"), (1, "fixed", "b", "HIGH", "$NULL$"), (2, "n:x", "a", "LOW", "x"), (2, "n:y", "a", "LOW", "y"), (2, None, "b", "LOW", "$NULL$")}
     assert "dim_1" not in short._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_portfolio_tables_are_kept_once_for_all_queries(spark, sf):
+    from modelwarden.demo import AS_OF, Registry
+    from modelwarden.plans import portfolio as pf
+
+    held = []
+
+    def hold(df):
+        held.append(df)
+        return df
+
+    c = pf.Context(Registry.of(spark, sf).current, AS_OF, hold)
+    for i in (17, 25, 26, 28):  # these read the newest validation of a version
+        pf.result(pf.queries(AS_OF)[i], c)
+    assert len(held) == 3  # validations, the newest of them, versions
+    assert set(pf.LATEST_COLUMNS) <= set(min(held, key=lambda d: len(d.columns)).columns)
