@@ -21,6 +21,7 @@ from .ordered import attach, spread_attach
 
 WHOLE = -1
 PER_DIGEST = 4
+TOGETHER = 24           # replicates that a row adds to at once; a multiple of PER_DIGEST
 SCORE_BINS = 1 << 16
 
 
@@ -43,12 +44,17 @@ def draws(df: DataFrame, keys: Sequence[str | Column], replicates: int, seed: ob
     spread = spread.select(*df.columns, "_b", digest([F.col("_b"), *keys], seed).alias("_h"))
     places = F.array(*[F.struct((F.col("_b") * PER_DIGEST + i).alias("replicate"), F.substring("_h", 1 + 8 * i, 8).alias("_u")) for i in range(PER_DIGEST)])
     drawn = spread.select(*df.columns, F.inline(places)).filter((F.col("replicate") >= WHOLE) & (F.col("replicate") < replicates))
-    times = F.when(F.col("replicate") == WHOLE, 1)
-    for k, limit in enumerate(poisson_limits()):
-        if limit < BUCKETS:
-            times = times.when(F.col("_u") < f"{limit:08x}", k)  # hex digits of one length sort as their numbers
-            most = k + 1
-    return drawn.select(*df.columns, "replicate", times.otherwise(most).alias("times")).filter("times > 0")
+    times = F.when(F.col("replicate") == WHOLE, 1).otherwise(_times(F.col("_u")))
+    return drawn.select(*df.columns, "replicate", times.alias("times")).filter("times > 0")
+
+
+def _times(place: Column) -> Column:
+    """Draws that the eight hex digits of a place stand for; as text they sort as their numbers."""
+    limits = [limit for limit in poisson_limits() if limit < BUCKETS]
+    times = F.when(place < f"{limits[0]:08x}", 0)
+    for k, limit in enumerate(limits[1:], 1):
+        times = times.when(place < f"{limit:08x}", k)
+    return times.otherwise(len(limits))
 
 
 def _scaled(histogram: DataFrame, factors: DataFrame, stratum: str) -> DataFrame:
@@ -79,12 +85,32 @@ def _score(bins: DataFrame) -> DataFrame:
 
 
 def _histogram(predictions: DataFrame, units: Sequence[str], strata: Sequence[str], replicates: int, seed: object, bins: int) -> DataFrame:
-    drawn = draws(predictions.select(
-        *dict.fromkeys([*units, "candidate", "y", *strata]), F.col("score").cast("double").alias("score"), F.col("weight").cast("double").alias("weight")),
-        units, replicates, seed)
+    """Weight and range of scores per replicate, candidate, class, stratum and bin.
+
+    A row adds to ``TOGETHER`` replicates at once, side by side in one record per bin; it is repeated once per so many
+    replicates, not once per replicate. The records are turned into rows after they are complete.
+    """
+    rows = predictions.select(
+        *dict.fromkeys([*units, "candidate", "y", *strata]), F.col("score").cast("double").alias("score"), F.col("weight").cast("double").alias("weight"))
     spot = F.least(F.floor(F.col("score") * bins), F.lit(bins - 1)).cast("int")
-    return drawn.groupBy("replicate", "candidate", "y", *[c for c in strata if c != "y"], spot.alias("bin")).agg(
-        F.sum(F.col("weight") * F.col("times")).alias("w"), F.min("score").alias("low"), F.max("score").alias("high"))
+    by = ["candidate", "y", *[c for c in strata if c != "y"]]
+    chunks = -(-replicates // TOGETHER)
+    parts = rows.select("*", spot.alias("bin"), F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("_c"))
+    blocks = min(TOGETHER, -(-replicates // PER_DIGEST) * PER_DIGEST) // PER_DIGEST
+    hashed = parts.withColumns({f"_h{j}": digest([(F.col("_c") * (TOGETHER // PER_DIGEST) + j).cast("int"), *units], seed) for j in range(blocks)})
+    places = [(j * PER_DIGEST + i, F.substring(f"_h{j}", 1 + 8 * i, 8)) for j in range(blocks) for i in range(PER_DIGEST)]
+    drawn = hashed.select(*by, "bin", "_c", "score", "weight", *[_times(place).alias(f"_t{n}") for n, place in places])
+    seen = F.coalesce("score", F.lit(float("inf")))  # known wherever a row is drawn, so that bins without one can be told
+
+    def place(number: Column, name: str, drawn_here: Column, weight: Column) -> tuple[list[Column], Column]:
+        sums = [F.sum(weight).alias(f"w{name}"), F.min(F.when(drawn_here, seen)).alias(f"l{name}"), F.max(F.when(drawn_here, F.col("score"))).alias(f"x{name}")]
+        return sums, F.struct(number.alias("replicate"), F.col(f"w{name}").alias("w"), F.col(f"l{name}").alias("low"), F.col(f"x{name}").alias("high"))
+
+    cells = [place(F.when(F.col("_c") == 0, WHOLE), "_all", F.lit(True), F.col("weight"))]
+    cells += [place((F.col("_c") * TOGETHER + n).cast("int"), str(n), F.col(f"_t{n}") > 0, F.col("weight") * F.col(f"_t{n}")) for n, _ in places]
+    wide = drawn.groupBy(*by, "bin", "_c").agg(*[c for sums, _ in cells for c in sums])
+    long = wide.select(*by, "bin", F.inline(F.array(*[cell for _, cell in cells])))
+    return long.filter((F.col("replicate") < replicates) & F.col("low").isNotNull())
 
 
 def class_draws(rows: DataFrame, key: str, replicates: int, seed: object) -> DataFrame:

@@ -51,3 +51,54 @@ def test_portfolio_tables_are_kept_once_for_all_queries(spark, sf):
         pf.result(pf.queries(AS_OF)[i], c)
     assert len(held) == 3  # validations, the newest of them, versions
     assert set(pf.LATEST_COLUMNS) <= set(min(held, key=lambda d: len(d.columns)).columns)
+
+
+def test_card_is_written_and_its_analytics_rows_are_kept(spark, sf):
+    from checks import cards
+    from modelwarden.demo import AS_OF, Registry
+    from modelwarden.plans import card
+
+    held = []
+    card.build_card(Registry.of(spark, sf).raw, AS_OF, lambda df: held.append(df) or df)
+    assert "model_ver_prom_expl_flag" in held[0].columns and len(held) == 3
+    assert reads(cards.full_card(spark, sf), "InMemoryRelation") == 0
+
+
+def test_audit_keeps_only_what_the_asked_frames_share(spark, sf):
+    from modelwarden.demo import AS_OF, Registry
+    from modelwarden.plans.audit import FRAMES, run_audit
+
+    def held(*names):
+        kept = []
+        r = Registry.of(spark, sf)
+        run_audit(r.current, r.raw, AS_OF, hold=lambda df: kept.append(df) or df, names=names)
+        return kept
+
+    assert len(held("run_diagnostics")) == 2                      # versions and the context
+    assert any("source_entity_sid" in d.columns for d in held(*FRAMES))
+    assert not any("source_entity_sid" in d.columns for d in held("version_report"))
+
+
+def test_thresholds_go_to_the_rows(spark):
+    from modelwarden.operators.evaluate import threshold_metrics
+
+    rows = spark.range(40).select((F.col("id") % 3).cast("string").alias("candidate"), (F.col("id") % 2).cast("int").alias("y"), (F.col("id") / 40).alias("score"), F.lit(1.0).alias("weight"))
+    limits = rows.select("candidate").distinct().withColumn("threshold", F.lit(0.5))
+    assert "strategy=broadcast" in threshold_metrics(rows, ["candidate"], limits)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_bootstrap_rows_are_not_repeated_by_replicate(spark):
+    from modelwarden.operators import bootstrap as bo
+
+    rows = spark.createDataFrame(
+        [(str(i), c, i % 3 // 2, None if i == 7 else (i * 37 % 100) / 100, float(i % 5), "s") for i in range(60) for c in ("a", "b")],
+        "k string, candidate string, y int, score double, weight double, stratum string")
+    for replicates in (3, 30):
+        drawn = bo.draws(rows, ["k"], replicates, "x")
+        spot = F.least(F.floor(F.col("score") * 8), F.lit(7)).cast("int").alias("bin")
+        plain = drawn.groupBy("replicate", "candidate", "y", spot).agg(F.sum(F.col("weight") * F.col("times")).alias("w"), F.max("score").alias("high"))
+        got = bo._histogram(rows, ["k"], ["y"], replicates, "x", 8)
+        assert {tuple(r) for r in got.select(*plain.columns).collect()} == {tuple(r) for r in plain.collect()}
+        assert reads(got, "Generate explode") == 1 and reads(got, "Generate inline") == 1
+        text = got._jdf.queryExecution().optimizedPlan().toString()
+        assert text.index("Generate inline") < text.index("Aggregate")  # replicates become rows above the sums, not below
