@@ -23,11 +23,11 @@ _FULL: dict = {}
 
 
 def full_card(spark, sf):
-    """The report as one kept frame: several comparisons read it."""
+    """The report as one written table: several comparisons read it, and none needs it in the executors' memory."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _FULL:
         _FULL.clear()
-        _FULL[key] = card.build_card(reg(spark, sf).raw, AS_OF, written).persist()
+        _FULL[key] = written(card.build_card(reg(spark, sf).raw, AS_OF, written))
     return _FULL[key]
 
 
@@ -141,7 +141,7 @@ def q_invariants(spark, sf):
 
 
 def q_flag_counts(spark, sf):
-    full = full_card(spark, sf)
+    full = card.build_card(reg(spark, sf).raw, AS_OF, written)
     return full.agg(F.count(F.lit(1)).alias("versions"), *[F.sum(f).alias(f) for f in card.FLAGS])
 
 
