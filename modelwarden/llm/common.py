@@ -46,6 +46,28 @@ def released(run: Callable, keep: bool = False) -> Callable:
     return wrapped
 
 
+def grouped(run: Callable[[pa.Table], pa.Table], large: int = 1 << 20, rows: int = 50_000) -> Callable:
+    """An Arrow function of one group, from one of its table: results go out in batches of `rows`, and a worker gives
+    memory back after a group of `large` bytes, so it does not sit idle on the largest group it has met.
+    """
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if KEPT:
+            KEPT.clear()
+            trim()
+        table = pa.Table.from_batches(list(batches))
+        size = table.nbytes
+        out = run(table)
+        del table
+        size += out.nbytes
+        yield from out.to_batches(max_chunksize=rows)
+        del out
+        if size >= large:
+            trim(collect=False)
+
+    return wrapped
+
+
 def plain_lower(text: Column) -> Column:
     """A-Z in lower case, all else as it is. `lower` does that for ASCII texts, and faster."""
     return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))

@@ -17,14 +17,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from modelwarden.llm.common import components, lowered, released, slices, span_hashes, spread, stored, utf8, word_bounds
+from modelwarden.llm.common import components, grouped, lowered, released, slices, span_hashes, spread, stored, utf8, word_bounds
 
 #: Words are runs of anything but blanks.
 INK = np.array([c not in (9, 10, 11, 12, 13, 32) for c in range(256)])
 
 
-def shingle_sets(column: pa.Array, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, offsets): the sorted distinct shingle hashes of each row; shorter texts have their word list as the one shingle."""
+def shingle_sets(column: pa.Array, width: int = 5, most_bytes: int = 1_000_000) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, offsets): the sorted distinct shingle hashes of each row; shorter texts have their word list as the one shingle.
+
+    Rows are taken in runs of about `most_bytes`, as the word arrays of a run need some 30 times its bytes.
+    """
+    runs = [_shingles(part.column("text"), width) for part in slices(iter([pa.RecordBatch.from_arrays([column], ["text"])]), "text", most_bytes)]
+    sizes = [np.diff(offsets) for _, offsets in runs]
+    return (
+        np.concatenate([np.zeros(0, np.uint64), *(codes for codes, _ in runs)]),
+        np.concatenate([np.zeros(1, np.int64), *sizes]).cumsum(),
+    )
+
+
+def _shingles(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     raw, offsets = utf8(column)
     rows, starts, ends = word_bounds(raw, offsets, INK)
     words = span_hashes(lowered(raw), starts, ends - starts)
@@ -76,14 +88,13 @@ def _profile(docs: DataFrame, least: int = 2) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 16_000_000):
-            codes, offsets = [], []
+            codes, sizes, ids = [], [], []
             for part in slices(iter([batch]), "text"):
                 c, o = shingle_sets(part.column("text"))
                 codes.append(c)
-                offsets.append(np.diff(o))
-            codes, sizes = np.concatenate(codes), np.concatenate(offsets)
-            offsets = np.concatenate([[0], np.cumsum(sizes)])
-            ids = set_ids(codes, offsets)
+                sizes.append(np.diff(o))
+                ids.append(set_ids(c, o))
+            codes, sizes, ids = (np.concatenate(x) for x in (codes, sizes, ids))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.zeros(len(ids), np.int32)), batch.column("doc"), batch.column("twin"), pa.array(sizes.astype(np.int64)), pa.array(ids)],
                 ["kind", "doc", "twin", "size", "id"],
@@ -172,7 +183,7 @@ def _columns(packed: DataFrame) -> DataFrame:
         wide = np.repeat(length > 1, length)
         return pa.table({"code": codes[wide], "id": ids[wide], "size": sizes[wide].astype(np.int64), "lead": ids[lead][wide], "lead_size": sizes[lead][wide].astype(np.int64)})
 
-    return packed.groupBy("block").applyInArrow(run, "code long, id long, size long, lead long, lead_size long")
+    return packed.groupBy("block").applyInArrow(grouped(run), "code long, id long, size long, lead long, lead_size long")
 
 
 def _counted(pairs: DataFrame) -> DataFrame:
@@ -220,7 +231,7 @@ def _apart(mixed: DataFrame) -> DataFrame:
         n = np.diff(np.append(np.flatnonzero(new), len(a)))
         return pa.table({"a": a[new], "b": b[new], "n": n, "a_size": a_size[new], "b_size": b_size[new]})
 
-    return met.groupBy("block").applyInArrow(run, "a long, b long, n long, a_size long, b_size long")
+    return met.groupBy("block").applyInArrow(grouped(run), "a long, b long, n long, a_size long, b_size long")
 
 
 def _product(mixed: DataFrame, classes: DataFrame, docs: DataFrame, chunk: int) -> DataFrame:
@@ -262,7 +273,7 @@ def _product(mixed: DataFrame, classes: DataFrame, docs: DataFrame, chunk: int)
         other = np.flatnonzero(label != np.arange(len(ids)))
         return pa.table({"a": ids[label[other]], "b": ids[other]})
 
-    return met.groupBy("code", "x", "y").applyInArrow(run, "a long, b long")
+    return met.groupBy("code", "x", "y").applyInArrow(grouped(run), "a long, b long")
 
 
 def _texts(asked: DataFrame, classes: DataFrame, docs: DataFrame, small: int = 500_000) -> DataFrame:
