@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from modelwarden.operators import subsets_ml as ml
-from modelwarden.sources.files import scratch_folder
 from pyspark.sql import functions as F
 
 from .modelling import cfg, modelling
+from .sqlkit import written
 from modelwarden.operators import splits as sp
 
 FEATURES = ("o_totalprice", "c_acctbal", "qty", "hour")
@@ -20,12 +20,17 @@ def parts(s, f):
     return d.filter("role = 'train'"), d.filter("role = 'valid'")
 
 
+def kept_parts(s, f):
+    """The parts with what the candidates read, written once: each fit and each scoring would else join and split the tables anew."""
+    return tuple(written(d.select(*FEATURES, "y", "w")) for d in parts(s, f))
+
+
 def r4(df):
     return df.select(*[F.round(c, 4).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
 
 def q_scores(s, f):
-    return r4(ml.score_subsets(*parts(s, f), CANDIDATES, "y", "w"))
+    return r4(ml.score_subsets(*kept_parts(s, f), CANDIDATES, "y", "w"))
 
 
 def q_pool(s, f):
@@ -33,11 +38,9 @@ def q_pool(s, f):
 
 
 def q_halving(s, f):
-    if s.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        s.sparkContext.setCheckpointDir(scratch_folder(s))
-    train, valid = parts(s, f)
+    train, valid = kept_parts(s, f)
     screened = ml.as_trials(ml.score_subsets(train, valid, CANDIDATES, "y", "w"))
-    return r4(ml.halving_round(screened, lambda c: ml.score_subsets(train, valid, c, "y", "w", (1, 2), ml.logistic), "fixed", 0.5, 2, lambda d: d.checkpoint()))
+    return r4(ml.halving_round(screened, lambda c: ml.score_subsets(train, valid, c, "y", "w", (1, 2), ml.logistic), "fixed", 0.5, 2, written))
 
 
 QUERIES = {"ml_score_subsets": q_scores, "ml_screening_pool": q_pool, "ml_halving_round": q_halving}

@@ -35,15 +35,16 @@ def score_subsets(train: DataFrame, valid: DataFrame, candidates: Mapping[str, S
                   seeds: Sequence[int] = (1,), classifier: Callable = logistic, metric: str = "gini") -> DataFrame:
     """Fit every candidate subset with every seed; metric on both parts, gap and spread.
 
-    Each fit is a distributed job over the training part. All predictions are judged in one
-    aggregate at the end.
+    Each fit is a distributed job over the training part. Every step of a fit sends a result from each task to the
+    driver, so the training rows are held in a few tasks a core, however many files or shuffle parts they come in.
+    All predictions are judged in one aggregate at the end.
     """
-    parts = []
+    parts, tasks = [], 2 * train.sparkSession.sparkContext.defaultParallelism
     for name, features in candidates.items():
         assembler = VectorAssembler(inputCols=list(features), outputCol="_x", handleInvalid="keep")
         tr, va = assembler.transform(train), assembler.transform(valid)
         for seed in seeds:
-            model = classifier(seed, label, weight).fit(tr)
+            model = classifier(seed, label, weight).fit(tr.coalesce(tasks))
             parts += [_scored(model, tr, label, weight, name, seed, "train"), _scored(model, va, label, weight, name, seed, "valid")]
     scores = metrics(reduce(lambda a, b: a.unionByName(b), parts), ["candidate", "seed", "part"])
     on = {p: F.when(F.col("part") == p, F.col(metric)) for p in ("train", "valid")}
@@ -71,7 +72,11 @@ def screening_pool(train: DataFrame, features: Sequence[str], label: str, weight
 
 def halving_round(screen: DataFrame, confirm: Callable[[Mapping[str, Sequence[str]]], DataFrame], strategy: str, fraction: float,
                   min_promoted: int, hold: Callable[[DataFrame], DataFrame], **limits) -> DataFrame:
-    """Screened trials, promotion of the best trade-offs, then a full-size score of those."""
+    """Screened trials, promotion of the best trade-offs, then a full-size score of those.
+
+    The screened trials, one row each, are held: promotion and selection read them many times.
+    """
+    screen = hold(screen)
     promoted = promotion_size(screen, strategy, fraction, min_promoted, **limits).first()["promoted"]
     chosen = nsga_select(screen, int(promoted), hold).select("trial_id", "features").collect()  # a handful of promoted subsets
     return confirm({str(r.trial_id): list(r.features) for r in chosen})
