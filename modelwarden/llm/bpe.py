@@ -10,13 +10,16 @@ border. Back-pointers give the ids. No merge queue runs over the text.
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 from array import array
 from collections.abc import Iterator
+from functools import cached_property
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import tokenizers
 from pyspark.sql import DataFrame
@@ -25,7 +28,9 @@ from pyspark.sql import types as T
 from modelwarden.llm.common import KEPT, released, slices
 
 END = "\ue000"
-RECENT = regex.compile(r"[^\x00-\u052f\u2000-\u206f]")
+RECENT = re.compile(r"[^\x00-\u052f\u2000-\u206f]")
+#: What `str.split` takes for a blank and the files do not.
+NO_BLANKS = "\x1c\x1d\x1e\x1f"
 
 
 def byte_alphabet() -> list[str]:
@@ -38,12 +43,12 @@ def byte_alphabet() -> list[str]:
 class Bpe:
     """A vocabulary in which ids grow with the age of merges, and caches of bounded size."""
 
-    def __init__(self, spec: dict, cache: int = 120_000) -> None:
+    def __init__(self, spec: dict, cache: int = 160_000) -> None:
         model = spec["model"]
         suffix = model["end_of_word_suffix"] or ""
         vocab = model["vocab"]
         self.cache = cache
-        self.cutter = tokenizers.Tokenizer.from_str(json.dumps(spec))
+        self.own = {k: v for k, v in spec.items() if k != "model"} | {"model": {**model, "vocab": {}, "merges": []}, "added_tokens": []}
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.fits: dict[int, bool] = {}
@@ -67,6 +72,11 @@ class Bpe:
             self.automaton.add_word(body + END if closed else body, (token, len(body), closed))
         self.automaton.make_automaton()
 
+    @cached_property
+    def cutter(self) -> tokenizers.Tokenizer:
+        """The library's normaliser and cutter of the file, without its vocabulary."""
+        return tokenizers.Tokenizer.from_str(json.dumps(self.own))
+
     def compatible(self, a: int, b: int) -> bool:
         """True when token b can directly follow token a in an encoding."""
         # Tokens below `bar` may still be formed across the border at this stage of undoing.
@@ -119,32 +129,52 @@ class Bpe:
         ids.reverse()
         return array("i", ids).tobytes()
 
-    def cut(self, text: str) -> list[str]:
-        """Pieces of a text without special tokens; those from the library's own cutter are marked with END."""
+    def words(self, text: str) -> list[str]:
+        """Parts of a text without special tokens whose ids do not depend on each other: what stands between blanks, in
+        which no piece lies across two parts; single pieces where `split` and the file differ in what a blank is. Pieces
+        from the library's own cutter are marked with END."""
         if not text.isascii():
             if RECENT.search(text):  # classes of such code points depend on the Unicode version of the library
                 found = self.cutter.pre_tokenizer.pre_tokenize_str(self.cutter.normalizer.normalize_str(text))
                 return [END + piece for piece, _ in found]
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        return self.pieces(text.lower())
+        text = text.lower()
+        return self.pieces(text) if any(c in text for c in NO_BLANKS) else text.split()
+
+    def piece(self, text: str) -> bytes:
+        """Ids of one piece, from the cache where they are known."""
+        code = self.young.get(text) or self.old.get(text)
+        if code is None:
+            if text.isascii() and text.isprintable():
+                shown = text  # printable ASCII stands for itself
+            elif text[0] == END:
+                shown = text[1:]
+            else:
+                shown = "".join(map(self.table.__getitem__, text.encode("utf-8")))
+            code = self.encode_piece(shown)
+        if len(text) <= 64:
+            self.young[text] = code
+        return code
 
     def segment(self, text: str) -> list[bytes]:
-        pieces = self.cut(text)
-        codes = list(map(self.young.get, pieces))
+        words = self.words(text)
         young, old = self.young, self.old
+        codes = list(map(young.get, words))
         for at in [k for k, code in enumerate(codes) if code is None]:
-            piece = pieces[at]
-            code = young.get(piece) or old.get(piece)  # the piece may stand in the text twice
+            word = words[at]
+            if word.isalpha() or word[0] == END:
+                codes[at] = self.piece(word)
+                continue
+            code = young.get(word) or old.get(word)  # the word may stand in the text twice
             if code is None:
-                if piece.isascii() and piece.isprintable():
-                    shown = piece  # printable ASCII stands for itself
-                elif piece[0] == END:
-                    shown = piece[1:]
-                else:
-                    shown = "".join(map(self.table.__getitem__, piece.encode("utf-8")))
-                code = self.encode_piece(shown)
-            if len(piece) <= 64:
-                young[piece] = code
+                pieces = self.pieces(word)
+                parts = list(map(young.get, pieces))
+                if None in parts:  # as yet too rare to be kept next to its pieces
+                    codes[at] = b"".join([part or self.piece(piece) for part, piece in zip(parts, pieces)])
+                    continue
+                code = b"".join(parts)
+            if len(word) <= 64:
+                young[word] = code
             codes[at] = code
         if len(young) > self.cache:
             self.young, self.old = {}, young
@@ -195,7 +225,7 @@ def encode(docs: DataFrame, file: str, text: str = "text", ids: str = "ids") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(spec.value)
-        for batch in slices(batches, text):
+        for batch in slices(batches, text, 1_000_000):
             codes = [model.encode(t.as_py() or "") for t in batch.column(text)]
             ends = np.zeros(len(codes) + 1, np.int32)
             ends[1:] = np.cumsum([len(c) // 4 for c in codes])
@@ -214,16 +244,40 @@ def decode(docs: DataFrame, file: str, ids: str = "ids", text: str = "decoded")
         known = docs.sparkSession.sparkContext.broadcast(token_names(json.load(f)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, size = known.value, len(known.value)
-        for whole in batches:
-            for start in range(0, whole.num_rows, 128):
-                batch = whole.slice(start, 128)
-                shown = [" ".join([names[i] for i in x.as_py() or [] if i is not None and 0 <= i < size and names[i]]) for x in batch.column(ids)]
-                yield _replaced(batch, text, pa.array(shown, pa.string()))
+        names = pa.array(known.value, pa.string())
+        for batch in id_slices(batches, ids):
+            yield _replaced(batch, text, joined_names(batch.column(ids), names))
 
     return docs.mapInArrow(released(run, keep=True), _with(docs.schema, (text, T.StringType())))
 
 
+def joined_names(ids: pa.ListArray, names: pa.StringArray) -> pa.StringArray:
+    """The names of each row's ids joined by one space; null rows are empty, ids without a name are left out."""
+    offsets, flat = row_ids(ids)
+    has_name = np.append(np.asarray(pc.binary_length(names)) > 0, False)
+    at = np.asarray(pc.fill_null(flat, -1)).astype(np.int64)
+    at[(at < 0) | (at >= len(names))] = len(names)
+    shown = has_name[at]
+    ends = np.concatenate([[0], np.cumsum(shown)])[offsets].astype(np.int32)
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(ends), names.take(pa.array(at[shown]))), " ")
+
+
+def row_ids(ids: pa.ListArray) -> tuple[np.ndarray, pa.Array]:
+    """Offsets (from 0) and ids of all rows, one after the other; a null row has none."""
+    sizes = np.asarray(pc.fill_null(pc.list_value_length(ids), 0)).astype(np.int64)
+    return np.concatenate([[0], np.cumsum(sizes)]), ids.flatten()
+
+
+def id_slices(batches: Iterator[pa.RecordBatch], ids: str, most: int = 250_000) -> Iterator[pa.RecordBatch]:
+    """Cuts Arrow batches into slices of about `most` ids (one row at least)."""
+    for batch in batches:
+        ends, start = row_ids(batch.column(ids))[0], 0
+        while start < batch.num_rows:
+            stop = max(start + 1, int(np.searchsorted(ends, ends[start] + most, side="right")) - 1)
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def _replaced(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
     kept = [i for i, f in enumerate(batch.schema) if f.name != name]
     return pa.RecordBatch.from_arrays([*(batch.column(i) for i in kept), values], [*(batch.schema.field(i).name for i in kept), name])

@@ -19,7 +19,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     file = public_tokenizers.path(TOKENIZER)
-    docs = bpe.decode(bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), file), file)
+    docs = bpe.decode(bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), file).drop("text"), file)
     return docs.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
