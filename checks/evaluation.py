@@ -12,15 +12,15 @@ from modelwarden.operators import trials as tr
 from pyspark.sql import functions as F
 
 from .development import only
-from .sqlkit import bucket, ctes
+from .sqlkit import bucket, ctes, written
 
 BY = ["candidate"]
 REPLICATES = 24
 RULE = dict(objective="max_precision", min_precision=0.30, min_recall=0.40)
 
 
-def predictions(spark, sf):
-    """Three candidates scoring every line of an order; a line is positive when it was returned."""
+def paired(spark, sf):
+    """Every line of an order with the scores of three candidates; a line is positive when it was returned."""
     li = Registry.of(spark, sf).base("lineitem")
     row = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     h = F.md5(F.concat(F.lit("p:"), row))
@@ -31,7 +31,12 @@ def predictions(spark, sf):
         F.struct(F.lit(f"c{j}").alias("candidate"),
                  ((F.conv(F.substring("h", 1 + 3 * j, 3), 16, 10).cast("int") % 800 + F.col("y") * 60 * j + 20) / F.lit(1000.0)).alias("score"))
         for j in (1, 2, 3)])
-    return base.select("row_id", "y", "weight", "group_id", "split", F.inline(cands))
+    return base.select("row_id", "y", "weight", "group_id", "split", cands.alias("scores"))
+
+
+def predictions(spark, sf):
+    """The same, one row per line and candidate."""
+    return bo.by_candidate(paired(spark, sf))
 
 
 def r6(df):
@@ -47,7 +52,7 @@ def q_base(s, f):
 
 
 def replicates(s, f):
-    return bo.row_bootstrap(predictions(s, f), "row_id", REPLICATES, "boot")
+    return bo.row_bootstrap(paired(s, f), "row_id", REPLICATES, "boot", hold=written)
 
 
 def q_row_bootstrap(s, f):
@@ -64,16 +69,17 @@ def q_cluster_base(s, f):
 
 
 def q_cluster_bootstrap(s, f):
-    return r6(bo.cluster_bootstrap(by_order(predictions(s, f)), "group_id", REPLICATES, "cboot"))
+    return r6(bo.cluster_bootstrap(by_order(paired(s, f)), "group_id", REPLICATES, "cboot", hold=written))
 
 
 def points(s, f):
-    return ev.metrics(predictions(s, f), BY).select(
+    return ev.metrics(predictions(s, f), BY, hold=written).select(
         "candidate", F.substring("candidate", 2, 1).cast("int").alias("n_features"), F.col("auc").alias("point"))
 
 
 def intervals(s, f):
-    return bo.confidence(points(s, f), replicates(s, f).select("replicate", "candidate", F.col("auc").alias("value")), 0.9, 0.06)
+    """Points and replicates are read several times, so their few rows are written."""
+    return bo.confidence(written(points(s, f)), written(replicates(s, f).select("replicate", "candidate", F.col("auc").alias("value"))), 0.9, 0.06)
 
 
 def q_violation(s, f):

@@ -11,17 +11,17 @@ rows; AUC and average precision come from its prefix sums. Replicate -1 holds ev
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import BUCKETS, digest
-from .ordered import attach, spread_attach
+from .ordered import spread_attach
 
 WHOLE = -1
 PER_DIGEST = 4
-TOGETHER = 24           # replicates that a row adds to at once; a multiple of PER_DIGEST
+TOGETHER = 4            # replicates that a row adds to at once, a multiple of PER_DIGEST; with many, the compiled sums are too long for the JVM to optimise
 SCORE_BINS = 1 << 16
 
 
@@ -84,22 +84,41 @@ def _score(bins: DataFrame) -> DataFrame:
         F.when(pairs > 0, F.try_divide(F.col("_ap"), F.col("_P"))).alias("average_precision"), F.try_divide(F.col("_hidden"), pairs).alias("auc_slack"))
 
 
+def by_candidate(predictions: DataFrame) -> DataFrame:
+    """Predictions with one row per candidate; rows may also hold all candidates as ``scores``, an array of (candidate, score)."""
+    if "scores" not in predictions.columns:
+        return predictions
+    # inline would test the array's size first, evaluating it twice
+    rows = predictions.select(*[c for c in predictions.columns if c != "scores"], F.posexplode_outer("scores").alias("_at", "_of"))
+    return rows.filter("_at is not null").select("*", "_of.candidate", "_of.score").drop("_at", "_of")
+
+
+def _candidates(predictions: DataFrame, *cols: str) -> DataFrame:
+    """``cols`` and the candidate of each prediction; scores are not evaluated."""
+    return predictions.select(*cols, "candidate" if "scores" not in predictions.columns else F.explode("scores.candidate").alias("candidate"))
+
+
 def _histogram(predictions: DataFrame, units: Sequence[str], strata: Sequence[str], replicates: int, seed: object, bins: int) -> DataFrame:
     """Weight and range of scores per replicate, candidate, class, stratum and bin.
 
     A row adds to ``TOGETHER`` replicates at once, side by side in one record per bin; it is repeated once per so many
-    replicates, not once per replicate. The records are turned into rows after they are complete.
+    replicates, not once per replicate. The records are turned into rows after they are complete. Where rows hold all
+    candidates as ``scores``, their draws are found once, before candidates become rows.
     """
-    rows = predictions.select(
-        *dict.fromkeys([*units, "candidate", "y", *strata]), F.col("score").cast("double").alias("score"), F.col("weight").cast("double").alias("weight"))
-    spot = F.least(F.floor(F.col("score") * bins), F.lit(bins - 1)).cast("int")
-    by = ["candidate", "y", *[c for c in strata if c != "y"]]
+    scored = ["scores"] if "scores" in predictions.columns else ["candidate", "score"]
+    rows = predictions.select(*dict.fromkeys([*units, "y", *strata]), *scored, F.col("weight").cast("double").alias("weight"))
+    kept = list(dict.fromkeys(["y", *strata]))
     chunks = -(-replicates // TOGETHER)
-    parts = rows.select("*", spot.alias("bin"), F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("_c"))
+    parts = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("_c"))
     blocks = min(TOGETHER, -(-replicates // PER_DIGEST) * PER_DIGEST) // PER_DIGEST
     hashed = parts.withColumns({f"_h{j}": digest([(F.col("_c") * (TOGETHER // PER_DIGEST) + j).cast("int"), *units], seed) for j in range(blocks)})
     places = [(j * PER_DIGEST + i, F.substring(f"_h{j}", 1 + 8 * i, 8)) for j in range(blocks) for i in range(PER_DIGEST)]
-    drawn = hashed.select(*by, "bin", "_c", "score", "weight", *[_times(place).alias(f"_t{n}") for n, place in places])
+    cut = hashed.select(*kept, "_c", *scored, "weight", *[place.alias(f"_u{n}") for n, place in places])
+    times = cut.select(*kept, "_c", *scored, "weight", *[_times(F.col(f"_u{n}")).alias(f"_t{n}") for n, _ in places])
+    score = F.col("score").cast("double")
+    spot = F.least(F.floor(score * bins), F.lit(bins - 1)).cast("int")
+    drawn = by_candidate(times).withColumns({"bin": spot, "score": score})
+    by = ["candidate", *kept]
     seen = F.coalesce("score", F.lit(float("inf")))  # known wherever a row is drawn, so that bins without one can be told
 
     def place(number: Column, name: str, drawn_here: Column, weight: Column) -> tuple[list[Column], Column]:
@@ -120,8 +139,9 @@ def class_draws(rows: DataFrame, key: str, replicates: int, seed: object) -> Dat
     """
     drawn = draws(rows.select(key, "y", F.col("weight").cast("double").alias("weight")), [key], replicates, seed)
     sums = drawn.groupBy("replicate", "y").agg(F.sum("times").alias("drawn"), F.sum(F.col("weight") * F.col("times")).alias("weight"))
-    whole = sums.filter(F.col("replicate") == WHOLE).select("y", F.col("drawn").alias("rows"), F.col("weight").alias("whole"))
-    return attach(sums, whole, ["y"], "inner").select("replicate", "y", "rows", "drawn", "weight", F.try_divide(F.col("whole"), F.col("weight")).alias("factor"))
+    whole = lambda c: F.max(F.when(F.col("replicate") == WHOLE, F.col(c))).over(Window.partitionBy("y"))  # noqa: E731 - a row per replicate
+    return sums.withColumns({"rows": whole("drawn"), "whole": whole("weight")}).select(
+        "replicate", "y", "rows", "drawn", "weight", F.try_divide(F.col("whole"), F.col("weight")).alias("factor"))
 
 
 def check_classes(draws: DataFrame) -> DataFrame:
@@ -140,8 +160,9 @@ def cluster_draws(clusters: DataFrame, group: str, replicates: int, seed: object
     """Per stratum and replicate: clusters and rows drawn, and the factor that keeps the number of clusters."""
     drawn = draws(clusters.select(group, "stratum", "size"), [group], replicates, seed)
     sums = drawn.groupBy("replicate", "stratum").agg(F.sum("times").alias("drawn"), F.sum(F.col("size") * F.col("times")).alias("rows"))
-    whole = sums.filter(F.col("replicate") == WHOLE).select("stratum", F.col("drawn").alias("clusters"))
-    return attach(sums, whole, ["stratum"], "inner").select("replicate", "stratum", "clusters", "drawn", "rows", F.try_divide(F.col("clusters"), F.col("drawn")).alias("factor"))
+    whole = F.max(F.when(F.col("replicate") == WHOLE, F.col("drawn"))).over(Window.partitionBy("stratum"))  # a row per replicate
+    return sums.withColumn("clusters", whole).select(
+        "replicate", "stratum", "clusters", "drawn", "rows", F.try_divide(F.col("clusters"), F.col("drawn")).alias("factor"))
 
 
 def check_clusters(draws: DataFrame) -> DataFrame:
@@ -150,28 +171,34 @@ def check_clusters(draws: DataFrame) -> DataFrame:
     return draws
 
 
-def row_bootstrap(predictions: DataFrame, key: str, replicates: int, seed: object, bins: int = SCORE_BINS, check: bool = True) -> DataFrame:
+def row_bootstrap(predictions: DataFrame, key: str, replicates: int, seed: object, bins: int = SCORE_BINS, check: bool = True,
+                  hold: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """AUC and average precision per replicate and candidate, rows drawn within each class, paired over candidates.
 
-    Reads ``key``, ``candidate``, ``y``, ``score`` in [0, 1] and ``weight``; one scan of them. ``bins`` is the grid of
-    scores that the histogram keeps apart.
+    Reads ``key``, ``candidate``, ``y``, ``score`` in [0, 1] and ``weight``, or ``scores`` (see :func:`by_candidate`);
+    one scan of them. ``bins`` is the grid of scores that the histogram keeps apart; ``hold`` keeps the histogram, which
+    is read twice.
     """
-    histogram = _histogram(predictions, [key], ["y"], replicates, seed, bins)
+    histogram = hold(_histogram(predictions, [key], ["y"], replicates, seed, bins))
     totals = histogram.groupBy("replicate", "candidate", "y").agg(F.sum("w").alias("sum"))
     whole = totals.filter(F.col("replicate") == WHOLE).select("candidate", "y", F.col("sum").alias("whole"))
     factors = totals.join(whole, ["candidate", "y"]).groupBy("replicate", "y").agg(F.max(F.try_divide(F.col("whole"), F.col("sum"))).alias("factor"))
     if check:
-        one = predictions.groupBy("candidate", "y").agg(F.count(F.lit(1)).alias("n")).groupBy("candidate").agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("n"))
+        one = _candidates(predictions, "y").groupBy("candidate", "y").agg(F.count(F.lit(1)).alias("n")).groupBy("candidate").agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("n"))
         if one.filter("k < 2 or n < 2").take(1):
             raise ValueError("a bootstrap needs two rows in each class")
     return _score(_scaled(histogram, factors, "y")).filter(F.col("replicate") != WHOLE)
 
 
-def cluster_bootstrap(predictions: DataFrame, group: str, replicates: int, seed: object, bins: int = SCORE_BINS, check: bool = True) -> DataFrame:
-    """The same with whole clusters drawn within the two strata of clusters with and without a positive row."""
-    one = predictions.groupBy(group, "candidate").agg(F.count(F.lit(1)).alias("n"), F.max("y").cast("int").alias("y"))
-    clusters = one.groupBy(group).agg(F.max("n").alias("size"), F.max("y").alias("stratum"))
-    factors = cluster_draws(clusters, group, replicates, seed)
+def cluster_bootstrap(predictions: DataFrame, group: str, replicates: int, seed: object, bins: int = SCORE_BINS, check: bool = True,
+                      hold: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """The same with whole clusters drawn within the two strata of clusters with and without a positive row.
+
+    ``hold`` keeps the clusters and the factors of their strata, which are read several times; pass a function that writes them.
+    """
+    one = _candidates(predictions, group, "y").groupBy(group, "candidate").agg(F.count(F.lit(1)).alias("n"), F.max("y").cast("int").alias("y"))
+    clusters = hold(one.groupBy(group).agg(F.max("n").alias("size"), F.max("y").alias("stratum")))
+    factors = hold(cluster_draws(clusters, group, replicates, seed))
     if check:
         check_clusters(factors)
     placed = spread_attach(predictions, clusters.select(group, "stratum", "size"), [group], "inner", rows="size")

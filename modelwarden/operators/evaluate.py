@@ -6,7 +6,7 @@ Rows are first reduced to one per distinct score, which also settles ties.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,27 +23,28 @@ def score_table(df: DataFrame, by: Sequence[str]) -> DataFrame:
         F.sum(F.when(y == 1, w).otherwise(0.0)).alias("pos"), F.sum(F.when(y == 0, w).otherwise(0.0)).alias("neg"))
 
 
-def ranked_scores(df: DataFrame, by: Sequence[str], bounded: bool = False) -> DataFrame:
+def ranked_scores(df: DataFrame, by: Sequence[str], bounded: bool = False, hold: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """Distinct scores with the weight at or above each: ``tp`` and ``fp``.
 
     ``bounded`` says that each group is small by construction (a bootstrap replicate), so one
-    window per group is enough; otherwise prefix sums run over buckets of scores.
+    window per group is enough; otherwise prefix sums run over buckets of scores. ``hold`` keeps
+    the table of scores, which these read several times.
     """
     table = score_table(df, by)
     if bounded:
         w = Window.partitionBy(*by).orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return table.withColumns({"tp": F.sum("pos").over(w), "fp": F.sum("neg").over(w)})
-    bucketed = balanced_buckets(table, by, "score")
+    bucketed = balanced_buckets(hold(table), by, "score")
     return prefix_sums(bucketed, by, "_b", [F.col("score").desc()], {"tp": "pos", "fp": "neg"}, descending=True).drop("_b")
 
 
-def metrics(df: DataFrame, by: Sequence[str], bounded: bool = False) -> DataFrame:
+def metrics(df: DataFrame, by: Sequence[str], bounded: bool = False, hold: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """AUC, Gini, average precision, log-loss and Brier score per group.
 
     Losses carry a minus sign so that larger is better. With one class only, AUC, Gini and
     average precision are NULL.
     """
-    r = ranked_scores(df, by, bounded)
+    r = ranked_scores(df, by, bounded, hold)
     p = F.greatest(F.least(F.col("score"), F.lit(1 - CLIP)), F.lit(CLIP))
     above = F.col("tp") - F.col("pos")
     s = r.groupBy(*by).agg(

@@ -102,3 +102,28 @@ def test_bootstrap_rows_are_not_repeated_by_replicate(spark):
         assert reads(got, "Generate explode") == 1 and reads(got, "Generate inline") == 1
         text = got._jdf.queryExecution().optimizedPlan().toString()
         assert text.index("Generate inline") < text.index("Aggregate")  # replicates become rows above the sums, not below
+
+
+def test_bootstrap_of_rows_that_hold_all_candidates(spark):
+    from modelwarden.operators import bootstrap as bo
+
+    pairs = F.array(*[F.struct(F.lit(c).alias("candidate"), ((F.col("id") * n % 100) / 100).alias("score")) for c, n in (("a", 37), ("b", 61))])
+    whole = spark.range(80).select(
+        F.col("id").cast("string").alias("k"), (F.col("id") % 9).cast("string").alias("g"), (F.col("id") % 3 % 2).cast("int").alias("y"), F.lit(1.0).alias("weight"),
+        F.when(F.col("id") != 5, pairs).alias("scores"))
+    long = bo.by_candidate(whole)
+    assert long.count() == 158
+    held = []
+    keep = lambda df: held.append(df) or df
+    rounded = lambda df: {(r.replicate, r.candidate, round(r.auc or 0, 9), round(r.average_precision or 0, 9)) for r in df.collect()}
+    assert rounded(bo.row_bootstrap(whole, "k", 6, "x", 64, hold=keep)) == rounded(bo.row_bootstrap(long, "k", 6, "x", 64))
+    assert rounded(bo.cluster_bootstrap(whole, "g", 6, "x", 64, hold=keep)) == rounded(bo.cluster_bootstrap(long, "g", 6, "x", 64))
+    assert len(held) == 3  # histogram, clusters, factors
+    text = bo._histogram(whole, ["k"], ["y"], 6, "x", 64)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.index("Generate posexplode") < text.index("md5(")  # draws are found below, before candidates become rows
+
+
+def test_sums_of_replicates_stay_short_enough_to_be_compiled():
+    from modelwarden.operators import bootstrap as bo
+
+    assert bo.TOGETHER <= 8 and bo.TOGETHER % bo.PER_DIGEST == 0
