@@ -5,6 +5,17 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
+JIT_LIMIT = 8000  # bytes of a method that HotSpot still compiles
+
+
+def compilable(spark: SparkSession) -> SparkSession:
+    """Lets Spark fall back to smaller methods where the code of a wide projection would only be interpreted by the JVM."""
+    key = "spark.sql.codegen.hugeMethodLimit"
+    if int(spark.conf.get(key)) > JIT_LIMIT:
+        spark.conf.set(key, str(JIT_LIMIT))
+    return spark
+
+
 def local_session(cores: str = "*", app: str = "modelwarden", **conf: str) -> SparkSession:
     """A local session; on a cluster the caller brings its own session instead."""
     builder = (
